@@ -38,11 +38,6 @@ def join_normalised(
     return left.join(right, left_key, how)
 
 
-def join_on_fields(left: DataFrame, right: DataFrame, fields: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join over a list of fields that is only known at run time."""
-    return left.join(right, list(fields), how)
-
-
 def override_from(
     df: DataFrame, lookup: DataFrame, key: str, columns: Mapping[str, str], hit: str | None = None,
     salts: int = DEFAULT_SALTS,
