@@ -68,3 +68,17 @@ def id_key(col: Column) -> Column:
 def join_words(*cols: Column) -> Column:
     """Words joined by one blank, NULLs skipped, runs of blanks collapsed, ends trimmed."""
     return F.trim(F.regexp_replace(F.trim(F.concat_ws(" ", *cols)), r" +", " "))
+
+
+def fold_rules_over(df: DataFrame, columns: Sequence[str], rules: Sequence[Sequence[str]]) -> DataFrame:
+    """The same rules on many text columns, as one expression over their array.
+
+    Dozens of copies of a rule chain would outgrow one generated method; the
+    array keeps a single copy.
+    """
+    columns = [c for c in columns if c in df.columns]
+    if not columns:
+        return df
+    values = F.transform(F.array(*[F.col(f"`{c}`").cast("string") for c in columns]), lambda c: fold_rules(c, rules))
+    out = df.withColumn("_folded", values)
+    return out.withColumns({c: F.col("_folded")[i] for i, c in enumerate(columns)}).drop("_folded")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listingflow import fixed_values as V
-from listingflow.functions.text import dash, first_match, fold_rules
+from listingflow.functions.text import dash, first_match, fold_rules, fold_rules_over
 
 
 def gearbox(col: Column) -> Column:
@@ -174,15 +174,12 @@ def split_pairs(df: DataFrame, separator: str = V.PAIR_SEPARATOR) -> DataFrame:
     """
     front = rf"\?{separator}.*|{separator}.*"
     rear = rf".*{separator}\\?|.*{separator}"
-    out = {c: F.regexp_replace(F.col(c).cast("string"), front, "") for c in V.FRONT_COLUMNS if c in df.columns}
-    out |= {c: F.regexp_replace(F.col(c).cast("string"), rear, "") for c in V.REAR_COLUMNS if c in df.columns}
-    return df.withColumns(out) if out else df
+    return fold_rules_over(fold_rules_over(df, V.FRONT_COLUMNS, [(front, "")]), V.REAR_COLUMNS, [(rear, "")])
 
 
 def equipment_flags(df: DataFrame, columns=V.EQUIPMENT_COLUMNS) -> DataFrame:
     """标配 becomes Y; 选配, 无 and '-' become N."""
-    out = {c: fold_rules(F.col(c), V.EQUIPMENT_RULES) for c in columns if c in df.columns}
-    return df.withColumns(out) if out else df
+    return fold_rules_over(df, columns, V.EQUIPMENT_RULES)
 
 
 def catalogue_color(col: Column) -> Column:

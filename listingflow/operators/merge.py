@@ -156,9 +156,11 @@ def attach_surrogate(source: DataFrame, target: DataFrame, natural: str, surroga
     return source.drop(surrogate).join(known, natural, "left")
 
 
-def with_surrogates(source: DataFrame, target: DataFrame, natural: str, surrogate: str = "id") -> DataFrame:
+def with_surrogates(
+    source: DataFrame, target: DataFrame, natural: str, surrogate: str = "id", on_duplicate: str = "first"
+) -> DataFrame:
     """Source rows with surrogate ids: known rows keep theirs, new rows get the next numbers."""
-    source = one_per_key(source, [natural])
+    source = one_source_row(source.drop(surrogate), [natural], on_duplicate, None)
     tagged = attach_surrogate(source, target, natural, surrogate)
     # a global aggregate: one row
     start = target.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint").alias("_start")).scalar()
@@ -174,22 +176,22 @@ def with_surrogates(source: DataFrame, target: DataFrame, natural: str, surrogat
 
 def upsert_keep_id(
     target: DataFrame, source: DataFrame, natural: str, surrogate: str = "id",
-    defaults: Mapping[str, object] | None = None,
+    defaults: Mapping[str, object] | None = None, on_duplicate: str = "first",
 ) -> DataFrame:
     """Overwrite rows by natural key without moving their surrogate id; new rows get the next ids."""
     return replace_rows(
-        target, with_surrogates(source, target, natural, surrogate), [surrogate],
+        target, with_surrogates(source, target, natural, surrogate, on_duplicate), [surrogate],
         defaults, on_duplicate="trusted",
     )
 
 
 def insert_ignore_numbered(
     target: DataFrame, source: DataFrame, natural: str, surrogate: str = "id",
-    defaults: Mapping[str, object] | None = None,
+    defaults: Mapping[str, object] | None = None, on_duplicate: str = "first",
 ) -> DataFrame:
     """Insert-ignore by natural key into a table whose surrogate id counts up."""
-    absent = missing_from(one_per_key(source.drop(surrogate), [natural]), target, [natural])
-    numbered = with_surrogates(absent, target, natural, surrogate)
+    absent = missing_from(source, target, [natural])
+    numbered = with_surrogates(absent, target, natural, surrogate, on_duplicate)
     defaults = defaults or {}
     rows = numbered.select(*[
         (F.col(f"`{c}`") if c in numbered.columns else F.lit(defaults.get(c))).cast(t).alias(c)

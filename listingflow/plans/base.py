@@ -42,9 +42,9 @@ class Change:
         if self.mode == "insert_ignore":
             return merge.insert_ignore(target, self.rows, keys, self.defaults, order)
         if self.mode == "insert_numbered":
-            return merge.insert_ignore_numbered(target, self.rows, keys[0], "id", self.defaults)
+            return merge.insert_ignore_numbered(target, self.rows, keys[0], "id", self.defaults, self.on_duplicate)
         if self.mode == "keep_id":
-            return merge.upsert_keep_id(target, self.rows, keys[0], "id", self.defaults)
+            return merge.upsert_keep_id(target, self.rows, keys[0], "id", self.defaults, self.on_duplicate)
         if self.mode == "truncate":
             return merge.truncate_load(self.rows, keys, order)
         if self.mode == "update":

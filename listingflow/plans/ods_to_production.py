@@ -48,7 +48,7 @@ def color_backfill(cat: Catalog, ids: DataFrame | None = None) -> Change:
 
 
 def base_part(cat: Catalog, ids: DataFrame | None = None) -> DataFrame:
-    """Approved models with brand and series names, under production names."""
+    """Approved models with brand and series names, under production names; one row per model."""
     major = quality.approved(cat.read("ods_model_master")).select(
         text.long_key(cat.read("ods_model_master"), "model_id").alias("autohome_id"), "brandid", "series_id",
         F.col("status").alias("is_selling"), "model_name", F.col("model_price").alias("recommend_price"),
@@ -58,14 +58,12 @@ def base_part(cat: Catalog, ids: DataFrame | None = None) -> DataFrame:
         "brandid", F.col("Initial").alias("mark"), F.col("brand_name").alias("brand"))
     series = cat.read("prod_series").select(
         "series_id", F.col("series_name").alias("series"), F.col("series_group_name").alias("factory_name"))
-    return (
-        _only(major, "autohome_id", ids).join(brand, "brandid").join(series, "series_id")
-        .withColumns({
-            "type_name": text.join_words(F.col("series"), F.col("model_name")),
-            "produced_place": F.lit(""),
-        })
-        .drop("model_name")
-    )
+    named = _only(major, "autohome_id", ids).join(brand, "brandid").join(series, "series_id")
+    # details are keyed by model, so only these narrow rows can repeat
+    return one_per_key(named, ["autohome_id"]).withColumns({
+        "type_name": text.join_words(F.col("series"), F.col("model_name")),
+        "produced_place": F.lit(""),
+    }).drop("model_name")
 
 
 def detail_part(cat: Catalog, ids: DataFrame | None = None) -> DataFrame:
@@ -95,8 +93,7 @@ def config_rows(cat: Catalog, ids: DataFrame | None = None, only_new: bool = Tru
     if only_new:
         known = cat.read_or_empty("prod_config", S.PROD_CONFIG)
         wide = missing_ids(wide, known, "autohome_id", "autohome_id")
-    wide = align(wide, S.PROD_CONFIG, "intersect", skip=["id"])
-    return text.fill_text(one_per_key(wide, ["autohome_id"]))
+    return text.fill_text(align(wide, S.PROD_CONFIG, "intersect", skip=["id"]))
 
 
 def price_changes(cat: Catalog) -> DataFrame:
@@ -148,9 +145,11 @@ def plan(cat: Catalog, ids: DataFrame | None = None) -> list[Change]:
     add(into(S.PROD_SERIES, "prod_series", new_series(cat)))
     add(color_backfill(cat, ids))
     if ids is None:
-        add(Change("prod_config", config_rows(cat), ("autohome_id",), "insert_numbered"))
+        add(Change("prod_config", config_rows(cat), ("autohome_id",), "insert_numbered",
+                   on_duplicate="trusted"))
         add(price_update(cat))
     else:
-        add(Change("prod_config", config_rows(cat, ids, only_new=False), ("autohome_id",), "keep_id"))
+        add(Change("prod_config", config_rows(cat, ids, only_new=False), ("autohome_id",), "keep_id",
+                   on_duplicate="trusted"))
     add(into(S.PROD_EV, "prod_config_ev", ev_rows(cat, ids)))
     return changes

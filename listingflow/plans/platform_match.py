@@ -24,6 +24,8 @@ def _names(platform: str) -> tuple[str, str, str]:
 def decided(cat: Catalog, platform: str) -> DataFrame:
     """Earlier matches that stand: (id_std, id, type, only)."""
     names = _names(platform)
+    if not set(names) <= set(cat.read("match_history").columns):
+        return empty_result(cat, platform)
     history = cat.read("match_history").where(~F.col(names[1]).isin(*V.DECIDED_EXCEPT))
     rows = history.select(
         id_key(F.col("id_che300")).alias("id_std"), id_key(F.col(names[0])).alias(names[0]), *names[1:])
@@ -47,9 +49,10 @@ def series_names(cat: Catalog, platform: str) -> DataFrame:
 def match_platform(cat: Catalog, platform: str, use_drive: bool = False) -> DataFrame:
     """(id_std, id, type, only) of one platform for every standard id; earlier matches first."""
     names = _names(platform)
+    models = cat.read(f"match_platform_{platform}")
     old = decided(cat, platform)
     models = override_from(
-        cat.read(f"match_platform_{platform}"), series_names(cat, platform), "series_id",
+        models, series_names(cat, platform), "series_id",
         {"brand_name": "temp_brand", "series_name": "temp_series"})
     models = models.withColumn("car_id", id_key(F.col("car_id")))
     standard = cat.read("match_standard").withColumn("car_id", id_key(F.col("car_id")))

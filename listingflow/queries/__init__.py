@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("relational_queries", "rule_queries", "merge_queries", "match_queries")
+_MODULES = ("relational_queries", "rule_queries", "merge_queries", "match_queries", "job_queries", "listing_queries")
 
 
 def registry():
