@@ -27,19 +27,37 @@ def bounded_words(df: DataFrame, column: str, limit: int = MAX_PATTERN_WORDS) ->
     rows = df.select(col).where(col.isNotNull() & (col != "")).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
         return None
-    return sorted((r[0] for r in rows), key=lambda w: (-len(w), w))
+    return longest_first({r[0] for r in rows})
+
+
+def longest_first(words: set[str]) -> list[str]:
+    return sorted(words, key=lambda w: (-len(w), w))
 
 
 def words_pattern(words: list[str]) -> str:
-    return "(" + "|".join(re.escape(w) for w in words) + ")"
+    """A pattern for the longest word at a position; words that begin alike share their beginning."""
+    tree: dict = {}
+    for word in words:
+        node = tree
+        for char in word:
+            node = node.setdefault(char, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        tails = [re.escape(c) + pattern(n) for c, n in sorted(node.items()) if c]
+        if not tails:
+            return ""
+        body = tails[0] if len(tails) == 1 and "" not in node else "(?:" + "|".join(tails) + ")"
+        return body + ("?" if "" in node else "")
+
+    return pattern(tree)
 
 
 def first_word(text: Column, words: list[str]) -> Column:
     """Leftmost dictionary word in the text, NULL when none (or no dictionary)."""
     if not words:
         return F.lit(None).cast("string")
-    hit = F.regexp_extract(text.cast("string"), words_pattern(words), 1)
-    return F.when(hit != "", hit)
+    return F.nullif(F.regexp_extract(text.cast("string"), words_pattern(words), 0), F.lit(""))
 
 
 def first_word_by_join(
@@ -113,8 +131,8 @@ def one_per_code(codes: DataFrame, code: str, name: str) -> DataFrame:
 class Gazetteer:
     """City, county and province dictionaries of one district dimension.
 
-    ``cities`` and ``county_cities`` are None when the dictionary is too large
-    for a pattern; matching then goes through the frames.
+    ``cities``, ``provinces`` and ``counties`` are None when there are too many
+    words for a pattern; matching then goes through the frames.
     """
 
     districts: DataFrame
@@ -130,12 +148,26 @@ class Gazetteer:
             counties.where("key_county <> '' AND city <> ''")
             .groupBy("key_county").agg(F.min("city").alias("city"))
         )
+        columns = ["regional", "province", "city", "key_county"]
+        rows = counties.select(*columns).distinct().limit(limit + 1).collect()
+        if len(rows) > limit:
+            return cls(
+                districts=counties.select("regional", "province", "city").distinct(),
+                cities=bounded_words(counties, "city", limit),
+                provinces=bounded_words(counties, "province", limit),
+                counties=bounded_words(county_city, "key_county", limit),
+                county_city=county_city,
+            )
+        # the whole dimension fits the bound: keep it as a literal relation
+        spark = counties.sparkSession
+        kinds = dict(counties.dtypes)
+        local = spark.createDataFrame(rows, ", ".join(f"{c} {kinds[c]}" for c in columns))
+        words = {c: longest_first({r[c] for r in rows if r[c]}) for c in columns[1:]}
         return cls(
-            districts=counties.select("regional", "province", "city").distinct(),
-            cities=bounded_words(counties, "city", limit),
-            provinces=bounded_words(counties, "province", limit),
-            counties=bounded_words(county_city, "key_county", limit),
-            county_city=county_city,
+            districts=local.select("regional", "province", "city").distinct(),
+            cities=words["city"], provinces=words["province"], counties=words["key_county"],
+            county_city=local.where("key_county <> '' AND city <> ''")
+            .groupBy("key_county").agg(F.min("city").alias("city")),
         )
 
     def add_first(self, df: DataFrame, text_col: str, out_col: str, kind: str) -> DataFrame:
@@ -146,9 +178,10 @@ class Gazetteer:
         frame = self.county_city if kind == "key_county" else self.districts
         return first_word_by_join(df, text_col, out_col, frame, kind)
 
-    def add_county_city(self, df: DataFrame, text_col: str, out_col: str) -> DataFrame:
-        """Add the city of the first county word found in a text column."""
-        df = self.add_first(df, text_col, "_county", "key_county")
+    def add_county_city(self, df: DataFrame, text_col: str, out_col: str, wanted: Column) -> DataFrame:
+        """Add the city of the first county word found in a text column, looked for only where wanted."""
+        df = df.withColumn("_searched", F.when(wanted, F.col(text_col)))
+        df = self.add_first(df, "_searched", "_county", "key_county").drop("_searched")
         names = self.county_city.select(
             F.col("key_county").alias("_county"), F.col("city").alias(out_col)
         )
@@ -162,7 +195,7 @@ def standardise_city(df: DataFrame, column: str, gazetteer: Gazetteer) -> DataFr
     """Replace a free-text place by its city: first city word, else first county's city, else NULL."""
     columns = df.columns
     df = gazetteer.add_first(df, column, "_city", "city")
-    df = gazetteer.add_county_city(df, column, "_by_county")
+    df = gazetteer.add_county_city(df, column, "_by_county", F.col("_city").isNull())
     return df.withColumn(column, F.coalesce("_city", "_by_county")).select(*columns)
 
 
@@ -180,6 +213,7 @@ def standardise_listing_location(
     df = gazetteer.add_first(df, "address", "_by_address", "city")
     choices = [F.col("_city"), F.col("_by_address")]
     if county_fallback:
-        df = gazetteer.add_county_city(df, "address", "_by_county")
+        df = gazetteer.add_county_city(
+            df, "address", "_by_county", F.coalesce(*choices).isNull())
         choices += [F.col("_by_county"), F.lit("")]
     return df.withColumn("location", F.coalesce(*choices)).select(*columns)

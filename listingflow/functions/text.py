@@ -18,8 +18,7 @@ def fold_rules(col: Column, rules: Iterable[Sequence[str]]) -> Column:
 
 def first_match(col: Column, pattern: str, group: int = 1) -> Column:
     """The first match, or NULL when there is none (or the text is NULL)."""
-    hit = F.regexp_extract(col.cast("string"), pattern, group)
-    return F.when(hit != "", hit)
+    return F.nullif(F.regexp_extract(col.cast("string"), pattern, group), F.lit(""))
 
 
 def blank_to_dash(df: DataFrame, exclude: Iterable[str] = ()) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from listingflow.operators.skew import DEFAULT_SALTS, lookup_join
+from listingflow.operators.skew import lookup_join
 
 
 def full_order(df: DataFrame, skip: Sequence[str] = ()) -> list[Column]:
@@ -52,7 +52,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def group_size_and_min(
-    df: DataFrame, keys: Sequence[str], value: str, salts: int = DEFAULT_SALTS
+    df: DataFrame, keys: Sequence[str], value: str, salts: int | None = None
 ) -> DataFrame:
     """Add the size of each row's group and whether the row holds the group's smallest value."""
     stats = df.groupBy(*keys).agg(
@@ -63,7 +63,7 @@ def group_size_and_min(
 
 
 def rows_at_max(
-    df: DataFrame, keys: Sequence[str], value: str, salts: int = DEFAULT_SALTS
+    df: DataFrame, keys: Sequence[str], value: str, salts: int | None = None
 ) -> DataFrame:
     """Rows whose value equals the largest value of their group."""
     top = df.groupBy(*keys).agg(F.max(value).alias("_top"))

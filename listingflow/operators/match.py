@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from listingflow import fixed_values as V
 from listingflow.functions import vehicle
-from listingflow.operators.skew import DEFAULT_SALTS, lookup_join
+from listingflow.operators.skew import lookup_join
 
 # Key sets beside the six rounds that separate several candidates of one round.
 _PRICED = (*V.MATCH_FIELDS[:4], "car_price")
@@ -69,7 +69,7 @@ def _probes(sets: Sequence[Sequence[str]]) -> Column:
 
 
 def cascade(
-    platform: DataFrame, standard: DataFrame, use_drive: bool = False, salts: int = DEFAULT_SALTS
+    platform: DataFrame, standard: DataFrame, use_drive: bool = False, salts: int | None = None
 ) -> DataFrame:
     """One row per platform model that any round matches.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listingflow.functions.text import long_key
-from listingflow.operators.skew import DEFAULT_SALTS, lookup_join
+from listingflow.operators.skew import lookup_join
 
 
 def missing_from(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -40,7 +40,7 @@ def join_normalised(
 
 def override_from(
     df: DataFrame, lookup: DataFrame, key: str, columns: Mapping[str, str], hit: str | None = None,
-    salts: int = DEFAULT_SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Replace columns by lookup values where the lookup hit; ``columns`` maps target to lookup column.
 

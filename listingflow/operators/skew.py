@@ -16,26 +16,36 @@ def row_salt(columns: Sequence[str], salts: int) -> Column:
 
 
 def lookup_join(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    how: str = "left",
-    salts: int = DEFAULT_SALTS,
-    salt_on: Sequence[str] | None = None,
+    rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left", salts: int | None = None
 ) -> DataFrame:
-    """Join rows to a lookup with one row per key; a hot (or NULL) key is split over salts.
-
-    The lookup comes from an aggregation, so adaptive skew handling cannot
-    split its partner. The rows get a salt from their own values and the
-    lookup is repeated once per salt: a key that holds a third of all rows
-    lands in ``salts`` tasks. Small lookups are still broadcast by size.
+    """Join rows to a lookup with one row per key; a hot (or NULL) key does not end in one task.
+
+    The lookup comes from an aggregation by the same key, and a join on just
+    that key would reuse its partitioning, which adaptive skew handling cannot
+    split. A hash of the key joins the key list on both sides: both are then
+    shuffled for the join, so at run time Spark splits an oversized partition,
+    or broadcasts the lookup when it turns out small. Where adaptive skew
+    handling is off, rows are salted from their own values and the lookup is
+    repeated once per salt.
     """
     keys = list(keys)
+    if salts is None:
+        salts = 1 if _adaptive(rows) else DEFAULT_SALTS
     if salts <= 1:
-        return rows.join(lookup, keys, how)
-    salt = row_salt(salt_on or rows.columns, salts)
-    spread = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("_salt", salt).join(spread, [*keys, "_salt"], how).drop("_salt")
+        spread = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+        joined = rows.withColumn("_spread", spread).join(
+            lookup.withColumn("_spread", spread), ["_spread", *keys], how)
+        return joined.drop("_spread")
+    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = rows.withColumn("_salt", row_salt(rows.columns, salts))
+    return salted.join(repeated, ["_salt", *keys], how).drop("_salt")
+
+
+def _adaptive(df: DataFrame) -> bool:
+    conf = df.sparkSession.conf
+    return all(
+        conf.get(k).lower() == "true" for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    )
 
 
 # A lookup is broadcast on request only after its rows were counted up to this bound.
@@ -44,9 +54,9 @@ MAX_BROADCAST_ROWS = 100_000
 
 def broadcast_lookup_join(
     rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left",
-    max_rows: int = MAX_BROADCAST_ROWS, salts: int = DEFAULT_SALTS,
+    max_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """`lookup_join` that leaves the rows where they are when the lookup is counted to be small."""
     if lookup.limit(max_rows + 1).count() <= max_rows:
         return rows.join(F.broadcast(lookup), list(keys), how)
-    return lookup_join(rows, lookup, keys, how, salts)
+    return lookup_join(rows, lookup, keys, how)

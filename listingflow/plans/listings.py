@@ -168,7 +168,12 @@ def model_dim(cat: Catalog, models: DataFrame) -> DataFrame:
 
 def enrich(df: DataFrame, cat: Catalog, spec: PlatformSpec, models: DataFrame, places: geo.Gazetteer) -> DataFrame:
     """Star join: model attributes and district; listings without either are dropped."""
-    df = broadcast_lookup_join(df, model_dim(cat, models), ["platform_key"], "inner")
+    dim = model_dim(cat, models)
+    if spec.mid_column is None:
+        # one listing per mapping and both have one row per id: joined where the latest rows already lie
+        df = df.drop("platform_key").join(dim.withColumnRenamed("platform_key", "id_data_input"), "id_data_input")
+    else:
+        df = broadcast_lookup_join(df, dim, ["platform_key"], "inner")
     cities = geo.one_row_per_city(places.districts).withColumnRenamed("city", "location").drop("regional")
     df = df.where("location IS NOT NULL")
     if places.cities is not None:

@@ -30,10 +30,13 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._scans: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            if name not in self._scans:
+                self._scans[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            return self._scans[name]
         if name in DERIVED:
             return self.sql(f"SELECT * FROM {name}")
         raise AttributeError(name)
