@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -61,12 +61,8 @@ def into(schema: T.StructType, table: str, rows: DataFrame, mode: str = "upsert"
 
 def planned(catalog: Catalog, changes: Iterable[Change], schemas: Mapping[str, T.StructType] | None = None) -> Catalog:
     """The catalog as it would be after the changes, so a later stage can be planned on top."""
-    schemas = schemas or {}
     for change in changes:
-        if change.table in schemas:
-            target = catalog.read_or_empty(change.table, schemas[change.table])
-        else:
-            target = catalog.read(change.table)
+        target = _target(catalog, change, schemas or {})
         catalog = catalog.overlay(**{change.table: change.apply(target)})
     return catalog
 
@@ -81,17 +77,53 @@ def preview(changes: Iterable[Change], path: str) -> list[str]:
     return out
 
 
-def commit(catalog: Catalog, changes: Iterable[Change], stores: Mapping[str, SnapshotTable]) -> list[str]:
+def _target(catalog: Catalog, change: Change, schemas: Mapping[str, T.StructType]) -> DataFrame:
+    if change.table in schemas:
+        return catalog.read_or_empty(change.table, schemas[change.table])
+    return catalog.read(change.table)
+
+
+def commit(
+    catalog: Catalog, changes: Iterable[Change], stores: Mapping[str, SnapshotTable],
+    schemas: Mapping[str, T.StructType] | None = None,
+) -> list[str]:
     """Merge changes one after another, each into a new snapshot of its table.
 
-    An empty change writes nothing. Later changes read what earlier ones wrote.
+    An empty change writes nothing. A later change to the same table merges
+    into what the earlier one wrote. Tables with a declared layout may be absent.
     """
     written = []
     for change in changes:
         if change.rows.isEmpty():
             continue
         store = stores[change.table]
-        target = catalog.read(change.table)
-        written.append(store.commit(change.apply(target)))
+        written.append(store.commit(change.apply(_target(catalog, change, schemas or {}))))
         catalog.bind(change.table, store.read)
     return written
+
+
+# A step plans one change from the tables as the steps before it leave them.
+Step = Callable[[Catalog], Change]
+
+
+def plan_steps(
+    catalog: Catalog, steps: Sequence[Step], schemas: Mapping[str, T.StructType] | None = None
+) -> list[Change]:
+    """All changes without writing any: each step sees the planned output of the ones before."""
+    changes = []
+    for number, step in enumerate(steps):
+        changes.append(step(catalog))
+        if number + 1 < len(steps):
+            catalog = planned(catalog, changes[-1:], schemas)
+    return changes
+
+
+def run_steps(
+    catalog: Catalog, steps: Sequence[Step], stores: Mapping[str, SnapshotTable],
+    schemas: Mapping[str, T.StructType] | None = None,
+) -> list[str]:
+    """Plan and write step by step: each step reads what the ones before have written."""
+    written = []
+    for step in steps:
+        written += commit(catalog, [step(catalog)], stores, schemas)
+    return written

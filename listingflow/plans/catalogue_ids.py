@@ -11,7 +11,7 @@ from listingflow.functions import vehicle
 from listingflow.operators.dedupe import one_per_key, representative_pair
 from listingflow.operators.ids import allocate
 from listingflow.operators.relational import missing_from
-from listingflow.plans.base import Change, into, planned
+from listingflow.plans.base import Change, Step, into, plan_steps
 from listingflow.sources.catalog import Catalog
 
 
@@ -91,19 +91,19 @@ def reg_year_update(cat: Catalog) -> Change:
 SCHEMAS = {"std_brand": S.STD_BRAND, "std_series": S.STD_SERIES, "std_model": S.STD_MODEL}
 
 
+def steps(pick: str = "most") -> list[Step]:
+    """Brands, series, levels, models, wide table, registration years."""
+    return [
+        lambda cat: into(S.STD_BRAND, "std_brand", one_per_key(brand_rows(cat), ["brandid"]), "replace"),
+        lambda cat: into(S.STD_SERIES, "std_series", one_per_key(series_rows(cat), ["series_id"]), "replace"),
+        lambda cat: Change("std_series", series_levels(cat, pick), ("series_id",), "update",
+                           columns=("car_level", "is_green")),
+        lambda cat: into(S.STD_MODEL, "std_model", one_per_key(model_rows(cat), ["model_id"]), "replace"),
+        lambda cat: Change("catalogue_major", one_per_key(wide_rows(cat), ["model_id"]), ("model_id",), "replace"),
+        reg_year_update,
+    ]
+
+
 def plan(cat: Catalog, pick: str = "most") -> list[Change]:
-    """Brands, series, levels, models, wide table, registration years; each on top of the ones before."""
-    changes: list[Change] = []
-
-    def add(change: Change) -> None:
-        nonlocal cat
-        changes.append(change)
-        cat = planned(cat, [change], SCHEMAS)
-
-    add(into(S.STD_BRAND, "std_brand", one_per_key(brand_rows(cat), ["brandid"]), "replace"))
-    add(into(S.STD_SERIES, "std_series", one_per_key(series_rows(cat), ["series_id"]), "replace"))
-    add(Change("std_series", series_levels(cat, pick), ("series_id",), "update", columns=("car_level", "is_green")))
-    add(into(S.STD_MODEL, "std_model", one_per_key(model_rows(cat), ["model_id"]), "replace"))
-    add(Change("catalogue_major", one_per_key(wide_rows(cat), ["model_id"]), ("model_id",), "replace"))
-    add(reg_year_update(cat))
-    return changes
+    """All changes, each planned on top of the ones before it."""
+    return plan_steps(cat, steps(pick), SCHEMAS)

@@ -15,7 +15,7 @@ from listingflow.functions import text, vehicle
 from listingflow.operators import quality
 from listingflow.operators.dedupe import one_per_key
 from listingflow.operators.relational import missing_from
-from listingflow.plans.base import Change, into
+from listingflow.plans.base import Change, Step, into
 from listingflow.sources.catalog import Catalog
 from listingflow.streaming.incremental import since_instant
 
@@ -92,17 +92,21 @@ def master_rows(cat: Catalog, run_date: str | None = None, ids: DataFrame | None
     )
 
 
-def plan(cat: Catalog, run_date: str | None = None, ids: DataFrame | None = None) -> list[Change]:
-    """All catalogue changes of a run, in write order."""
+def steps(run_date: str | None = None, ids: DataFrame | None = None) -> list[Step]:
+    """The changes of a run in write order; they only read source tables and their own targets."""
     return [
-        into(S.ODS_MODEL_EV, "ods_model_ev", ev_rows(cat, run_date, ids)),
-        into(S.ODS_MODEL_DETAIL, "ods_model_detail", detail_rows(cat, run_date, ids)),
-        into(S.ODS_BRAND, "ods_brand", new_brands(cat), "insert_ignore"),
-        into(S.ODS_SERIES, "ods_series", new_series(cat)),
-        into(S.ODS_MODEL_MASTER, "ods_model_master", master_rows(cat, run_date, ids)),
+        lambda cat: into(S.ODS_MODEL_EV, "ods_model_ev", ev_rows(cat, run_date, ids)),
+        lambda cat: into(S.ODS_MODEL_DETAIL, "ods_model_detail", detail_rows(cat, run_date, ids)),
+        lambda cat: into(S.ODS_BRAND, "ods_brand", new_brands(cat), "insert_ignore"),
+        lambda cat: into(S.ODS_SERIES, "ods_series", new_series(cat)),
+        lambda cat: into(S.ODS_MODEL_MASTER, "ods_model_master", master_rows(cat, run_date, ids)),
     ]
 
 
+def plan(cat: Catalog, run_date: str | None = None, ids: DataFrame | None = None) -> list[Change]:
+    return [step(cat) for step in steps(run_date, ids)]
+
+
 SCHEMAS = {
     "ods_model_ev": S.ODS_MODEL_EV, "ods_model_detail": S.ODS_MODEL_DETAIL, "ods_brand": S.ODS_BRAND,
     "ods_series": S.ODS_SERIES, "ods_model_master": S.ODS_MODEL_MASTER,

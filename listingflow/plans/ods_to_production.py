@@ -11,7 +11,7 @@ from listingflow.functions import text, vehicle
 from listingflow.operators import quality
 from listingflow.operators.dedupe import one_per_key
 from listingflow.operators.relational import changed_rows, join_normalised, missing_from, missing_ids
-from listingflow.plans.base import Change, into, planned
+from listingflow.plans.base import Change, Step, into, plan_steps
 from listingflow.sources.align import align
 from listingflow.sources.catalog import Catalog
 
@@ -128,28 +128,30 @@ SCHEMAS = {
 }
 
 
-def plan(cat: Catalog, ids: DataFrame | None = None) -> list[Change]:
-    """All production changes in write order; each is planned on top of the ones before it.
+def steps(ids: DataFrame | None = None) -> list[Step]:
+    """The production changes in write order.
 
     Without ids only new models are inserted and prices updated; with ids the
     given models are overwritten in place.
     """
-    changes: list[Change] = []
-
-    def add(change: Change) -> None:
-        nonlocal cat
-        changes.append(change)
-        cat = planned(cat, [change], SCHEMAS)
-
-    add(into(S.PROD_BRAND, "prod_brand", new_brands(cat)))
-    add(into(S.PROD_SERIES, "prod_series", new_series(cat)))
-    add(color_backfill(cat, ids))
+    key = ("autohome_id",)
     if ids is None:
-        add(Change("prod_config", config_rows(cat), ("autohome_id",), "insert_numbered",
-                   on_duplicate="trusted"))
-        add(price_update(cat))
+        models = [
+            lambda cat: Change("prod_config", config_rows(cat), key, "insert_numbered", on_duplicate="trusted"),
+            price_update,
+        ]
     else:
-        add(Change("prod_config", config_rows(cat, ids, only_new=False), ("autohome_id",), "keep_id",
-                   on_duplicate="trusted"))
-    add(into(S.PROD_EV, "prod_config_ev", ev_rows(cat, ids)))
-    return changes
+        models = [lambda cat: Change(
+            "prod_config", config_rows(cat, ids, only_new=False), key, "keep_id", on_duplicate="trusted")]
+    return [
+        lambda cat: into(S.PROD_BRAND, "prod_brand", new_brands(cat)),
+        lambda cat: into(S.PROD_SERIES, "prod_series", new_series(cat)),
+        lambda cat: color_backfill(cat, ids),
+        *models,
+        lambda cat: into(S.PROD_EV, "prod_config_ev", ev_rows(cat, ids)),
+    ]
+
+
+def plan(cat: Catalog, ids: DataFrame | None = None) -> list[Change]:
+    """All production changes, each planned on top of the ones before it."""
+    return plan_steps(cat, steps(ids), SCHEMAS)

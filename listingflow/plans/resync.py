@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -9,19 +10,30 @@ from pyspark.sql import functions as F
 
 from listingflow import fixed_values as V
 from listingflow.operators import quality
+from listingflow.operators.snapshots import SnapshotTable
 from listingflow.plans import catalogue_to_ods, ods_to_production
-from listingflow.plans.base import Change, planned
+from listingflow.plans.base import Change, Step, plan_steps, planned, run_steps
 from listingflow.sources.catalog import Catalog
 
 
 @dataclass(frozen=True)
 class Resync:
-    """Changes of both stages, the ids refused, and why requested ids yield nothing."""
+    """Steps of both stages, the ids refused, and why requested ids yield nothing."""
 
-    changes: list[Change]
+    steps: list[Step]
     refused: DataFrame
     unusable: DataFrame
 
+    def plan(self, cat: Catalog) -> list[Change]:
+        """Dry run: stage two is planned on stage one's planned output."""
+        return plan_steps(cat, self.steps, SCHEMAS)
+
+    def run(self, cat: Catalog, stores: Mapping[str, SnapshotTable]) -> list[str]:
+        return run_steps(cat, self.steps, stores, SCHEMAS)
+
+
+SCHEMAS = {**catalogue_to_ods.SCHEMAS, **ods_to_production.SCHEMAS}
+
 
 def unusable_ids(cat: Catalog, ids: DataFrame) -> DataFrame:
     """Requested ids that cannot be synced, with the first reason."""
@@ -41,14 +53,12 @@ def unusable_ids(cat: Catalog, ids: DataFrame) -> DataFrame:
     return tagged.where("reason IS NOT NULL").select("id", "reason")
 
 
-def plan(cat: Catalog, ids: DataFrame, threshold: int = V.MANUAL_ID_THRESHOLD) -> Resync:
-    """Re-sync the ids (column ``id``); stage two is planned on stage one's planned output."""
+def prepare(cat: Catalog, ids: DataFrame, threshold: int = V.MANUAL_ID_THRESHOLD) -> Resync:
+    """A re-sync of the ids (column ``id``) at or below the threshold."""
     kept, refused = quality.split_on_threshold(ids, "id", threshold)
     quality.require_some(kept, "ids")
-    first = catalogue_to_ods.plan(cat, ids=kept)
-    after = planned(cat, first, catalogue_to_ods.SCHEMAS)
-    second = ods_to_production.plan(after, ids=kept)
-    return Resync(first + second, refused, unusable_ids(cat, kept))
+    steps = [*catalogue_to_ods.steps(ids=kept), *ods_to_production.steps(kept)]
+    return Resync(steps, refused, unusable_ids(cat, kept))
 
 
 def change_preview(cat: Catalog) -> dict[str, DataFrame]:
