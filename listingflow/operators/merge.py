@@ -46,21 +46,34 @@ def one_source_row(
     raise ValueError(f"on_duplicate: {on_duplicate!r}")
 
 
-def _both(target: DataFrame, source: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Target and source side by side: columns t.* and s.*, presence flags, merged keys."""
-    t = target.select(*[F.col(f"`{c}`") for c in keys],
-                      F.struct(*[F.col(f"`{c}`") for c in target.columns]).alias("_t"))
-    s = source.select(*[F.col(f"`{c}`").cast(dict(target.dtypes)[c]).alias(c) for c in keys],
-                      F.struct(*[F.col(f"`{c}`") for c in source.columns]).alias("_s"))
-    return t.join(s, list(keys), how)
+def _kinds(target: DataFrame) -> dict[str, str]:
+    return dict(target.dtypes)
 
 
-def _field(side: str, name: str, target: DataFrame) -> Column:
-    return F.col(side).getField(name).cast(dict(target.dtypes)[name])
+def _row(df: DataFrame, names: Sequence[str], target: DataFrame, defaults: Mapping[str, object]) -> Column:
+    """One struct of target columns in target types; columns ``df`` lacks get their default."""
+    kinds = _kinds(target)
 
+    def value(c: str) -> Column:
+        col = F.col(f"`{c}`") if c in df.columns else F.lit(defaults.get(c))
+        return col.cast(kinds[c]).alias(c)
 
-def _default(name: str, target: DataFrame, defaults: Mapping[str, object]) -> Column:
-    return F.lit(defaults.get(name)).cast(dict(target.dtypes)[name])
+    # the marker keeps the struct from being empty
+    return F.struct(F.lit(1).alias("_here"), *[value(c) for c in names])
+
+
+def _keyed(df: DataFrame, keys: Sequence[str], target: DataFrame, **rows: Column) -> DataFrame:
+    kinds = _kinds(target)
+    return df.select(
+        *[F.col(f"`{k}`").cast(kinds[k]).alias(k) for k in keys], *[c.alias(n) for n, c in rows.items()])
+
+
+def _spell_out(joined: DataFrame, keys: Sequence[str], target: DataFrame, parts: Mapping[str, Sequence[str]]) -> DataFrame:
+    """The target's columns from the keys and from structs that hold the others."""
+    home = {c: part for part, names in parts.items() for c in names}
+    return joined.select(*[
+        F.col(f"`{c}`") if c in keys else F.col(home[c]).getField(c).alias(c) for c in target.columns
+    ])
 
 
 def upsert(
@@ -70,18 +83,26 @@ def upsert(
 ) -> DataFrame:
     """Insert new keys; of existing rows change only the columns the source has."""
     defaults = defaults or {}
-    both = _both(target, one_source_row(source, keys, on_duplicate, order), keys, "full")
-    fresh = F.col("_s").isNotNull()
-
-    def choose(c: str) -> Column:
-        if c in keys:
-            return F.col(f"`{c}`")
-        if c in source.columns:
-            return F.when(fresh, _field("_s", c, target)).otherwise(_field("_t", c, target)).alias(c)
-        return F.when(F.col("_t").isNotNull(), _field("_t", c, target)).otherwise(
-            _default(c, target, defaults)).alias(c)
-
-    return both.select(*[choose(c) for c in target.columns])
+    given = [c for c in target.columns if c not in keys and c in source.columns]
+    rest = [c for c in target.columns if c not in keys and c not in source.columns]
+    source = one_source_row(source, keys, on_duplicate, order)
+    old = _keyed(target, keys, target, _old=_row(target, given, target, {}), _rest=_row(target, rest, target, {}))
+    new = _keyed(source, keys, target, _new=_row(source, given, target, {}))
+    fresh = _row(source.select(*keys), rest, target, defaults)
+    joined = old.join(new, list(keys), "full").withColumns(
+        {"_given": F.coalesce("_new", "_old"), "_others": F.coalesce(F.col("_rest"), fresh)})
+    return _spell_out(joined, keys, target, {"_given": given, "_others": rest})
+
+
+def _whole_rows(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], defaults: Mapping[str, object], source_wins: bool
+) -> DataFrame:
+    names = [c for c in target.columns if c not in keys]
+    old = _keyed(target, keys, target, _old=_row(target, names, target, {}))
+    new = _keyed(source, keys, target, _new=_row(source, names, target, defaults))
+    order = ("_new", "_old") if source_wins else ("_old", "_new")
+    joined = old.join(new, list(keys), "full").withColumn("_row", F.coalesce(*order))
+    return _spell_out(joined, keys, target, {"_row": names})
 
 
 def replace_rows(
@@ -90,17 +111,7 @@ def replace_rows(
     on_duplicate: str = "error", order: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Replace whole rows: columns the source lacks go back to their defaults."""
-    defaults = defaults or {}
-    both = _both(target, one_source_row(source, keys, on_duplicate, order), keys, "full")
-    fresh = F.col("_s").isNotNull()
-
-    def choose(c: str) -> Column:
-        if c in keys:
-            return F.col(f"`{c}`")
-        new = _field("_s", c, target) if c in source.columns else _default(c, target, defaults)
-        return F.when(fresh, new).otherwise(_field("_t", c, target)).alias(c)
-
-    return both.select(*[choose(c) for c in target.columns])
+    return _whole_rows(target, one_source_row(source, keys, on_duplicate, order), keys, defaults or {}, True)
 
 
 def insert_ignore(
@@ -108,17 +119,7 @@ def insert_ignore(
     defaults: Mapping[str, object] | None = None, order: Sequence[Column] | None = None,
 ) -> DataFrame:
     """Add rows whose key the target lacks; the first row (by order) of a key wins."""
-    defaults = defaults or {}
-    both = _both(target, one_per_key(source, keys, order), keys, "full")
-    known = F.col("_t").isNotNull()
-
-    def choose(c: str) -> Column:
-        if c in keys:
-            return F.col(f"`{c}`")
-        new = _field("_s", c, target) if c in source.columns else _default(c, target, defaults)
-        return F.when(known, _field("_t", c, target)).otherwise(new).alias(c)
-
-    return both.select(*[choose(c) for c in target.columns])
+    return _whole_rows(target, one_per_key(source, keys, order), keys, defaults or {}, False)
 
 
 def truncate_load(source: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
@@ -135,13 +136,12 @@ def update_from(
     The source gives one row per key: the first by order, by default the
     smallest values.
     """
-    picked = one_per_key(source.select(*keys, *columns), keys, order).select(
-        *keys, F.struct(*columns).alias("_s")
-    )
+    picked = one_per_key(source.select(*keys, *columns), keys, order)
+    picked = _keyed(picked, keys, target, _new=_row(picked, columns, target, {}))
     joined = target.join(picked, list(keys), "left")
-    hit = F.col("_s").isNotNull() if when is None else F.col("_s").isNotNull() & when
+    hit = F.col("_new").isNotNull() if when is None else F.col("_new").isNotNull() & when
     return joined.withColumns(
-        {c: F.when(hit, _field("_s", c, target)).otherwise(F.col(c)) for c in columns}
+        {c: F.when(hit, F.col("_new").getField(c)).otherwise(F.col(f"`{c}`")) for c in columns}
     ).select(*[F.col(f"`{c}`") for c in target.columns])
 
 
