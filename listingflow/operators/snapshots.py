@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-def _fs(spark: SparkSession, path: str):
+def filesystem(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
@@ -31,7 +31,7 @@ class SnapshotTable:
     root: str
 
     def _numbers(self) -> list[int]:
-        fs, root = _fs(self.spark, self.root)
+        fs, root = filesystem(self.spark, self.root)
         if not fs.exists(root):
             return []
         names = [entry.getPath().getName() for entry in fs.listStatus(root)]
@@ -42,7 +42,7 @@ class SnapshotTable:
 
     def current(self) -> str | None:
         for number in reversed(self._numbers()):
-            fs, marker = _fs(self.spark, f"{self._path(number)}/_SUCCESS")
+            fs, marker = filesystem(self.spark, f"{self._path(number)}/_SUCCESS")
             if fs.exists(marker):
                 return self._path(number)
         return None
@@ -92,7 +92,7 @@ def overwrite_partitions(
         .partitionBy(*cols).parquet(path)
     )
     for part in gone:
-        fs, folder = _fs(spark, path + "".join(f"/{c}={part[c]}" for c in cols))
+        fs, folder = filesystem(spark, path + "".join(f"/{c}={part[c]}" for c in cols))
         fs.delete(folder, True)
     return staging
 

@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listingflow import schemas as S
 from listingflow.functions import geo, listing
-from listingflow.operators import quality
-from listingflow.operators.dedupe import latest_by, only_unique
+from listingflow.operators import merge, quality
+from listingflow.operators.dedupe import latest_by, one_per_key, only_unique
 from listingflow.operators.skew import broadcast_lookup_join, lookup_join
+from listingflow.operators.snapshots import filesystem, overwrite_partitions, touched_partitions
 from listingflow.plans.base import Change, into
 from listingflow.sources.align import align, project
+from listingflow.session import cut_lineage
 from listingflow.sources.catalog import Catalog
 from listingflow.streaming.incremental import high_water_mark, newer_than_mark
 
@@ -167,20 +169,22 @@ def model_dim(cat: Catalog, models: DataFrame) -> DataFrame:
 
 
 def enrich(df: DataFrame, cat: Catalog, spec: PlatformSpec, models: DataFrame, places: geo.Gazetteer) -> DataFrame:
-    """Star join: model attributes and district; listings without either are dropped."""
-    dim = model_dim(cat, models)
-    if spec.mid_column is None:
-        # one listing per mapping and both have one row per id: joined where the latest rows already lie
-        df = df.drop("platform_key").join(dim.withColumnRenamed("platform_key", "id_data_input"), "id_data_input")
-    else:
-        df = broadcast_lookup_join(df, dim, ["platform_key"], "inner")
+    """Star join: district and model attributes; listings without either are dropped."""
     cities = geo.one_row_per_city(places.districts).withColumnRenamed("city", "location").drop("regional")
-    df = df.where("location IS NOT NULL")
+    # '' is no city; a NULL here would make Spark test, and so compute, the place a second time
+    df = df.withColumn("location", F.coalesce("location", F.lit("")))
+    cities = cities.where("location <> ''")
     if places.cities is not None:
         # one row per city and the cities were counted when the dictionary was loaded
         df = df.join(F.broadcast(cities), "location")
     else:
         df = lookup_join(df, cities, ["location"], "inner")
+    dim = model_dim(cat, models)
+    if spec.mid_column is None:
+        # one listing per mapping and both have one row per id: joined where the latest rows already lie
+        df = df.drop("platform_key").join(dim.withColumnRenamed("platform_key", "id_data_input"), "id_data_input")
+    else:
+        df = broadcast_lookup_join(df, dim, ["platform_key"], "inner")
     month = listing.reg_month(F.col("regDate"))
     return df.withColumns({
         "car_platform": F.lit(spec.name),
@@ -236,4 +240,39 @@ def plan(cat: Catalog, platform: str, run_date: str) -> list[Change]:
     return changes
 
 
+KEYS = ("car_platform", "id_data_input")
 PARTITIONS = ("car_platform", "partition_month")
+
+
+def commit_wide(
+    spark: SparkSession, path: str, platform: str, rows: DataFrame, deleted: DataFrame | None = None
+) -> None:
+    """Merge a platform's rows into the partitioned wide table, rewriting only the months they touch.
+
+    ``deleted`` has listing ids (column ``id``) that leave the table. The rows
+    are written to the checkpoint folder once, since they are read for the
+    months and for the merge.
+    """
+    rows = cut_lineage(rows)
+    columns = [f.name for f in S.LISTING_WIDE.fields]
+    fs, folder = filesystem(spark, path)
+    if not fs.exists(folder):
+        one_per_key(rows, KEYS).write.partitionBy(*PARTITIONS).parquet(path)
+        return
+    mine = spark.read.schema(S.LISTING_WIDE).parquet(path).where(F.col("car_platform") == platform).select(*columns)
+    gone = mine.select(*KEYS).limit(0) if deleted is None else cut_lineage(
+        deleted.select(F.lit(platform).alias("car_platform"), F.col("id").cast("long").alias("id_data_input")))
+    touched = touched_partitions(mine, rows, KEYS, PARTITIONS).unionByName(
+        mine.join(gone, list(KEYS), "left_semi").select(*PARTITIONS)).distinct()
+    # months of one platform, not rows
+    months = [r.partition_month for r in touched.collect()]
+    inside = merge.delete_matching(mine.where(F.col("partition_month").isin(months)), gone, KEYS)
+    touched = spark.createDataFrame([(platform, m) for m in months], "car_platform string, partition_month string")
+    overwrite_partitions(spark, path, merge.upsert(inside, rows, KEYS), touched, PARTITIONS)
+
+
+def run(cat: Catalog, platform: str, run_date: str, path: str) -> None:
+    """One platform, from its mark to the partitioned wide table at ``path``."""
+    spec = PLATFORMS[platform]
+    old = superseded(cat, platform) if spec.drops_superseded else None
+    commit_wide(cat.spark, path, platform, wide_rows(cat, platform, run_date), old)

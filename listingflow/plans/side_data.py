@@ -23,8 +23,9 @@ def gazetteer(cat: Catalog) -> geo.Gazetteer:
 
 def _add_province(df: DataFrame, places: geo.Gazetteer) -> DataFrame:
     """Inner join on the province of each city: one row per city, rows without one are dropped."""
-    provinces = geo.one_row_per_city(places.districts).select("city", "province")
-    df = df.where("city IS NOT NULL")
+    provinces = geo.one_row_per_city(places.districts).select("city", "province").where("city <> ''")
+    # '' is no city; a NULL here would make Spark test, and so compute, the place a second time
+    df = df.withColumn("city", F.coalesce("city", F.lit("")))
     if places.cities is not None:
         # one row per city and the cities were counted when the dictionary was loaded
         return df.join(F.broadcast(provinces), "city")

@@ -124,6 +124,30 @@ def test_listing_run_is_idempotent(spark, tables, platform):
     assert content(change.apply(once)) == content(once)
 
 
+def test_wide_table_rewrites_only_touched_months(spark, tables, tmp_path):
+    cat, path = listing_catalog(tables), str(tmp_path / "wide")
+    cat.bind_frame("listing_wide", spark.createDataFrame([], S.LISTING_WIDE))
+    rows = listings.wide_rows(cat, "che58", RUN)
+    listings.commit_wide(spark, path, "che58", rows)
+    # other platforms and months that no change touches stay as they are
+    other = rows.withColumn("car_platform", F.lit("rrc"))
+    listings.commit_wide(spark, path, "rrc", other)
+    months = sorted(r.partition_month for r in rows.select("partition_month").distinct().collect())
+    stamp = {f: f.stat().st_mtime_ns for f in (tmp_path / "wide").rglob("*.parquet")}
+    moved = rows.where(F.col("partition_month") == months[0]).withColumns(
+        {"partition_month": F.lit("209901"), "quotes": F.lit(1.0)})
+    last = rows.where(F.col("partition_month") == months[-1]).select(F.col("id_data_input").alias("id"))
+    listings.commit_wide(spark, path, "che58", moved, last)
+    wide = spark.read.schema(S.LISTING_WIDE).parquet(path)
+    mine = wide.where("car_platform = 'che58'")
+    assert mine.where("quotes = 1.0").count() == moved.count() == mine.where("partition_month = '209901'").count()
+    assert mine.where(F.col("partition_month").isin(months[0], months[-1])).isEmpty()
+    assert mine.count() == rows.count() - last.count()
+    assert wide.where("car_platform = 'rrc'").count() == rows.count()
+    kept = [f for f in stamp if f"={months[0]}" not in str(f) and f"={months[-1]}" not in str(f) or "rrc" in str(f)]
+    assert kept and all(f.stat().st_mtime_ns == stamp[f] for f in kept)
+
+
 def test_superseded_listings_leave_source_and_wide_table(spark, tables):
     cat = listing_catalog(tables)
     changes = listings.plan(cat, "che58", RUN)
