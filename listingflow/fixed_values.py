@@ -134,6 +134,8 @@ EQUIPMENT_RULES = (
     (r"前无|后无|主无|副无|无", "N"),
     (r"前-|后-|主-|副-|-", "N"),
 )
+# what the rules make of the plain values
+EQUIPMENT_PLAIN = {"标配": "Y", "选配": "N", "无": "N", "-": "N"}
 EQUIPMENT_COLUMNS = (
     "master_air_bag", "sub_air_bag", "front_side_air_bag", "rear_side_air_bag",
     "front_head_air_bag", "rear_head_air_bag", "front_parking_radar", "rear_parking_radar",

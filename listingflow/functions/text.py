@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -69,15 +69,26 @@ def join_words(*cols: Column) -> Column:
     return F.trim(F.regexp_replace(F.trim(F.concat_ws(" ", *cols)), r" +", " "))
 
 
-def fold_rules_over(df: DataFrame, columns: Sequence[str], rules: Sequence[Sequence[str]]) -> DataFrame:
+def fold_rules_over(
+    df: DataFrame, columns: Sequence[str], rules: Sequence[Sequence[str]], plain: Mapping[str, str] | None = None
+) -> DataFrame:
     """The same rules on many text columns, as one expression over their array.
 
     Dozens of copies of a rule chain would outgrow one generated method; the
-    array keeps a single copy.
+    array keeps a single copy. ``plain`` gives the known results of frequent
+    values, which then skip the patterns.
     """
     columns = [c for c in columns if c in df.columns]
     if not columns:
         return df
-    values = F.transform(F.array(*[F.col(f"`{c}`").cast("string") for c in columns]), lambda c: fold_rules(c, rules))
+
+    def one(c: Column) -> Column:
+        shortcut = None
+        for value, result in (plain or {}).items():
+            shortcut = (F if shortcut is None else shortcut).when(c == value, result)
+        folded = fold_rules(c, rules)
+        return folded if shortcut is None else shortcut.otherwise(folded)
+
+    values = F.transform(F.array(*[F.col(f"`{c}`").cast("string") for c in columns]), one)
     out = df.withColumn("_folded", values)
     return out.withColumns({c: F.col("_folded")[i] for i, c in enumerate(columns)}).drop("_folded")

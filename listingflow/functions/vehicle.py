@@ -179,7 +179,7 @@ def split_pairs(df: DataFrame, separator: str = V.PAIR_SEPARATOR) -> DataFrame:
 
 def equipment_flags(df: DataFrame, columns=V.EQUIPMENT_COLUMNS) -> DataFrame:
     """标配 becomes Y; 选配, 无 and '-' become N."""
-    return fold_rules_over(df, columns, V.EQUIPMENT_RULES)
+    return fold_rules_over(df, columns, V.EQUIPMENT_RULES, V.EQUIPMENT_PLAIN)
 
 
 def catalogue_color(col: Column) -> Column:

@@ -14,11 +14,12 @@ log = logging.getLogger("listingflow")
 
 def align(df: DataFrame, schema: T.StructType, mode: str = "pad", skip: Sequence[str] = ()) -> DataFrame:
     """'pad': every target column, absent ones as typed NULLs; 'intersect': only those both have."""
-    have = set(df.columns)
+    have = {f.name: f.dataType for f in df.schema.fields}
 
     def pick(field: T.StructField) -> Column:
         if field.name in have:
-            return F.col(f"`{field.name}`").cast(field.dataType).alias(field.name, metadata=field.metadata)
+            col = F.col(f"`{field.name}`")
+            return col if have[field.name] == field.dataType else col.cast(field.dataType).alias(field.name)
         return F.lit(None).cast(field.dataType).alias(field.name)
 
     if mode not in ("pad", "intersect"):

@@ -79,6 +79,12 @@ def test_equipment_flags(spark):
     assert [r[0] for r in vehicle.equipment_flags(df).collect()] == ["Y", "Y", "N", "N", "N", "N", "Y/Y", None]
 
 
+def test_plain_equipment_values_equal_the_rules(spark):
+    df = spark.createDataFrame([(v,) for v in V.EQUIPMENT_PLAIN], "v string")
+    got = {r[0]: r[1] for r in df.select("v", text.fold_rules(C("v"), V.EQUIPMENT_RULES)).collect()}
+    assert got == V.EQUIPMENT_PLAIN
+
+
 def test_pair_split(spark):
     rows = [("主标配\\/副标配", "主标配\\/副标配"), ("主标配?\\/副标配", "主标配\\/\\副标配"), ("主标配/副标配", "主标配/副标配")]
     got = vehicle.split_pairs(spark.createDataFrame(rows, "master_air_bag string, sub_air_bag string")).collect()
