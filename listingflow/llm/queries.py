@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingflow.llm import sharding
+from listingflow.llm import langid, quality, sharding
+from listingflow.llm.shared import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -36,3 +37,33 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@_query("op4_language_id")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every whole text, learned from four folds of five."""
+    docs = _table(spark, folder, "documents")
+    model = langid.fit(docs.where(fold(F.col("doc_id"), 5) != 0))
+    out = langid.identify(docs.select("doc_id", "text"), model)
+    return out.select(
+        "doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"), F.col("language.score").alias("score"),
+        F.col("language.rejected").alias("rejected"),
+    )
+
+
+#: Documents of at least this score stay.
+KEEP_QUALITY = 0.3
+
+
+@_query("op6_quality_classifier")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """The quality score of every whole text, learned from the labels of four folds of five."""
+    docs = _table(spark, folder, "documents")
+    labels = _table(spark, folder, "labels").where(fold(F.col("doc_id"), 5) != 0)
+    model = quality.fit(docs, labels.select("doc_id", F.col("quality").alias("label")))
+    out = quality.score(docs.select("doc_id", "text"), model)
+    return out.select(
+        "doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= KEEP_QUALITY, 1).otherwise(0).alias("predicted"),
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,9 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def fresh(df: DataFrame, *names: str) -> DataFrame:
-    """Drop columns that an operator is about to add."""
-    return df.drop(*names)
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from the driver's path; where they can't reach it, ship it with --py-files."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
+    if root not in paths:
+        env["PYTHONPATH"] = ":".join([*paths, root])
