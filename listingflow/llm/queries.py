@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingflow.llm import langid, quality, sharding
+from listingflow.llm import langid, quality, sharding, simhash
 from listingflow.llm.shared import fold
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,10 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score",
         F.when(F.col("score") >= KEEP_QUALITY, 1).otherwise(0).alias("predicted"),
     )
+
+
+@_query("op3_simhash_near_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document: four-word shingles, four bits."""
+    found = simhash.near_duplicates(_table(spark, folder, "documents"), words=4, radius=4)
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
