@@ -140,20 +140,23 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, per_lang: int = 800, max_langs: int = 200) -> Model:
     """Train on (doc_id, text, lang): of each of the ``max_langs`` commonest languages at most ``per_lang`` rows.
 
-    Rows with the smallest hash of their id are taken. Rows with a null id or
-    language teach nothing, nor do texts without letters. Without any example
-    every text is unknown.
+    Rows with the smallest hash of their id are taken; a repeated id teaches
+    once. Rows with a null id or language teach nothing, nor do texts without
+    letters. Without any example every text is unknown.
     """
     known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL")
-    common = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).select("lang")
+    common = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs)
+    # Hashes are uniform: this leaves about 1.5 * per_lang ids of a language before they meet in a task.
+    order = F.xxhash64("doc_id")
+    near = F.shiftrightunsigned(order, 33) < F.lit(1.5 * per_lang * 2.0**31) / F.col("n")
+    ids = known.join(F.broadcast(common), "lang").where(near).select("doc_id", "lang", order.alias("order")).distinct()
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    # ids only; the row limit is applied before the exchange as well, so no language gathers in a task
-    ids = known.select("doc_id", "lang", F.xxhash64("doc_id").alias("order")).withColumn("rank", rank).where(F.col("rank") <= per_lang)
     # at most max_langs * per_lang ids
-    chosen = ids.join(F.broadcast(common), "lang").select("doc_id", "lang", "order").distinct()
+    chosen = ids.withColumn("rank", rank).where(F.col("rank") <= per_lang).drop("rank")
     importable(docs.sparkSession)
     rows = (
-        docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), ["doc_id", "lang"]).select("order", "lang", "text")
+        docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), ["doc_id", "lang"])
+        .groupBy("order", "doc_id", "lang").agg(F.min("text").alias("text")).select("order", "lang", "text")
         .mapInArrow(_examples, "order long, lang string, index binary, share binary").toArrow()
     ).sort_by([("order", "ascending"), ("lang", "ascending"), ("index", "ascending")])
     names = tuple(sorted(set(rows.column("lang").to_pylist())))

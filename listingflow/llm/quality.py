@@ -128,8 +128,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000) -> Model:
     """Train on at most ``max_rows`` labelled documents, those with the smallest hash of their id.
 
     ``docs`` has (doc_id, text), ``labels`` (doc_id, label). Null labels and ids
-    are left out; several labels of one id count as the largest. Equal texts and
-    repeated ids each count. Without any labelled row the score is ½ everywhere.
+    are left out; several labels of one id count as the largest, and a repeated id
+    teaches once. Without any labelled row the score is ½ everywhere.
     """
     known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
     order = F.xxhash64("doc_id")
@@ -137,7 +137,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000) -> Model:
     chosen = known.select("doc_id", F.col("label").cast("int").alias("label"), order.alias("order")).orderBy("order", "doc_id").limit(max_rows)
     importable(docs.sparkSession)
     rows = (
-        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("order", "label", "text")
+        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+        .groupBy("order", "doc_id", "label").agg(F.min("text").alias("text")).select("order", "label", "text")
         .mapInArrow(_examples, "order long, label int, index binary, share binary").toArrow()
     )
     rows = rows.sort_by([("order", "ascending"), ("index", "ascending")])
