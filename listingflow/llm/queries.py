@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingflow.llm import langid, quality, sharding, simhash
-from listingflow.llm.shared import fold
+from listingflow.llm import langid, quality, secrets, sharding, simhash
+from listingflow.llm.shared import fold, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -74,3 +74,40 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document: four-word shingles, four bits."""
     found = simhash.near_duplicates(_table(spark, folder, "documents"), words=4, radius=4)
     return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+# Spans of one kind: what lies before a match is all pieces up to it and all matches before it.
+_SPANS = """list_transform(list_filter(generate_series(1, len(m_{k})), lambda i: length(g_{k}[i]) >= {least}), lambda i: {{
+    'start': list_sum(list_transform(p_{k}[1:i], lambda x: length(x)))
+             + coalesce(list_sum(list_transform(m_{k}[1:i - 1], lambda x: length(x))), 0),
+    'place': {place}, 'kind': '{k}', 'size': length(m_{k}[i])}})"""
+
+
+def _secret_sql() -> str:
+    found, spans = [], []
+    for place, rule in enumerate(secrets.RULES):
+        quoted = rule.pattern.replace("'", "''")
+        found.append(f"regexp_extract_all(t, '{quoted}', 0) AS m_{rule.kind}, string_split_regex(t, '{quoted}') AS p_{rule.kind}, "
+                     f"regexp_extract_all(t, '{quoted}', {rule.part}) AS g_{rule.kind}")
+        spans.append(_SPANS.format(k=rule.kind, place=place, least=rule.least))
+    base = ", ".join(f"'{r.kind}'" for r in secrets.BASE)
+    joined = "array_to_string(list_transform({}, lambda s: s.kind || ':' || CAST(s.start AS BIGINT) || ':' || CAST(s.start + s.size AS BIGINT)), ',')"
+    chosen = f"list_filter(spans, lambda s: s.kind IN ({base}))"
+    counts = ", ".join(f"CAST(len(list_filter(spans, lambda s: s.kind = '{r.kind}')) AS BIGINT) AS n_{r.kind}" for r in secrets.BASE)
+    return f"""
+        SELECT doc_id, {counts}, sha256({joined.format(chosen)}) AS base_sha256, {joined.format("spans")} AS spans
+        FROM (SELECT doc_id, list_sort(list_concat({", ".join(spans)})) AS spans
+              FROM (SELECT doc_id, {", ".join(found)} FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)))"""
+
+
+@_query("op10_secret_scan", _secret_sql())
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every whole text, each distinct text scanned once by way of a new ledger."""
+    ledger = secrets.Ledger(spark, shared_path(spark, "ledger"))
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.scan_versions(docs, ledger, "text")
+    spans = F.col("spans")
+    base = F.filter(spans, lambda s: s["place"] < len(secrets.BASE))
+    counts = [secrets.count_of(spans, r.kind).alias(f"n_{r.kind}") for r in secrets.BASE]
+    return found.select("doc_id", *counts, F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
+                        secrets.listed(spans).alias("spans"))
