@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingflow.llm import langid, quality, secrets, sharding, simhash
-from listingflow.llm.shared import fold, shared_path
+from listingflow.llm import langid, line_rules, quality, secrets, sharding, simhash
+from listingflow.llm.shared import BLANK, WORD, fold, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -111,3 +111,40 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     counts = [secrets.count_of(spans, r.kind).alias(f"n_{r.kind}") for r in secrets.BASE]
     return found.select("doc_id", *counts, F.sha2(secrets.listed(base).cast("binary"), 256).alias("base_sha256"),
                         secrets.listed(spans).alias("spans"))
+
+
+def _text_sql(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_LINE_SQL = f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),
+    win AS (SELECT doc_id, unnest(list_transform(range(0, len(w) - 4), lambda i: {{'i': i, 'k': w[i + 1:i + 5]}})) AS x FROM d),
+    dup AS (SELECT doc_id, x.i AS i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, x.k) > 1),
+    rep AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM dup, (SELECT unnest(range(0, 5)) AS o) GROUP BY doc_id),
+    ln AS (SELECT * FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '{WORD}')),
+    judged AS (SELECT *, length(regexp_replace(x, '{BLANK}+', '', 'g')) AS chars, NOT (
+            len(regexp_extract_all(x, {_text_sql(line_rules.SYMBOLS)})) * {line_rules.SYMBOL_EVERY} > length(x)
+            OR (len(regexp_extract_all(x, '\\p{{Lu}}')) * 2 > length(x) AND length(x) >= 20)
+            OR regexp_matches(x, {_text_sql(line_rules.NAVIGATION)}) OR regexp_matches(x, {_text_sql(line_rules.BOILERPLATE)})
+            OR (NOT regexp_matches(x, {_text_sql(line_rules.SENTENCE_END)})
+                AND len(regexp_extract_all(x, '{WORD}')) >= {line_rules.OPEN_WORDS})) AS stays FROM ln),
+    per AS (SELECT doc_id, count(*) - count(DISTINCT x) AS dup_lines, coalesce(sum(chars) FILTER (stays), 0) AS chars_left
+            FROM judged GROUP BY doc_id),
+    counts AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+            CAST(len(regexp_extract_all(t, {_text_sql(line_rules.SYMBOLS)})) AS BIGINT) AS n_symbols,
+            CAST(coalesce(dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+            CASE WHEN len(w) > 0 THEN 1 - CAST(coalesce(chars_left, 0) AS DOUBLE) / length(array_to_string(w, '')) ELSE 0.0 END AS part
+        FROM d LEFT JOIN per USING (doc_id) LEFT JOIN rep USING (doc_id))
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+        (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
+        (NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND part <= 0.4) AS kept, round(part, 6) AS lost
+    FROM counts"""
+
+
+@_query("op8_quality_rules", _LINE_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts of every whole text and whether the line-first rules keep it."""
+    out = line_rules.clean(_table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                      F.round("lost", 6).alias("lost"))
