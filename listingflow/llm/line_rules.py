@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listingflow.llm.shared import BLANK, WORD, words_of
+from listingflow.llm.shared import BLANK, WORD, settled, words_of
 
 # The signs that count as symbols, and the limits of the document rules.
 SYMBOLS = r"[#*$%&|<>]"
@@ -99,4 +99,5 @@ def clean(docs: DataFrame, text: str = "text", most_lost: float = 0.4) -> DataFr
     })
     left = F.length(F.regexp_replace("clean_text", BLANK + "+", ""))
     judged = judged.withColumn("lost", F.when(F.col("word_chars") > 0, 1 - left / F.col("word_chars")).otherwise(F.lit(0.0)))
-    return judged.withColumn("kept", ~F.col("base_failed") & (F.col("lost") <= most_lost)).drop("_lines")
+    judged = judged.withColumn("kept", ~F.col("base_failed") & (F.col("lost") <= most_lost)).drop("_lines")
+    return settled(judged, *added)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingflow.llm import langid, line_rules, quality, secrets, sharding, simhash
+from listingflow.llm import decontam, langid, line_rules, quality, secrets, sharding, simhash
 from listingflow.llm.shared import BLANK, WORD, fold, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,21 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     out = line_rules.clean(_table(spark, folder, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                       F.round("lost", 6).alias("lost"))
+
+
+def _shingle_sql(table: str, key: str) -> str:
+    """Distinct (id, shingle) rows of a table."""
+    return f"""SELECT DISTINCT {key}, unnest(CASE WHEN len(w) = 0 THEN [] ELSE list_transform(
+            range(0, greatest(len(w) - 5, 0) + 1), lambda i: array_to_string(w[i + 1:i + 5], ' ')) END) AS s
+        FROM (SELECT {key}, regexp_extract_all(lower(coalesce(text, '')), '{decontam.TOKEN}') AS w FROM {table})"""
+
+
+@_query("op7_benchmark_decontamination", f"""
+    WITH d AS ({_shingle_sql("documents", "doc_id")}), b AS ({_shingle_sql("benchmark", "item_id")}),
+    q AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id)
+    SELECT doc_id, item_id, round(count(*) / CAST(any_value(n) AS DOUBLE), 6) AS containment, count(*) AS shared,
+        CAST(any_value(n) AS BIGINT) AS item_shingles
+    FROM d JOIN b USING (s) JOIN q USING (item_id) GROUP BY doc_id, item_id HAVING count(*) >= ceil(any_value(n) * 0.8 - 1e-9)""")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and the benchmark items they contain."""
+    return decontam.find(_table(spark, folder, "documents").select("doc_id", "text"), _table(spark, folder, "benchmark"))

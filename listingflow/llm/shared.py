@@ -44,3 +44,20 @@ def importable(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(":") if p]
     if root not in paths:
         env["PYTHONPATH"] = ":".join([*paths, root])
+
+
+def sized(df: DataFrame, name: str, most: int) -> DataFrame:
+    """A stored step, marked for broadcast if it has at most ``most`` rows; beyond that joins shuffle it."""
+    df = stored(df, name)
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def settled(df: DataFrame, *names: str) -> DataFrame:
+    """The same rows; later filters on the named columns no longer move below their computation.
+
+    A filter that moved there would spell the columns out, and arrays inside
+    functions of their own elements would be made anew for every element.
+    """
+    packed = F.explode(F.array(F.struct(*[f"`{n}`" for n in names]))).alias("_settled")
+    rest = [f"`{c}`" for c in df.columns if c not in names]
+    return df.select(*rest, packed).select(*[F.col("_settled")[c].alias(c) if c in names else F.col(f"`{c}`") for c in df.columns])
