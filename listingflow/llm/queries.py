@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingflow.llm import decontam, langid, line_rules, quality, secrets, sharding, simhash
+from listingflow.llm import decontam, langid, line_rules, mixing, quality, secrets, sharding, simhash
 from listingflow.llm.shared import BLANK, WORD, fold, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,14 @@ def _shingle_sql(table: str, key: str) -> str:
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     """Documents and the benchmark items they contain."""
     return decontam.find(_table(spark, folder, "documents").select("doc_id", "text"), _table(spark, folder, "benchmark"))
+
+
+#: Nats of the weights in the production mix; twenty like sources have 2.996.
+MIX_ENTROPY = 2.9
+
+
+@_query("op1_source_mixing")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """One epoch's worth of tokens from all documents, sources flattened to the target entropy."""
+    docs = _table(spark, folder, "documents").select("doc_id", "source", mixing.tokens_of(F.col("text")).alias("n_tokens"))
+    return mixing.mix(docs, tokens="n_tokens", entropy=MIX_ENTROPY, epochs=1.0)
