@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingflow.llm import decontam, langid, line_rules, mixing, quality, secrets, sharding, simhash
+from listingflow.llm import decontam, langid, line_rules, mixing, quality, scoring, secrets, sharding, simhash
 from listingflow.llm.shared import BLANK, WORD, fold, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,11 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     """One epoch's worth of tokens from all documents, sources flattened to the target entropy."""
     docs = _table(spark, folder, "documents").select("doc_id", "source", mixing.tokens_of(F.col("text")).alias("n_tokens"))
     return mixing.mix(docs, tokens="n_tokens", entropy=MIX_ENTROPY, epochs=1.0)
+
+
+@_query("op5_lm_scoring")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Model and base scores of every whole text, learned from nine folds of ten."""
+    number = fold(F.col("doc_id"), 10)
+    out = scoring.score(_table(spark, folder, "documents").select("doc_id", "text"), number != 0)
+    return out.withColumn("held_out", F.coalesce(number == 0, F.lit(False)))
