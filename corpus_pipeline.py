@@ -1,6 +1,7 @@
 """A corpus pipeline: each stage calls one operator on all that the stage before it kept.
 
-Stages are added with their operators.
+A stage takes (spark, docs, sf_dir) and returns documents, all columns kept; the
+last one returns whole rows with their shard and place.
 """
 
 from __future__ import annotations
@@ -8,26 +9,61 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from listingflow.llm import sharding
-from listingflow.llm.shared import stored
+from listingflow.llm import decontam, mixing, quality, sharding, simhash
+from listingflow.llm.queries import KEEP_QUALITY
+from listingflow.llm.shared import fold, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: A source is used at most this often.
+REPEATS = 2.0
+
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold(F.col("doc_id"), 5) != 0)
+    model = quality.fit(docs, labels.select("doc_id", F.col("quality").alias("label")))
+    return quality.score(docs, model, out="_score").where(F.col("_score") >= KEEP_QUALITY).drop("_score")
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates: four-word shingles, four bits."""
+    return simhash.one_of_each(docs, words=4, radius=4)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain no benchmark item."""
+    return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document once or more: sources as flat as a limit of REPEATS lets them be, none left unused in part."""
+    counted = docs.withColumn("_tokens", mixing.tokens_of(F.col("text")))
+    return mixing.mix(counted, tokens="_tokens", repeats=REPEATS).select(*docs.columns)
+
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole rows in eight shards of shuffled order."""
     return sharding.external_shuffle(docs, sharding.text_bytes("text"))
 
 
-STAGES: list[tuple[str, Stage]] = [("sharding", shard)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality classifier", classify),
+    ("SimHash near-dedup", dedup),
+    ("benchmark decontamination", decontaminate),
+    ("mixing sources", mix),
+    ("sharding", shard),
+]
 
-# The quality classifier is a trained model, which SQL can't express.
+# The first stage is a trained model and the second hashes with XXH64; DuckDB SQL has neither.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages in turn on the documents of a folder; what each keeps is written to the shared folder."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingflow.llm import decontam, langid, line_rules, mixing, quality, scoring, secrets, sharding, simhash
+from listingflow.llm import decontam, langid, licenses, line_rules, mixing, quality, scoring, secrets, sharding, simhash
 from listingflow.llm.shared import BLANK, WORD, fold, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,9 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     number = fold(F.col("doc_id"), 10)
     out = scoring.score(_table(spark, folder, "documents").select("doc_id", "text"), number != 0)
     return out.withColumn("held_out", F.coalesce(number == 0, F.lit(False)))
+
+
+@_query("op9_license_scan")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """License notices and texts in every whole text."""
+    return licenses.scan(_table(spark, folder, "documents"))

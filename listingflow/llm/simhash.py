@@ -21,10 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listingflow.llm.components import components
-from listingflow.llm.shared import importable, stored
+from listingflow.llm.shared import importable, sized, stored
 
 #: The seed of the shingle hash and the bits of a fingerprint.
 SEED, BITS = 42, 64
+#: Ids of copies that are broadcast; beyond that the join shuffles.
+BROADCAST_ROWS = 2_000_000
 #: Shingles whose bits are counted together.
 BLOCK = 1 << 14
 
@@ -272,6 +274,8 @@ def one_of_each(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
 
     Rows without an id can't be told apart by it and all stay.
     """
-    found = near_duplicates(docs, words, radius)
-    gone = found.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    found = stored(near_duplicates(docs, words, radius).select("doc_id", "component_id"), "near-duplicates")
+    heads = found.where("doc_id = component_id").select("doc_id")
+    # an id that heads a group stays, even if another row of that id belongs elsewhere
+    gone = found.where("doc_id <> component_id").select("doc_id").distinct().join(heads, "doc_id", "left_anti")
+    return docs.join(sized(gone, "copies", BROADCAST_ROWS), "doc_id", "left_anti")
