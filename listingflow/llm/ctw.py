@@ -166,7 +166,7 @@ def fit(counts: DataFrame, depth: int = DEPTH, share: int = SHARE) -> Model:
         here = rows.filter(pa.compute.equal(rows.column("depth"), d))
         context, byte, n = (here.column(c).to_numpy() for c in ("context", "byte", "n"))
         names, place = np.unique(context, return_inverse=True)
-        table = np.zeros((max(len(names), d == 0), 256))
+        table = np.zeros((max(len(names), int(d == 0)), 256))
         table[place, byte] = n
         levels.append((names if len(names) or d else np.zeros(1, np.int64), table))
     return build(levels, depth)
