@@ -72,7 +72,7 @@ def _evidence(heap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     zeros[:, 0] = ones[:, 0] = 0
     total = zeros + ones
     log = np.where(total > 0, lgamma(zeros + 0.5) + lgamma(ones + 0.5) - lgamma(total + 1) - math.log(math.pi), 0.0)
-    return log, ((ones + 0.5) / (total + 1))
+    return log, ((ones + 0.5) / (total + 1)).astype(np.float32)
 
 
 def _log_bytes(p: np.ndarray) -> np.ndarray:
@@ -119,10 +119,10 @@ def build(levels: list[tuple[np.ndarray, np.ndarray]], depth: int = DEPTH) -> Mo
             np.subtract.at(rest, parents[d + 1], levels[d + 1][1])
             rest_log, other[d] = _evidence(_choices(rest))
             longer = rest_log + below
-            own_weight[d] = np.where(inner[d][:, None], 1 / (1 + np.exp(np.clip(longer - log, -700, 700))), 1.0)
+            own_weight[d] = np.where(inner[d][:, None], 1 / (1 + np.exp(np.clip(longer - log, -700, 700))), 1.0).astype(np.float32)
             weighted = np.where(inner[d][:, None], np.logaddexp(log, longer) - math.log(2), log)
         else:
-            own_weight[d], weighted = np.ones_like(log), log
+            own_weight[d], weighted = np.ones(log.shape, np.float32), log
         if d:
             below = np.zeros((len(levels[d - 1][0]), 256))
             np.add.at(below, parents[d], weighted)
@@ -169,6 +169,7 @@ def fit(counts: DataFrame, depth: int = DEPTH, share: int = SHARE) -> Model:
         table = np.zeros((max(len(names), int(d == 0)), 256))
         table[place, byte] = n
         levels.append((names if len(names) or d else np.zeros(1, np.int64), table))
+    del rows
     return build(levels, depth)
 
 
