@@ -127,6 +127,12 @@ def one_per_code(codes: DataFrame, code: str, name: str) -> DataFrame:
     return codes.groupBy(code).agg(F.min(name).alias(name))
 
 
+def _county_city(counties: DataFrame) -> DataFrame:
+    """Every county word with its smallest city; a county without a city is a word all the same, with none."""
+    city = F.min(F.when(F.col("city") != "", F.col("city"))).alias("city")
+    return counties.where("key_county <> ''").groupBy("key_county").agg(city)
+
+
 @dataclass
 class Gazetteer:
     """City, county and province dictionaries of one district dimension.
@@ -144,10 +150,7 @@ class Gazetteer:
     @classmethod
     def load(cls, counties: DataFrame, limit: int = MAX_PATTERN_WORDS) -> "Gazetteer":
         """``counties`` has (regional, province, city, key_county)."""
-        county_city = (
-            counties.where("key_county <> '' AND city <> ''")
-            .groupBy("key_county").agg(F.min("city").alias("city"))
-        )
+        county_city = _county_city(counties)
         columns = ["regional", "province", "city", "key_county"]
         rows = counties.select(*columns).distinct().limit(limit + 1).collect()
         if len(rows) > limit:
@@ -166,8 +169,7 @@ class Gazetteer:
         return cls(
             districts=local.select("regional", "province", "city").distinct(),
             cities=words["city"], provinces=words["province"], counties=words["key_county"],
-            county_city=local.where("key_county <> '' AND city <> ''")
-            .groupBy("key_county").agg(F.min("city").alias("city")),
+            county_city=_county_city(local),
         )
 
     def add_first(self, df: DataFrame, text_col: str, out_col: str, kind: str) -> DataFrame:
@@ -216,4 +218,5 @@ def standardise_listing_location(
         df = gazetteer.add_county_city(
             df, "address", "_by_county", F.coalesce(*choices).isNull())
         choices += [F.col("_by_county"), F.lit("")]
-    return df.withColumn("location", F.coalesce(*choices)).select(*columns)
+    # filters and joins on the place stay above this, so its patterns are matched once
+    return df.withColumn("location", F.explode(F.array(F.coalesce(*choices)))).select(*columns)

@@ -44,7 +44,7 @@ def features(df: DataFrame, use_drive: bool = False, drive_from: str = "model_na
         F.col("car_id").cast("string").alias("car_id"),
         F.upper(text("brand_name")).alias("car_name"),
         F.upper(text("series_name")).alias("car_series1"),
-        number("model_year").cast("int").alias("car_year"),
+        F.coalesce(number("model_year").try_cast("int"), F.lit(0)).alias("car_year"),
         F.bround(number("model_price"), 1).alias("car_price"),
         vehicle.displacement_for_match(text("liter")).alias("car_liter_wu"),
         vehicle.gearbox_for_match(text("car_auto")).alias("car_auto"),

@@ -25,7 +25,7 @@ def price_gap_ok(
 
 def listing_ok(quote: Column, guide: Column, age: Column, registered: Column, run_date: str) -> Column:
     """Asking price, age and registration date of a listing are plausible on ``run_date``."""
-    ratio = F.try_divide(quote.cast("double"), guide.cast("double"))
+    ratio = F.try_divide(quote.try_cast("double"), guide.try_cast("double"))
     registered = day(registered)
     return (
         (ratio > V.MIN_PRICE_RATIO) & (ratio < V.MAX_PRICE_RATIO)

@@ -10,9 +10,11 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 
+
 def filesystem(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
@@ -72,29 +74,48 @@ def touched_partitions(
     return now.unionByName(changes.select(*cols)).distinct()
 
 
+def _partition_folders(spark: SparkSession, path: str, cols: Sequence[str]) -> dict[tuple, object]:
+    """Partition values (None for an unknown one) and folders of a partitioned table, as its folders name them."""
+    fs, root = filesystem(spark, path)
+    found = {(): root}
+    for col in cols:
+        deeper = {}
+        for values, folder in found.items():
+            for entry in fs.listStatus(folder):
+                name, _, value = entry.getPath().getName().partition("=")
+                if name == col:
+                    value = None if value == "__HIVE_DEFAULT_PARTITION__" else unquote(value)
+                    deeper[(*values, value)] = entry.getPath()
+        found = deeper
+    return found
+
+
 def overwrite_partitions(
     spark: SparkSession, path: str, rows: DataFrame, touched: DataFrame, partition_by: Sequence[str]
-) -> str:
-    """Replace the touched partitions of ``path`` by ``rows``; returns the staged copy's path.
+) -> None:
+    """Replace the touched partitions of ``path`` by ``rows``.
 
     Rows are written to a staging folder next to the table first: they may be
     computed from the table itself, and the copy survives a failed overwrite.
-    Touched partitions with no row left are removed.
+    It goes once the table is written. Touched partitions with no row left are
+    removed, unknown (NULL) ones and those with escaped names too.
     """
     staging = f"{path.rstrip('/')}__staged-{uuid.uuid4().hex}"
     cols = list(partition_by)
     rows.write.partitionBy(*cols).parquet(staging)
-    # partition folders, not rows: bounded by the number of partitions touched
-    gone = touched.join(rows.select(*cols).distinct(), cols, "left_anti").collect()
+    # partitions, not rows: bounded by the number touched; read before their files change
+    gone = {tuple(None if v is None else str(v) for v in part) for part in touched.select(*cols).collect()}
+    gone -= set(_partition_folders(spark, staging, cols))
     staged = spark.read.schema(rows.schema).parquet(staging).select(*rows.columns)
     (
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*cols).parquet(path)
     )
-    for part in gone:
-        fs, folder = filesystem(spark, path + "".join(f"/{c}={part[c]}" for c in cols))
-        fs.delete(folder, True)
-    return staging
+    fs, staged_folder = filesystem(spark, staging)
+    for part, folder in _partition_folders(spark, path, cols).items():
+        if part in gone:
+            fs.delete(folder, True)
+    fs.delete(staged_folder, True)
 
 
 def write_preview(df: DataFrame, path: str) -> None:

@@ -13,8 +13,8 @@ from listingflow.functions import geo, listing
 from listingflow.operators import merge, quality
 from listingflow.operators.dedupe import latest_by, one_per_key, only_unique
 from listingflow.operators.skew import broadcast_lookup_join, lookup_join
-from listingflow.operators.snapshots import filesystem, overwrite_partitions, touched_partitions
-from listingflow.plans.base import Change, into
+from listingflow.operators.snapshots import SnapshotTable, filesystem, overwrite_partitions, touched_partitions
+from listingflow.plans.base import Change, commit, into
 from listingflow.sources.align import align, project
 from listingflow.session import cut_lineage
 from listingflow.sources.catalog import Catalog
@@ -79,8 +79,8 @@ PLATFORMS: dict[str, PlatformSpec] = {
             # prices and mileage in 1/10000; location and address are stored swapped
             "che168", "car_id",
             {
-                "quotes": lambda: F.col("quotes") / 10000, "location": "address", "address": "location",
-                "transfer": "transfer", "color": "color", "mile": lambda: F.col("mile") / 10000,
+                "quotes": lambda: F.col("quotes").try_cast("double") / 10000, "location": "address", "address": "location",
+                "transfer": "transfer", "color": "color", "mile": lambda: F.col("mile").try_cast("double") / 10000,
                 "state": "state", "trans_fee": "trans_fee", "annual": "annual", "insure": "insure",
                 "regDate": "regDate", "add_time": "add_time", "update_time": "update_time",
             },
@@ -125,24 +125,34 @@ def mapping(cat: Catalog, spec: PlatformSpec, mark: DataFrame) -> DataFrame:
     xlat = cat.read(spec.xlat)
     if spec.mid_column is None:
         xlat = newer_than_mark(xlat, "update_time", mark)
-    pairs = xlat.select("std_modelid", F.col(spec.xlat_id).cast("long").alias("platform_key")).join(
+    pairs = xlat.select("std_modelid", F.col(spec.xlat_id).try_cast("long").alias("platform_key")).join(
         cat.read("xlat_standard").select("std_modelid", "che300_model_id"), "std_modelid")
     return only_unique(pairs, ["platform_key"])
 
 
 def raw_listings(cat: Catalog, spec: PlatformSpec, mark: DataFrame) -> DataFrame:
-    """Raw rows under listing names; model-keyed platforms only since the mark."""
+    """Raw rows under listing names; model-keyed platforms only since the mark, ids that are no numbers left out."""
     src = cat.read(spec.source)
     if spec.mid_column is not None:
         src = newer_than_mark(src, "update_time", mark)
-    columns: dict[str, str | Column] = {"id_data_input": F.col(spec.id_column).cast("long")}
+    src = src.where(F.col(spec.id_column).try_cast("long").isNotNull())
+    columns: dict[str, str | Column] = {"id_data_input": F.col(spec.id_column).try_cast("long")}
     for target, source in spec.columns.items():
         columns[target] = source if isinstance(source, str) else source()
     key = spec.mid_column or spec.id_column
-    columns["platform_key"] = F.col(key).cast("long")
+    columns["platform_key"] = F.col(key).try_cast("long")
     return project(src, columns)
 
 
+def unreadable(cat: Catalog, platform: str) -> DataFrame:
+    """Source rows whose id, price or mileage is no number, with the first of these as ``reason``."""
+    spec = PLATFORMS[platform]
+    price = "deal_price" if platform == "ttp" else "quotes" if platform == "che168" else "price"
+    rules = {f"{c} is no number": F.col(c).try_cast(kind).isNotNull() | (F.lit(c != spec.id_column) & F.col(c).isNull())
+             for c, kind in ((spec.id_column, "long"), (price, "double"), ("mile", "double"))}
+    return quality.explain_rejects(cat.read(spec.source), rules).where("reason IS NOT NULL")
+
+
 def clean_raw(df: DataFrame, spec: PlatformSpec, places: geo.Gazetteer) -> DataFrame:
     """Latest row per listing, listing day, place, fee and expiry flags."""
     df = latest_by(df, ["id_data_input"], "update_time")
@@ -189,8 +199,8 @@ def enrich(df: DataFrame, cat: Catalog, spec: PlatformSpec, models: DataFrame, p
     return df.withColumns({
         "car_platform": F.lit(spec.name),
         "id_che300": F.col("che300_model_id"),
-        "mile": F.round(F.col("mile").cast("double"), 2),
-        "quotes": F.round(F.col("quotes").cast("double"), 2),
+        "mile": F.round(F.col("mile").try_cast("double"), 2),
+        "quotes": F.round(F.col("quotes").try_cast("double"), 2),
         "regDate": month,
         "user_years": listing.age_years(F.col("add_time"), month),
         "partition_month": listing.partition_month(F.col("add_time")),
@@ -219,7 +229,7 @@ def superseded(cat: Catalog, platform: str) -> DataFrame:
     spec = PLATFORMS[platform]
     ids = mapping(cat, spec, last_run(cat, spec)).select(
         F.col("platform_key").alias("id"), F.lit(True).alias("_mapped"))
-    rows = cat.read(spec.source).select(F.col("id").cast("long").alias("id"), "car_id")
+    rows = cat.read(spec.source).select(F.col("id").try_cast("long").alias("id"), "car_id").where("id IS NOT NULL")
     rows = rows.join(ids, "id", "left").withColumn("_mapped", F.coalesce("_mapped", F.lit(False)))
     cars = rows.groupBy("car_id").agg(F.count(F.lit(1)).alias("_n"), F.bool_or("_mapped").alias("_any"))
     cars = cars.where("_n > 1 AND _any AND car_id IS NOT NULL").select("car_id")
@@ -244,35 +254,54 @@ KEYS = ("car_platform", "id_data_input")
 PARTITIONS = ("car_platform", "partition_month")
 
 
+# Partition of listings whose month is unknown; a NULL would match no partition.
+UNKNOWN_MONTH = "unknown"
+
+
 def commit_wide(
     spark: SparkSession, path: str, platform: str, rows: DataFrame, deleted: DataFrame | None = None
 ) -> None:
     """Merge a platform's rows into the partitioned wide table, rewriting only the months they touch.
 
-    ``deleted`` has listing ids (column ``id``) that leave the table. The rows
-    are written to the checkpoint folder once, since they are read for the
-    months and for the merge.
+    ``deleted`` has listing ids (column ``id``) that leave the table. Of several
+    rows with one key the smallest counts, in the first write as in later ones.
+    The rows are written to the checkpoint folder once, since they are read for
+    the months and for the merge.
     """
-    rows = cut_lineage(rows)
+    month = F.coalesce("partition_month", F.lit(UNKNOWN_MONTH))
+    rows = cut_lineage(one_per_key(rows.withColumn("partition_month", month), KEYS))
     columns = [f.name for f in S.LISTING_WIDE.fields]
     fs, folder = filesystem(spark, path)
     if not fs.exists(folder):
-        one_per_key(rows, KEYS).write.partitionBy(*PARTITIONS).parquet(path)
+        rows.write.partitionBy(*PARTITIONS).parquet(path)
         return
     mine = spark.read.schema(S.LISTING_WIDE).parquet(path).where(F.col("car_platform") == platform).select(*columns)
     gone = mine.select(*KEYS).limit(0) if deleted is None else cut_lineage(
-        deleted.select(F.lit(platform).alias("car_platform"), F.col("id").cast("long").alias("id_data_input")))
+        deleted.select(F.lit(platform).alias("car_platform"), F.col("id").try_cast("long").alias("id_data_input")))
     touched = touched_partitions(mine, rows, KEYS, PARTITIONS).unionByName(
         mine.join(gone, list(KEYS), "left_semi").select(*PARTITIONS)).distinct()
-    # months of one platform, not rows
+    # months of one platform, not rows; NULL only where an older writer left it
     months = [r.partition_month for r in touched.collect()]
-    inside = merge.delete_matching(mine.where(F.col("partition_month").isin(months)), gone, KEYS)
+    here = F.col("partition_month").isin([m for m in months if m is not None])
+    if None in months:
+        here = F.coalesce(here, F.lit(False)) | F.col("partition_month").isNull()
+    inside = merge.delete_matching(mine.where(here), gone, KEYS)
     touched = spark.createDataFrame([(platform, m) for m in months], "car_platform string, partition_month string")
     overwrite_partitions(spark, path, merge.upsert(inside, rows, KEYS), touched, PARTITIONS)
 
 
-def run(cat: Catalog, platform: str, run_date: str, path: str) -> None:
-    """One platform, from its mark to the partitioned wide table at ``path``."""
+def run(cat: Catalog, platform: str, run_date: str, path: str, source: SnapshotTable | None = None) -> None:
+    """One platform, from its mark to the partitioned wide table at ``path``.
+
+    A platform that drops superseded crawls drops them from its ``source`` as
+    well, once the wide table is written.
+    """
     spec = PLATFORMS[platform]
-    old = superseded(cat, platform) if spec.drops_superseded else None
+    old = None
+    if spec.drops_superseded:
+        if source is None:
+            raise ValueError(f"{platform} deletes from its source: name the table")
+        old = cut_lineage(superseded(cat, platform))
     commit_wide(cat.spark, path, platform, wide_rows(cat, platform, run_date), old)
+    if old is not None:
+        commit(cat, [Change(spec.source, old, ("id",), "delete")], {spec.source: source})

@@ -84,15 +84,17 @@ def detail_part(cat: Catalog, ids: DataFrame | None = None) -> DataFrame:
 
 def config_rows(cat: Catalog, ids: DataFrame | None = None, only_new: bool = True) -> DataFrame:
     """Production wide rows, aligned to the target and filled with '-'; by default only absent ids."""
-    wide = base_part(cat, ids).join(detail_part(cat, ids), "autohome_id")
+    base, detail = base_part(cat, ids), detail_part(cat, ids)
+    if only_new:
+        # known ids go before anything is joined, split or flagged
+        known = cat.read_or_empty("prod_config", S.PROD_CONFIG)
+        base, detail = (missing_ids(part, known, "autohome_id", "autohome_id") for part in (base, detail))
+    wide = base.join(detail, "autohome_id")
     wide = wide.withColumns({
         "color_outside": vehicle.catalogue_color(F.col("color_outside")),
         "color_outside_code": vehicle.catalogue_color(F.col("color_outside_code")),
         "environmental_standards": vehicle.emission_standard_production(F.col("environmental_standards_org")),
     })
-    if only_new:
-        known = cat.read_or_empty("prod_config", S.PROD_CONFIG)
-        wide = missing_ids(wide, known, "autohome_id", "autohome_id")
     return text.fill_text(align(wide, S.PROD_CONFIG, "intersect", skip=["id"]))
 
 

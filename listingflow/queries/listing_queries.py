@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from listingflow import fixed_values as V
+from listingflow import schemas as S
 from listingflow.plans import listings
 from listingflow.queries.base import DERIVED, cases, duck, duck_fold, query
+from listingflow.queries.merge_queries import fresh_folder
 from listingflow.queries.rule_queries import leftmost
+from listingflow.session import cut_lineage
 from listingflow.sources.catalog import Catalog
 
 RUN = "2025-01-01"
@@ -162,3 +165,25 @@ def job_listing_superseded(t):
 def job_listing_mapping(t):
     cat, spec = listing_catalog(t), listings.PLATFORMS["rrc"]
     return listings.mapping(cat, spec, listings.last_run(cat, spec)).select("std_modelid", "platform_key", F.col("che300_model_id"))
+
+
+@query("job_listing_commit", f"""
+    SELECT * REPLACE (coalesce(partition_month, 'unknown') AS partition_month) FROM (
+        SELECT * REPLACE (CASE WHEN id_data_input % 2 = 0 THEN quotes + 1 ELSE quotes END AS quotes,
+            CASE WHEN id_data_input % 2 = 0 AND id_data_input % 3 = 0 THEN '209901' WHEN id_data_input % 2 = 0 AND id_data_input % 7 = 0 THEN NULL
+                WHEN id_data_input % 5 = 0 THEN NULL ELSE partition_month END AS partition_month)
+        FROM ({listing_sql("guazi")}) WHERE NOT (id_data_input % 2 = 1 AND id_data_input % 11 = 0))""")
+def job_listing_commit(t):
+    """Write, change, move and delete, read back: listings without a month, in moved months and in emptied ones."""
+    path = f"{fresh_folder(t.spark)}/wide"
+    number, month = F.col("id_data_input"), F.col("partition_month")
+    rows = cut_lineage(listings.wide_rows(listing_catalog(t), "guazi", RUN))
+    first = rows.withColumn("partition_month", F.when(number % 5 != 0, month))
+    listings.commit_wide(t.spark, path, "guazi", first)
+    changed = first.where(number % 2 == 0).withColumns({
+        "quotes": F.col("quotes") + 1,
+        "partition_month": F.when(number % 3 == 0, "209901").when(number % 7 != 0, month)})
+    gone = first.where((number % 2 == 1) & (number % 11 == 0)).select(number.alias("id"))
+    # repeated rows are one listing in either write
+    listings.commit_wide(t.spark, path, "guazi", changed.unionByName(changed.limit(3)), gone)
+    return t.spark.read.schema(S.LISTING_WIDE).parquet(path).select(*[f.name for f in S.LISTING_WIDE.fields])

@@ -1,6 +1,7 @@
 """Whole jobs: plan, preview, commit, run again."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from listingflow import fixed_values as V
@@ -9,6 +10,7 @@ from listingflow.operators.snapshots import SnapshotTable
 from listingflow.plans import base, catalogue_ids, catalogue_to_ods, listings, ods_to_production, platform_match, resync, side_data
 from listingflow.queries.job_queries import CATALOGUE_RUN, SIDE_RUN, place_catalog, standard_catalog, vehicle_catalog
 from listingflow.queries.listing_queries import RUN, listing_catalog
+from listingflow.session import cut_lineage
 from listingflow.sources.catalog import Catalog
 
 
@@ -185,3 +187,61 @@ def test_preview_lists_new_and_moved(tables):
     assert set(found) == {"brand", "series", "config", "price_update"}
     assert not found["price_update"].isEmpty()
     assert CATALOGUE_RUN > "2024"
+
+
+def test_listings_without_a_month_survive_later_writes(spark, tables, tmp_path):
+    cat, path = listing_catalog(tables), str(tmp_path / "wide")
+    rows = listings.wide_rows(cat, "guazi", RUN).limit(4).withColumn("n", F.row_number().over(Window.orderBy("id_data_input")))
+    rows = cut_lineage(rows)
+    month = F.when(F.col("n") > 2, "202401")
+    first = rows.where("n <> 2").withColumn("partition_month", month).drop("n")
+    later = rows.where("n = 2").withColumn("partition_month", month).drop("n")
+    listings.commit_wide(spark, path, "guazi", first.unionByName(first))
+    listings.commit_wide(spark, path, "guazi", later.unionByName(later))
+    wide = spark.read.schema(S.LISTING_WIDE).parquet(path)
+    assert sorted(r.id_data_input for r in wide.collect()) == sorted(r.id_data_input for r in rows.collect())
+    assert not [p for p in tmp_path.iterdir() if "staged" in p.name]
+
+
+def test_old_null_partitions_and_odd_names_are_merged_and_emptied(spark, tmp_path):
+    from listingflow.operators import merge
+    from listingflow.operators.snapshots import overwrite_partitions
+
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, "a/b"), (2, None), (3, "c")], "k long, part string").write.partitionBy("part").parquet(path)
+    inside = spark.read.schema("k long, part string").parquet(path).where("part IS NULL OR part = 'a/b'")
+    moved = spark.createDataFrame([(1, "d"), (2, "d")], "k long, part string")
+    touched = spark.createDataFrame([("a/b",), (None,), ("d",)], "part string")
+    overwrite_partitions(spark, path, merge.upsert(inside, moved, ["k"]), touched, ["part"])
+    got = spark.read.schema("k long, part string").parquet(path).collect()
+    assert sorted((r.k, r.part) for r in got) == [(1, "d"), (2, "d"), (3, "c")]
+
+
+def test_junk_ids_and_prices_are_left_out_and_reported(spark, tables):
+    cat = listing_catalog(tables)
+    junk = tables.l_market.withColumns({
+        "price": F.when(F.col("id") % 50 == 3, "面议").otherwise(F.col("price").cast("string")),
+        "mile": F.when(F.col("id") % 50 == 4, "x").otherwise(F.col("mile").cast("string")),
+        "car_id": F.when(F.col("id") % 50 == 5, "x1").otherwise(F.col("car_id").cast("string"))})
+    cat.bind_frame("listing_guazi", junk)
+    assert listings.wide_rows(cat, "guazi", RUN).count() > 0
+    reasons = {r.reason for r in listings.unreadable(cat, "guazi").select("reason").distinct().collect()}
+    assert reasons == {"car_id is no number", "price is no number", "mile is no number"}
+
+
+def test_che58_run_deletes_superseded_crawls_from_its_source(spark, tables, tmp_path):
+    cat, store = listing_catalog(tables), SnapshotTable(spark, str(tmp_path / "source"))
+    store.commit(cat.read("listing_che58"))
+    cat.bind("listing_che58", store.read)
+    old = {r.id for r in listings.superseded(cat, "che58").collect()}
+    before = {r.id for r in store.read().select("id").collect()}
+    listings.run(cat, "che58", RUN, str(tmp_path / "wide"), store)
+    left = {r.id for r in store.read().select("id").collect()}
+    assert old and left == before - old
+
+
+def test_an_overlong_year_is_no_year(spark):
+    from listingflow.operators import match
+
+    long_year = spark.createDataFrame([("1", "99999999999")], "car_id string, model_year string")
+    assert match.features(long_year).collect()[0].car_year == 0

@@ -163,3 +163,20 @@ def test_explain_rejects_names_the_first_broken_rule(spark):
     df = spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "k int, v string")
     got = quality.explain_rejects(df, {"no value": F.col("v").isNotNull(), "is y": F.col("v") != "y"})
     assert {r.k: r.reason for r in got.collect()} == {1: None, 2: "no value", 3: "is y"}
+
+
+def test_places_are_the_same_at_every_dictionary_limit(spark):
+    from listingflow.functions import geo
+
+    counties = spark.createDataFrame(
+        [("r", "p", None, "AA"), ("r", "p", "C1", "BB"), ("r", "p", "", "DD"), ("r", "p", "C2", "DD")],
+        "regional string, province string, city string, key_county string")
+    texts = spark.createDataFrame([("AA BB",), ("BB AA",), ("DD",), ("C2 BB",), ("AA",), (None,), ("x",)], "place string")
+    want = None
+    for limit in (0, 1, 2, 5000):
+        found = texts.withColumn("text", geo.F.col("place"))
+        got = geo.standardise_city(found, "place", geo.Gazetteer.load(counties, limit)).collect()
+        got = sorted((str(r.text), r.place) for r in got)
+        want = want or got
+        assert got == want
+    assert dict(want)["AA BB"] is None and dict(want)["BB AA"] == "C1"
