@@ -89,16 +89,16 @@ def cascade_resolve(t):
 
 
 @query("fold_platforms", f"""WITH {_rounds_sql()}, one AS (SELECT id, min(platform_id) AS platform_id FROM f GROUP BY id),
-    two AS (SELECT CAST(l_partkey AS VARCHAR) AS id, CAST(min(l_suppkey) AS VARCHAR) AS platform_id FROM lineitem
-            WHERE l_returnflag = 'A' AND l_quantity > 48 GROUP BY l_partkey)
+    two AS (SELECT CAST(l_partkey * 3 AS VARCHAR) AS id, CAST(min(l_suppkey) AS VARCHAR) AS platform_id FROM lineitem
+            GROUP BY l_partkey)
     SELECT CAST(car_id AS VARCHAR) AS id_std, coalesce(one.platform_id, '0') AS id_a,
         CASE WHEN one.id IS NULL THEN 0 ELSE 1 END AS match_type_a, CASE WHEN one.id IS NULL THEN 0 ELSE 1 END AS is_only_a,
         coalesce(two.platform_id, '0') AS id_b, CASE WHEN two.id IS NULL THEN 0 ELSE 2 END AS match_type_b, '0' AS id_c
     FROM x_std LEFT JOIN one ON one.id = CAST(car_id AS VARCHAR) LEFT JOIN two ON two.id = CAST(car_id AS VARCHAR)""")
 def fold_platforms(t):
     first = match.settled_matches(match.cascade(match.features(t.x_plat), match.features(t.x_std)))
-    second = t.lineitem.where("l_returnflag = 'A' AND l_quantity > 48").groupBy(
-        F.col("l_partkey").cast("string").alias("id_std")).agg(F.min("l_suppkey").cast("string").alias("id_b"))
+    second = t.lineitem.groupBy(
+        (F.col("l_partkey") * 3).cast("string").alias("id_std")).agg(F.min("l_suppkey").cast("string").alias("id_b"))
     none = t.spark.createDataFrame([], "id_std string, id_c string")
     return match.fold_platforms(
         t.x_std.select(F.col("car_id").cast("string").alias("id_std")),

@@ -257,10 +257,11 @@ def listing_slice(t):
 
 @query("missing_from_target", """
     SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (
-        SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F' AND o_totalprice > 300000)""")
+        SELECT 1 FROM orders WHERE o_custkey * 2 = c_custkey)""")
 def missing_from_target(t):
-    dear = t.orders.where("o_orderstatus = 'F' AND o_totalprice > 300000")
-    return relational.missing_ids(t.customer.select("c_custkey", "c_name"), dear, "c_custkey", "o_custkey")
+    """All orders, their customer shifted, so that some customers are missing."""
+    known = t.orders.select((F.col("o_custkey") * 2).alias("o_custkey"))
+    return relational.missing_ids(t.customer.select("c_custkey", "c_name"), known, "c_custkey", "o_custkey")
 
 
 _JUNK_KEYS = """SELECT o_orderkey, o_totalprice, CASE o_orderkey % 6 WHEN 0 THEN NULL WHEN 1 THEN 'x' || CAST(o_custkey AS STRING)
@@ -301,13 +302,14 @@ def multi_key_join(t):
 
 
 @query("override_from_lookup", """
-    WITH s AS (SELECT s_nationkey, min(s_name) AS top, max(s_acctbal) AS best FROM supplier
-               WHERE s_acctbal > 5000 GROUP BY s_nationkey)
+    WITH s AS (SELECT s_nationkey + 5 AS s_nationkey, min(s_name) AS top, max(s_acctbal) AS best FROM supplier
+               GROUP BY s_nationkey)
     SELECT c_custkey, CASE WHEN top IS NOT NULL THEN top ELSE c_name END AS c_name,
            CASE WHEN top IS NOT NULL THEN best ELSE c_acctbal END AS c_acctbal, c_nationkey
     FROM customer LEFT JOIN s ON c_nationkey = s_nationkey""")
 def override_from_lookup(t):
-    lookup = t.supplier.where("s_acctbal > 5000").groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(
+    # shifted, so that some nations have no entry
+    lookup = t.supplier.groupBy((F.col("s_nationkey") + 5).alias("c_nationkey")).agg(
         F.min("s_name").alias("top"), F.max("s_acctbal").alias("best"))
     rows = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
     return relational.override_from(rows, lookup, "c_nationkey", {"c_name": "top", "c_acctbal": "best"})
@@ -472,9 +474,9 @@ def group_size_and_min(t):
 # --- sets ------------------------------------------------------------------
 
 @query("set_remaining", """
-    SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)""")
+    SELECT p_partkey, p_name FROM part WHERE p_partkey NOT IN (SELECT l_partkey * 2 FROM lineitem)""")
 def set_remaining(t):
-    used = t.lineitem.where("l_quantity > 49").select(F.col("l_partkey").alias("p_partkey")).distinct()
+    used = t.lineitem.select((F.col("l_partkey") * 2).alias("p_partkey")).distinct()
     return relational.missing_from(t.part.select("p_partkey", "p_name"), used, ["p_partkey"])
 
 
@@ -490,8 +492,8 @@ def set_union_distinct(t):
 
 
 @query("merge_history", """
-    WITH h AS (SELECT o_custkey, CAST(min(o_orderkey) AS VARCHAR) AS id, 1 AS kind FROM orders
-               WHERE o_orderstatus = 'F' GROUP BY o_custkey),
+    WITH h AS (SELECT o_custkey * 2 AS o_custkey, CAST(min(o_orderkey) AS VARCHAR) AS id, 1 AS kind FROM orders
+               GROUP BY o_custkey),
          f AS (SELECT o_custkey, CAST(max(o_orderkey) AS VARCHAR) AS id, 2 AS kind FROM orders GROUP BY o_custkey)
     SELECT c_custkey AS id_std, CASE WHEN h.id IS NOT NULL THEN h.id ELSE f.id END AS id,
            CASE WHEN h.id IS NOT NULL THEN h.kind ELSE f.kind END AS kind
@@ -499,7 +501,7 @@ def set_union_distinct(t):
 def merge_history_query(t):
     base = t.customer.select(F.col("c_custkey").alias("id_std"))
     orders = t.orders.withColumnRenamed("o_custkey", "id_std")
-    old = orders.where("o_orderstatus = 'F'").groupBy("id_std").agg(
+    old = orders.groupBy((F.col("id_std") * 2).alias("id_std")).agg(
         F.min("o_orderkey").cast("string").alias("id"), F.lit(1).alias("kind"))
     new = orders.groupBy("id_std").agg(F.max("o_orderkey").cast("string").alias("id"), F.lit(2).alias("kind"))
     return merge_history(base, old, new, ["id", "kind"])

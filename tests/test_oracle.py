@@ -7,6 +7,8 @@ from conftest import SF
 from listingflow.queries import registry
 
 QUERIES = registry()
+# Too few rows at the smallest scale for any to pass their joins; they have rows at the next one.
+MAY_BE_EMPTY = {"job_standard_wide", "job_reg_years"}
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +20,9 @@ def con():
 def test_query_agrees_with_sql(spark, con, name):
     q = QUERIES[name]
     assert q.sql, "every query has its SQL"
-    problems = [p for p in oracle.compare(spark, con, SF, name, q.run, q.sql) if p != "no rows"]
+    problems = oracle.compare(spark, con, SF, name, q.run, q.sql)
+    if name in MAY_BE_EMPTY:
+        problems = [p for p in problems if p != "no rows"]
     assert not problems
 
 
