@@ -34,6 +34,8 @@ class JdbcSource:
             "characterEncoding": self.charset,
             "zeroDateTimeBehavior": "convertToNull",
             "serverTimezone": SOURCE_ZONE,
+            # without it the driver buffers a whole result, whatever fetchsize says
+            "useCursorFetch": "true",
         }
         tail = "&".join(f"{k}={v}" for k, v in params.items())
         return f"jdbc:mysql://{self.host}:{self.port}/{self.database}?{tail}"

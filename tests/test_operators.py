@@ -150,6 +150,7 @@ def test_catalog_missing_tables(spark, tmp_path):
 def test_jdbc_text():
     src = JdbcSource("h", 3306, "d", "u", "p")
     assert "zeroDateTimeBehavior=convertToNull" in src.jdbc_url() and "Asia/Shanghai" in src.jdbc_url()
+    assert "useCursorFetch=true" in src.jdbc_url()
     assert "secret" not in repr(JdbcSource(password="secret"))
     assert jdbc_options(src, dbtable="t", numPartitions=4)["numPartitions"] == "4"
     assert merge_statement("t", "s", ["id", "ee(%)"], "upsert") == (
@@ -180,3 +181,11 @@ def test_places_are_the_same_at_every_dictionary_limit(spark):
         want = want or got
         assert got == want
     assert dict(want)["AA BB"] is None and dict(want)["BB AA"] == "C1"
+
+
+def test_dropped_id_tokens_are_reported(spark):
+    from listingflow.sources import id_list
+
+    lines = spark.createDataFrame([("1, x2 3",), ("x2 # note",), ("",), (None,)], "value string")
+    assert sorted(r.id for r in id_list.parse_lines(lines).collect()) == [1, 3]
+    assert [(r.token, r.cnt) for r in id_list.dropped_tokens(lines).collect()] == [("x2", 2)]
