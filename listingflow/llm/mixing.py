@@ -36,6 +36,10 @@ def source_totals(docs: DataFrame, source: str = "source", tokens: str = "tokens
     return stored(totals.where("tokens > 0"), "source-totals")
 
 
+def _sum(totals: DataFrame) -> int:
+    return totals.agg(F.sum("tokens")).head()[0] or 1
+
+
 def _bisect(totals: DataFrame, enough) -> int:
     """Largest grid step from 0 to GRID for which ``enough`` of the measures there holds; -1 if it holds nowhere.
 
@@ -44,11 +48,10 @@ def _bisect(totals: DataFrame, enough) -> int:
     the order of rows.
     """
     low, high = -1, GRID + 1
-    share = F.col("tokens") / F.col("total")
-    total = totals.agg(F.sum("tokens").alias("total"))
+    share = F.col("tokens") / F.lit(_sum(totals))
     while high - low > 1:
         steps = sorted({low + (high - low) * i // (FAN + 1) for i in range(1, FAN + 1)} - {low})
-        tried = totals.crossJoin(F.broadcast(total)).withColumn("k", F.explode(F.array(*[F.lit(k) for k in steps])))  # one row
+        tried = totals.withColumn("k", F.explode(F.array(*[F.lit(k) for k in steps])))
         raw = F.pow(share, F.col("k") / GRID)
         sums = tried.groupBy("k").agg(
             F.sum(raw.cast(EXACT)).cast("double").alias("z"), F.sum((raw * F.ln(raw)).cast(EXACT)).cast("double").alias("s"),
@@ -69,7 +72,7 @@ def exponent_for_repeats(totals: DataFrame, repeats: float, budget: int | None)
 
     ``budget`` None stands for the smallest budget that uses each source whole.
     """
-    total = totals.agg(F.sum("tokens")).head()[0] or 1
+    total = _sum(totals)
 
     def too_often(r) -> bool:
         times = r["most"] / r["least"] if budget is None else budget * r["most"] / (r["z"] * total)
@@ -83,12 +86,13 @@ def budgets(totals: DataFrame, exponent: float, budget: int | None) -> DataFrame
 
     ``budget`` None gives each source its tokens at least, with no larger total than the weights need.
     """
-    share = F.col("tokens") / F.col("total")
-    total = totals.agg(F.sum("tokens").alias("total"))
-    raw = totals.crossJoin(F.broadcast(total)).withColumn("raw", F.pow(share, F.lit(float(exponent))))  # one row
-    z = raw.agg(F.sum(F.col("raw").cast(EXACT)).cast("double").alias("z"), F.max(F.col("tokens") / F.col("raw")).alias("need"))
-    out = raw.crossJoin(F.broadcast(z)).withColumn("weight", F.round(F.col("raw") / F.col("z"), 12))
-    spend = F.ceil(F.round(F.col("need") * F.col("raw"), 3)) if budget is None else F.floor(F.col("weight") * F.lit(int(budget)))
+    raw = totals.withColumn("raw", F.pow(F.col("tokens") / F.lit(_sum(totals)), F.lit(float(exponent))))
+    whole = raw.agg(F.sum(F.col("raw").cast(EXACT)).cast("double").alias("z"), F.max(F.col("tokens") / F.col("raw")).alias("need")).head()
+    out = raw.withColumn("weight", F.round(F.col("raw") / F.lit(whole["z"] or 1.0), 12))
+    if budget is None:
+        spend = F.ceil(F.round(F.lit(whole["need"] or 0.0) * F.col("raw"), 3))
+    else:
+        spend = F.floor(F.col("weight") * F.lit(int(budget)))
     return out.select("source", "rows", "tokens", "weight", spend.cast("long").alias("budget"))
 
 
