@@ -81,7 +81,7 @@ def external_shuffle(
     # Pass one. A bucket's first position travels with its records, so no join is needed.
     scattered = (
         keyed.withColumn("start", F.lit(None).cast("long")).unionByName(starts)
-        .repartition(max(1, math.ceil(buckets / 2)), "bucket").sortWithinPartitions("bucket", "h")
+        .repartition(buckets, "bucket").sortWithinPartitions("bucket", "h")
     )
     # Pass two: buckets of a task in order, so that the seeded shuffle repeats itself exactly.
     lists = (
