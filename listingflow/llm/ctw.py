@@ -173,11 +173,6 @@ def fit(counts: DataFrame, depth: int = DEPTH, share: int = SHARE) -> Model:
     return build(levels, depth)
 
 
-def per_byte(score: float, size: int) -> float:
-    """Code length in bits per byte, the end counted as one."""
-    return -score / math.log10(2) / (size + 1)
-
-
 def merged(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys of several counts, and their sums."""
     keys, counts = map(np.concatenate, zip(*parts, strict=True))

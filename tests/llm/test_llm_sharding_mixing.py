@@ -117,4 +117,4 @@ def test_mix_of_nothing_and_of_texts_without_words(spark):
     assert mixing.mix(none, repeats=2.0).collect() == []
     odd = spark.createDataFrame([(1, "a", 0), (2, "a", None), (3, "a", 5), (None, "a", 5)], "doc_id long, source string, tokens long")
     assert len(mixing.mix(odd, repeats=1.0).collect()) == 4
-    assert mixing.tokens_of(F.lit("a")) is not None
+    assert spark.range(1).select(mixing.tokens_of(F.lit(" a\tb")), mixing.tokens_of(F.lit(None))).head()[:] == (2, 0)
