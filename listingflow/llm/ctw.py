@@ -75,6 +75,14 @@ def _evidence(heap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return log, ((ones + 0.5) / (total + 1)).astype(np.float32)
 
 
+def _measured(counts: np.ndarray, rows: int = 2048) -> tuple[np.ndarray, np.ndarray]:
+    """The evidence of many contexts, some rows at a time: the steps between need several times the result."""
+    log, one = np.empty((len(counts), 256)), np.empty((len(counts), 256), np.float32)
+    for a in range(0, len(counts), rows):
+        log[a:a + rows], one[a:a + rows] = _evidence(_choices(counts[a:a + rows]))
+    return log, one
+
+
 def _log_bytes(p: np.ndarray) -> np.ndarray:
     """Log10 probabilities of all bytes from the probabilities of a one at each choice."""
     out = np.zeros((len(p), 512))
@@ -112,12 +120,12 @@ def build(levels: list[tuple[np.ndarray, np.ndarray]], depth: int = DEPTH) -> Mo
     inner = [np.zeros(len(levels[d][0]), bool) for d in range(last + 1)]
     for d in range(last, -1, -1):
         counts = levels[d][1]
-        log, estimate[d] = _evidence(_choices(counts))
+        log, estimate[d] = _measured(counts)
         if d < last:
             inner[d][parents[d + 1]] = True
             rest = counts.copy()
             np.subtract.at(rest, parents[d + 1], levels[d + 1][1])
-            rest_log, other[d] = _evidence(_choices(rest))
+            rest_log, other[d] = _measured(rest)
             longer = rest_log + below
             own_weight[d] = np.where(inner[d][:, None], 1 / (1 + np.exp(np.clip(longer - log, -700, 700))), 1.0).astype(np.float32)
             weighted = np.where(inner[d][:, None], np.logaddexp(log, longer) - math.log(2), log)
