@@ -7,9 +7,12 @@ contexts by the probability that each gives the training data. With the counts
 fixed, the mixture over all depths is one distribution per leaf, so scoring a
 byte is finding its leaf.
 
-The tree has the contexts up to ``DEPTH`` bytes with at least one byte in
-``SHARE`` of the training bytes, so at most ``SHARE`` per depth at any size of
-the corpus; a context's rarer extensions share one leaf.
+The tree has every context up to ``DEPTH`` bytes that stands in the training texts, so
+it grows with them. ``table`` works it out in Spark and gives the finished value of each
+(context, byte): a task has the parts of the tree below some contexts of ``TOP`` bytes, a
+run of them at a time, what lies above is one aggregation and one join for each depth.
+``fit`` is the form for one process: it takes the contexts with at least one byte in
+``share`` of the training bytes, and a context's rarer extensions share one leaf.
 """
 
 from __future__ import annotations
@@ -20,13 +23,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listingflow.llm.chars import sums
 from listingflow.llm.shared import stored
 
-DEPTH, SHARE = 5, 1 << 16
+DEPTH, TOP = 5, 3
+#: Rows of a task's part of the tree that are worked on together; a context of TOP bytes stays whole.
+RUN = 1 << 17
 
 
 def laid(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -39,13 +44,24 @@ def laid(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray
     return data, places, bounds
 
 
-def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (context, byte) of the texts and their counts; the byte is the lowest, then the latest context byte."""
-    data, places, _ = laid(texts, depth)
+def _keys(data: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
     keys = np.zeros(len(places), np.int64)
     for k in range(depth + 1):
         keys |= data[places - k].astype(np.int64) << (8 * k)
-    return np.unique(keys, return_counts=True)
+    return keys
+
+
+def grams(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (context, byte) of the texts and their counts; the byte is the lowest, then the latest context byte."""
+    data, places, _ = laid(texts, depth)
+    return np.unique(_keys(data, places, depth), return_counts=True)
+
+
+def placed(texts: list[bytes], depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (context, byte) of the texts, the place there of each byte that is predicted, and bounds by text."""
+    data, places, bounds = laid(texts, depth)
+    keys = pa.array(_keys(data, places, depth)).dictionary_encode()
+    return keys.dictionary.to_numpy(), keys.indices.to_numpy(), bounds
 
 
 def lgamma(x: np.ndarray) -> np.ndarray:
@@ -160,7 +176,7 @@ def build(levels: list[tuple[np.ndarray, np.ndarray]], depth: int = DEPTH) -> Mo
     return Model(steps, np.concatenate(leaves), depth)
 
 
-def fit(counts: DataFrame, depth: int = DEPTH, share: int = SHARE) -> Model:
+def fit(counts: DataFrame, depth: int, share: int) -> Model:
     """The model of (key, n): how often each (context, byte) stands in the training texts. No rows: all bits are even."""
     total = counts.agg(F.sum("n")).head()[0] or 0
     mask = F.expr("CASE depth " + " ".join(f"WHEN {d} THEN {(1 << (8 * d)) - 1}L" for d in range(depth + 1)) + " END")
@@ -181,6 +197,163 @@ def fit(counts: DataFrame, depth: int = DEPTH, share: int = SHARE) -> Model:
     return build(levels, depth)
 
 
+def _lgamma(x: Column) -> Column:
+    """As ``lgamma``; the eight steps are one product."""
+    y = x + 8
+    steps = x
+    for k in range(1, 8):
+        steps = steps * (x + k)
+    series = F.lit(1 / 12) / y - F.lit(1 / 360) / (y * y * y) + F.lit(1 / 1260) / (y * y * y * y * y)
+    return (y - 0.5) * F.ln(y) - y + 0.5 * math.log(2 * math.pi) + series - F.ln(steps)
+
+
+def _level(rows: DataFrame) -> DataFrame:
+    """Of (context, choice, zeros, ones, below): weighted evidence, a context's own weight, its estimate of a one."""
+    zeros, ones = F.col("zeros"), F.col("ones")
+    log = F.when(zeros + ones > 0, _lgamma(zeros + 0.5) + _lgamma(ones + 0.5) - _lgamma(zeros + ones + 1) - math.log(math.pi)).otherwise(0.0)
+    rows = rows.withColumn("log", log).withColumn("gap", F.col("below") - F.col("log"))
+    own = 1 / (1 + F.exp(F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("gap")))))
+    return rows.select(
+        "context", "choice", "zeros", "ones", (F.greatest("log", "below") + F.log1p(F.exp(-F.abs("gap"))) - math.log(2)).alias("weighted"),
+        own.alias("own"), ((ones + 0.5) / (zeros + ones + 1)).alias("estimate"))
+
+
+def _factorials(counts: np.ndarray, plus: float, tables: dict[float, np.ndarray] = {}) -> np.ndarray:  # noqa: B006
+    """lgamma of whole numbers plus a half or one, the small ones from a table that stays."""
+    if plus not in tables:
+        tables[plus] = lgamma(np.arange(1 << 12) + plus)
+    small = tables[plus]
+    out = small[np.minimum(counts, len(small) - 1).astype(np.int64)]
+    large = np.flatnonzero(counts >= len(small))
+    out[large] = lgamma(counts[large] + plus)
+    return out
+
+
+@dataclass(frozen=True)
+class Part:
+    """The choices of all contexts of one depth; codes are context and choice, sorted."""
+    codes: np.ndarray
+    lower: np.ndarray  # place here of each choice one depth below; at the last depth, of the eight choices of each key
+    zeros: np.ndarray
+    ones: np.ndarray
+    weighted: np.ndarray
+    own: np.ndarray
+    estimate: np.ndarray
+
+
+def parts(keys: np.ndarray, n: np.ndarray, depth: int, top: int) -> tuple[list[Part], np.ndarray]:
+    """The tree of distinct keys from ``depth`` up to ``top``, and the bits of each key."""
+    byte, j = (keys & 255)[:, None], np.arange(8)
+    bits = (byte >> (7 - j)) & 1
+    codes = ((keys >> 8 << 8)[:, None] | (1 << j) | (byte >> (8 - j))).ravel()
+    zeros, ones = (n[:, None] * (1 - bits)).ravel(), (n[:, None] * bits).ravel()
+    below, out = None, []
+    for d in range(depth, top - 1, -1):
+        names, place = np.unique(codes & ((1 << (8 * d + 8)) - 1), return_inverse=True)
+        zeros, ones = (np.bincount(place, x, len(names)) for x in (zeros, ones))
+        log = _factorials(zeros, 0.5) + _factorials(ones, 0.5) - _factorials(zeros + ones, 1.0) - math.log(math.pi)
+        log[zeros + ones == 0] = 0
+        if d == depth:
+            weighted, own = log, np.ones(len(names))
+        else:
+            longer = np.bincount(place, below, len(names))
+            weighted, own = np.logaddexp(log, longer) - math.log(2), 1 / (1 + np.exp(np.clip(longer - log, -700, 700)))
+        out.append(Part(names, place, zeros, ones, weighted, own, (ones + 0.5) / (zeros + ones + 1)))
+        codes, below = names, weighted
+    return out, bits
+
+
+def _runs(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Whole contexts of rows sorted by context, about ``size`` rows at a time."""
+    held, rows = [], 0
+    for batch in batches:
+        held.append(batch)
+        rows += batch.num_rows
+        if rows >= size:
+            table = pa.Table.from_batches(held)
+            context = table.column("context").to_numpy()
+            end = int(np.searchsorted(context, context[-1]))
+            if end:
+                yield table.slice(0, end)
+            held = table.slice(end).combine_chunks().to_batches()
+            rows -= end
+            size = max(size, rows * 2) if not end else size
+    if rows:
+        yield pa.Table.from_batches(held)
+
+
+def _up(depth: int, top: int, size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches, size):
+            t = parts(table.column("key").to_numpy(), table.column("n").to_numpy(), depth, top)[0][-1]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t.codes >> 8, t.codes & 255, t.zeros, t.ones, t.weighted)],
+                                             names=["context", "choice", "zeros", "ones", "weighted"])
+
+    return run
+
+
+def _down(depth: int, top: int, size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches, size):
+            given = table.filter(pa.compute.is_null(table.column("key")))
+            table = table.filter(pa.compute.is_valid(table.column("key")))
+            keys = table.column("key").to_numpy()
+            levels, bits = parts(keys, table.column("n").to_numpy(), depth, top)
+            codes = given.column("context").to_numpy() << 8 | given.column("choice").to_numpy()
+            order = np.argsort(codes)  # the same codes as the highest part has
+            add, left = (given.column(c).to_numpy()[order] for c in ("above", "weight"))
+            for k in range(len(levels) - 1, -1, -1):
+                t = levels[k]
+                add, left = add + left * t.own * t.estimate, left * (1 - t.own)
+                add, left = add[t.lower], left[t.lower]
+            one = add.reshape(-1, 8)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(np.log10(np.where(bits == 1, one, 1 - one)).sum(axis=1))], names=["key", "log"])
+
+    return run
+
+
+def table(counts: DataFrame, depth: int = DEPTH, top: int = TOP) -> DataFrame:
+    """(key, log): log10 of the probability of each (context, byte) of (key, n), keys distinct, learned from the counts n.
+
+    A key with n = 0 teaches nothing and still gets its value, so keys of texts
+    that are only scored belong here too. A context of ``top`` bytes has at most
+    256^(depth - top + 1) keys at any size of the corpus; a join key above has at
+    most 256 rows.
+    """
+    top = min(top, depth)
+
+    def mask(d: int) -> Column:
+        return F.lit((1 << (8 * d)) - 1).cast("long")
+
+    def grouped(df: DataFrame) -> DataFrame:
+        return df.repartition("context").sortWithinPartitions("context")
+
+    keys = counts.select(F.shiftright("key", 8).bitwiseAND(mask(top)).alias("context"), "key", "n")
+    found = grouped(keys).mapInArrow(_up(depth, top, RUN), "context long, choice long, zeros double, ones double, weighted double")
+    first = below = stored(found, f"contexts-{top}")
+    levels = []
+    for d in range(top - 1, -1, -1):
+        rows = below.groupBy(F.col("context").bitwiseAND(mask(d)).alias("context"), "choice").agg(
+            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("weighted").alias("below"))
+        below = stored(_level(rows), f"contexts-{d}")
+        levels.insert(0, below)
+    # From the root down: what shorter contexts add, and the weight that is left for longer ones.
+    state = None
+    for d, level in enumerate([*levels, first]):
+        if state is None:
+            here = level.withColumns({"above": F.lit(0.0), "weight": F.lit(1.0)})
+        else:
+            parent = F.col("context").bitwiseAND(mask(d - 1))
+            # at most 255 rows above depth 1, 65,280 above depth 2
+            here = level.withColumn("parent", parent).join(F.broadcast(state) if d <= 2 else state, ["parent", "choice"]).drop("parent")
+        if d < top:
+            state = here.select(
+                F.col("context").alias("parent"), "choice", (F.col("above") + F.col("weight") * F.col("own") * F.col("estimate")).alias("above"),
+                (F.col("weight") * (1 - F.col("own"))).alias("weight"))
+    both = here.select("context", "choice", "above", "weight").unionByName(keys, allowMissingColumns=True)
+    return grouped(both).mapInArrow(_down(depth, top, RUN), "key long, log double")
+
+
 def merged(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys of several counts, and their sums."""
     keys, counts = map(np.concatenate, zip(*parts, strict=True))

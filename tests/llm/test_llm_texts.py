@@ -209,6 +209,35 @@ def test_context_tree_agrees_with_recursion(spark, depth):
     assert np.allclose((10.0 ** model.leaves.astype(float)).sum(axis=1), 1, atol=1e-4)
 
 
+@pytest.mark.parametrize(("depth", "top", "run"), [(0, 3, 1), (1, 3, 1), (2, 3, 4), (2, 1, 1), (2, 1, 1000), (2, 0, 5)])
+def test_every_context_is_in_the_table(spark, monkeypatch, depth, top, run):
+    monkeypatch.setattr(ctw, "RUN", run)
+    train = [b"abab", b"abba", b"", b"aab", b"abcabc"]
+    n = Counter(dict(zip(*(x.tolist() for x in ctw.grams(train, depth)), strict=True)))
+    asked = [b"", b"ab", b"bbz", b"cab"]
+    counts = [(k, n[k]) for k in {*n, *ctw.grams(asked, depth)[0].tolist()}]
+    log = {r.key: r.log for r in ctw.table(spark.createDataFrame(counts, "key long, n long"), depth, top).collect()}
+    assert set(log) == {k for k, _ in counts}
+    slow = _slow_ctw(train, depth, 10**9)  # no context is too rare
+    for text in asked:
+        names, place, _ = ctw.placed([text], depth)
+        assert sum(log[int(k)] for k in names[place]) == pytest.approx(slow(text), rel=1e-9)
+
+
+@pytest.mark.parametrize("keys", [1 << 21, 40, 0])
+def test_rare_contexts_count_at_any_corpus_size(spark, monkeypatch, keys):
+    """A passage seen often enough to be learned, in a corpus where it is less than 1/65,536 of the bytes."""
+    monkeypatch.setattr(scoring, "KEYS", keys)
+    passage = "qjxzvk wvqzjx"
+    texts = ["the cat and the dog were there " * 400] * 100 + [passage] * 8
+    docs = spark.createDataFrame([*enumerate(texts), (900, passage), (901, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in scoring.score(docs, F.col("doc_id") < 900).collect()}
+    assert len(got) == len(texts) + 2
+    assert got[900].bits_per_byte == pytest.approx(got[100].bits_per_byte, rel=1e-9) and got[900].bits_per_byte < 1.5
+    n = dict(zip(*(x.tolist() for x in ctw.grams([t.encode() for t in texts])), strict=True))
+    assert min(n.values()) * (1 << 16) < sum(n.values())
+
+
 def test_scores_and_base_of_documents(spark):
     texts = {1: "the cat The", 2: "a dog", 3: None, 4: "", 5: "the zebra " * 300, 6: "é x é x"}
     docs = spark.createDataFrame([*texts.items(), (None, "the"), (1, "the cat The")], "doc_id long, text string").withColumn("score", F.lit("x"))
