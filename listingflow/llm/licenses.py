@@ -8,6 +8,7 @@ both for all runs from a line at once, so few runs are compared in full.
 
 from __future__ import annotations
 
+import pkgutil
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from listingflow.llm.shared import importable
 
-# Notices and short license texts.
+# Notices, headers and license texts; the long texts are files.
 TEMPLATES = {
     "MIT-notice": "Released under the MIT License.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
@@ -52,6 +53,65 @@ TEMPLATES = {
         '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the '
         "specific language governing permissions and limitations under the License."),
 }
+_GNU = (
+    "This {what} is free software{colon} you can redistribute it and/or modify it under the terms of the GNU {name} as published by "
+    "the Free Software Foundation, either version {version} of the License, or (at your option) any later version. This {what} is "
+    "distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY "
+    "or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details. You should have received a copy of the GNU {name} "
+    "along with this {what}. If not, see <https://www.gnu.org/licenses/>.")
+_BSD_HEAD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the "
+    "following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+    "the following disclaimer in the documentation and/or other materials provided with the distribution. ")
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission. ")
+_BSD_TAIL = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, '
+    "BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT "
+    "SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS "
+    "INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING "
+    "NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.")
+TEMPLATES |= {
+    "BSD-2-Clause": _BSD_HEAD + _BSD_TAIL,
+    "BSD-3-Clause": _BSD_HEAD + _BSD_NAMES + _BSD_TAIL,
+    "GPL-2.0-header": _GNU.format(what="program", colon=";", name="General Public License", version="2"),
+    "GPL-3.0-header": _GNU.format(what="program", colon=":", name="General Public License", version="3"),
+    "LGPL-2.1-header": _GNU.format(what="library", colon=";", name="Lesser General Public License", version="2.1"),
+    "LGPL-3.0-header": _GNU.format(what="program", colon=":", name="Lesser General Public License", version="3"),
+    "AGPL-3.0-header": _GNU.format(what="program", colon=":", name="Affero General Public License", version="3"),
+    "MPL-2.0-header": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+        "distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    "EPL-2.0-header": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is "
+        "available at https://www.eclipse.org/legal/epl-2.0/"),
+    "EPL-1.0-header": (
+        "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public "
+        "License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"),
+    "CC0-1.0-notice": (
+        "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work. "
+        "This work is published under CC0 1.0 Universal."),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+        "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial "
+        "or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software "
+        "dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the "
+        "public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of "
+        "relinquishment in perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "
+        '"AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR "
+        "THE USE OR OTHER DEALINGS IN THE SOFTWARE. For more information, please refer to <https://unlicense.org>"),
+}
+for _part, _name in (("", "Attribution"), ("-SA", "Attribution-ShareAlike"), ("-NC", "Attribution-NonCommercial"), ("-ND", "Attribution-NoDerivatives"),
+                     ("-NC-SA", "Attribution-NonCommercial-ShareAlike"), ("-NC-ND", "Attribution-NonCommercial-NoDerivatives")):
+    TEMPLATES[f"CC-BY{_part}-4.0-notice"] = f"Licensed under CC BY{_part} 4.0."
+    TEMPLATES[f"CC-BY{_part}-4.0-header"] = f"This work is licensed under a Creative Commons {_name} 4.0 International License."
+for _name in ("Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"):
+    TEMPLATES[_name] = pkgutil.get_data(__package__, f"license_texts/{_name}.txt").decode()
 DICE = 0.8
 WORD = re.compile(r"[^\W_]+")
 

@@ -102,6 +102,16 @@ def test_licenses_agree_with_all_runs():
             assert got.get(name) == (None if want is None else pytest.approx(want))
 
 
+def test_common_licenses_have_templates(spark):
+    names = ["BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-header", "GPL-3.0-header", "LGPL-2.1-header", "LGPL-3.0-header", "AGPL-3.0-header",
+             "MPL-2.0-header", "EPL-2.0-header", "CC0-1.0-notice", "Unlicense", "CC-BY-4.0-notice", "CC-BY-SA-4.0-header", "CC-BY-NC-ND-4.0-header",
+             "Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0"]
+    texts = [(i, "Copyright 2021 Example\n" + licenses.TEMPLATES[n] + "\nThen the text goes on.") for i, n in enumerate(names)]
+    got = {(r.doc_id, r.license): r.dice for r in licenses.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert [got.get((i, n)) for i, n in enumerate(names)] == [1.0] * len(names)
+    assert len(licenses.WORD.findall(licenses.TEMPLATES["GPL-3.0"])) > 5000
+
+
 def test_license_query_rows(spark):
     docs = spark.createDataFrame([(1, "x\nReleased under the MIT License.", 1), (1, "Released under the MIT License.", 1), (None, None, 2)], "doc_id long, text string, dice int")
     assert sorted(map(tuple, licenses.scan(docs).collect())) == [(1, "MIT-notice", 1.0, 0, 0), (1, "MIT-notice", 1.0, 1, 1)]
