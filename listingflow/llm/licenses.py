@@ -1,9 +1,11 @@
 """License scans: passages of normalised text against templates, by Dice coefficient over word bigrams.
 
-A passage is a run of whole lines. Its Dice coefficient with a template can reach
-the threshold only if its number of bigrams lies within bounds set by the
-template's, and if it holds enough of the template's bigrams; prefix counts check
-both for all runs from a line at once, so few runs are compared in full.
+A passage is a run of words and may begin and end at any word. The best one begins
+and ends with a bigram of the template, as others at its ends only add to its size.
+Its Dice coefficient can reach the threshold only if its number of bigrams lies within
+bounds set by the template's, and if it holds enough of the template's bigrams; counts
+by text and by window check both, so few windows are compared. ``Scanner`` can also be
+held to runs of whole lines.
 """
 
 from __future__ import annotations
@@ -138,16 +140,21 @@ class Match:
 class Scanner:
     """Templates ready for scanning texts; one with fewer than two words can't match."""
 
-    def __init__(self, templates: dict[str, str], least: float = DICE):
-        self.least = least
+    def __init__(self, templates: dict[str, str], least: float = DICE, lines: bool = True):
+        self.least, self.lines = least, lines
         self.templates = [(name, b) for name, text in sorted(templates.items()) if (b := bigrams(text))]
-        self.holders: dict[tuple[str, str], list[int]] = {}
-        for i, (_, pairs) in enumerate(self.templates):
+        self.known: dict[tuple[str, str], int] = {}
+        for _, pairs in self.templates:
             for pair in pairs:
-                self.holders.setdefault(pair, []).append(i)
+                self.known.setdefault(pair, len(self.known))
+        self.times = np.zeros((len(self.known), len(self.templates)), np.int32)
+        for i, (_, pairs) in enumerate(self.templates):
+            for pair, n in pairs.items():
+                self.times[self.known[pair], i] = n
+        self.sizes = np.array([pairs.total() for _, pairs in self.templates])
 
     def scan(self, text: str | None) -> list[Match]:
-        """The best run of lines for each template that some run matches; of equals the first, then the shortest."""
+        """The best passage for each template that some passage matches; of equals the first, then the shortest."""
         words: list[str] = []
         starts, ends, numbers = [], [], []  # words of the lines that have any
         for number, line in enumerate((text or "").lower().split("\n")):
@@ -157,20 +164,52 @@ class Scanner:
                 words += found
                 ends.append(len(words))
                 numbers.append(number)
-        hits: dict[int, list[int]] = {}
-        for at, pair in enumerate(zip(words, words[1:], strict=False)):
-            if pair in self.holders:
-                for i in self.holders[pair]:
-                    hits.setdefault(i, []).append(at)
+        known = self.known
+        held = [(at, known[pair]) for at, pair in enumerate(zip(words, words[1:], strict=False)) if pair in known]
+        if not held:
+            return []
+        at, ids = np.array(held).T
+        names, place, counts = np.unique(ids, return_inverse=True, return_counts=True)
+        # a match shares at least as many bigrams as the smallest passage has
+        shared = np.minimum(self.times[names], counts[:, None]).sum(axis=0)
         first, last = np.array(starts), np.array(ends)
         out = []
-        for i in sorted(hits):
+        for i in np.flatnonzero(shared >= self.sizes * self.least / (2 - self.least) - 1e-9):
             name, pairs = self.templates[i]
-            if best := self._best(words, first, last, np.array(hits[i]), pairs):
+            times = self.times[names, i][place]
+            hits = np.flatnonzero(times)
+            if self.lines:
+                best = self._best(words, first, last, at[hits], pairs)
+            elif best := self._best_window(at[hits], ids[hits], times[hits], int(self.sizes[i])):
+                value, a, b = best
+                best = value, *(np.searchsorted(first, (a, b + 1), "right") - 1)
+            if best:
                 value, a, b = best
                 out.append(Match(name, value, numbers[a], numbers[b]))
         return out
 
+    def _best_window(self, at, ids, times, size) -> tuple[float, int, int] | None:
+        """The best run of words: its Dice coefficient and the places of its first and its last bigram."""
+        t = self.least
+        low, high = size * t / (2 - t) - 1e-9, size * (2 - t) / t + 1e-9
+        # a bigram counts in a window that begins after the one that is as many of its kind back as the template has
+        order = np.argsort(ids, kind="stable")
+        begin = np.searchsorted(ids[order], ids[order])
+        rank = np.arange(len(ids)) - begin
+        back = np.empty(len(ids), np.int64)
+        back[order] = np.where(rank >= times[order], order[np.maximum(np.arange(len(ids)) - times[order], 0)], -1)
+        reach = np.searchsorted(at, at + high, "left")  # windows have at most high bigrams
+        best = None
+        for i in np.flatnonzero(reach - np.arange(len(at)) >= low):
+            shared = np.cumsum(back[i:reach[i]] < i)
+            if shared[-1] < low:
+                continue
+            value = 2 * shared / (at[i:reach[i]] - at[i] + 1 + size)
+            j = int(np.argmax(value))
+            if value[j] >= t - 1e-9 and (best is None or value[j] > best[0] + 1e-12):
+                best = (float(value[j]), int(at[i]), int(at[i + j]))
+        return best
+
     def _best(self, words, first, last, hits, pairs) -> tuple[float, int, int] | None:
         size, t = pairs.total(), self.least
         low, high = size * t / (2 - t) - 1e-9, size * (2 - t) / t + 1e-9
@@ -196,7 +235,7 @@ class Scanner:
 
 def _scan(templates: dict[str, str], least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates, least)
+        scanner = Scanner(templates, least, lines=False)
         for batch in batches:
             rows: dict[str, list] = {"doc_id": [], "license": [], "dice": [], "first_line": [], "last_line": []}
             for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
@@ -212,7 +251,8 @@ def _scan(templates: dict[str, str], least: float):
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = DICE) -> DataFrame:
     """(doc_id, license, dice, first_line, last_line): each template that a passage of (doc_id, text) matches.
 
-    Lines count from 0. Null and empty texts and lines without words match
+    Passages begin and end at any word; the lines are those of its first and last
+    word. Lines count from 0. Null and empty texts and lines without words match
     nothing. Repeated rows and null ids give rows of their own.
     """
     importable(docs.sparkSession)

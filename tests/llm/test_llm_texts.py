@@ -112,6 +112,30 @@ def test_common_licenses_have_templates(spark):
     assert len(licenses.WORD.findall(licenses.TEMPLATES["GPL-3.0"])) > 5000
 
 
+def test_licenses_inside_paragraphs(spark):
+    notice = "This package is free software. Released under the MIT License. Copyright 2021 Example Corp."
+    whole = "So it begins here. " * 30 + licenses.TEMPLATES["MIT"] + " and so it goes on." * 30
+    docs = spark.createDataFrame([(1, notice), (2, whole), (3, "one\ntwo words Released under\nthe MIT License. And on.")], "doc_id long, text string")
+    got = {(r.doc_id, r.license): (r.dice, r.first_line, r.last_line) for r in licenses.scan(docs).collect()}
+    assert got[1, "MIT-notice"] == (1.0, 0, 0) and got[2, "MIT"] == (1.0, 0, 0) and got[3, "MIT-notice"] == (1.0, 1, 2)
+
+
+def test_licenses_agree_with_all_windows_of_words():
+    rng = random.Random(12)
+    templates = {"a": "x y x y z x y", "b": "the end of the", "c": "z z z z", "d": "y z"}
+    scanner = licenses.Scanner(templates, 0.7, lines=False)
+    found = 0
+    for _ in range(150):
+        words = rng.choices(["x", "y", "z", "the", "end", "of"], [3, 3, 2, 1, 1, 1], k=rng.randrange(30))
+        got = {m.license: m.dice for m in scanner.scan(" ".join(words))}
+        for name, template in templates.items():
+            runs = [licenses.dice(licenses.bigrams(" ".join(words[a:b])), licenses.bigrams(template)) for a in range(len(words)) for b in range(a + 2, len(words) + 1)]
+            want = max(runs, default=0)
+            assert got.get(name) == (pytest.approx(want) if want >= 0.7 - 1e-9 else None)
+            found += want >= 0.7
+    assert found > 50
+
+
 def test_license_query_rows(spark):
     docs = spark.createDataFrame([(1, "x\nReleased under the MIT License.", 1), (1, "Released under the MIT License.", 1), (None, None, 2)], "doc_id long, text string, dice int")
     assert sorted(map(tuple, licenses.scan(docs).collect())) == [(1, "MIT-notice", 1.0, 0, 0), (1, "MIT-notice", 1.0, 1, 1)]
