@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from listingflow.llm.chars import LETTER, chunks, joined, mixed, sums, tables
-from listingflow.llm.shared import importable
+from listingflow.llm.shared import importable, stored
 
 BITS, DIM, SIZES = 16, 16, (2, 3, 4)
 #: What a text without letters is called.
@@ -137,25 +137,29 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ("order", pa.int64()), ("lang", pa.string()), ("index", pa.binary()), ("share", pa.binary())]))
 
 
-def fit(docs: DataFrame, per_lang: int = 800, max_langs: int = 200) -> Model:
-    """Train on (doc_id, text, lang): of each of the ``max_langs`` commonest languages at most ``per_lang`` rows.
+def fit(docs: DataFrame, per_lang: int = 800, most: int = 160_000) -> Model:
+    """Train on (doc_id, text, lang): every language, of each at most ``per_lang`` rows.
 
-    Rows with the smallest hash of their id are taken; a repeated id teaches
-    once. Rows with a null id or language teach nothing, nor do texts without
-    letters. Without any example every text is unknown.
+    With many languages each gives fewer rows, so that there are ``most`` in all,
+    or one of each if there are more languages. Rows with the smallest hash of
+    their id are taken; a repeated id teaches once. Rows with a null id or
+    language teach nothing, nor do texts without letters. Without any example
+    every text is unknown.
     """
-    known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL")
-    common = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs)
-    # Hashes are uniform: this leaves about 1.5 * per_lang ids of a language before they meet in a task.
+    known = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL").select("doc_id", "lang").distinct()
+    sizes = stored(known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("doc_id")).alias("first")), "languages")
+    langs = sizes.count()
+    per_lang = max(1, min(per_lang, most // max(langs, 1)))
+    # Hashes are uniform: this leaves about 1.5 * per_lang ids of a language before they meet in a task, and one at least.
     order = F.xxhash64("doc_id")
-    near = F.shiftrightunsigned(order, 33) < F.lit(1.5 * per_lang * 2.0**31) / F.col("n")
-    ids = known.join(F.broadcast(common), "lang").where(near).select("doc_id", "lang", order.alias("order")).distinct()
+    near = F.shiftrightunsigned(order, 33) < F.lit((1.5 * per_lang + 20) * 2.0**31) / F.col("n")
+    ids = known.join(F.broadcast(sizes) if langs <= most else sizes, "lang").where(near | (order == F.col("first"))).select("doc_id", "lang", order.alias("order"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))
-    # at most max_langs * per_lang ids
     chosen = ids.withColumn("rank", rank).where(F.col("rank") <= per_lang).drop("rank")
+    chosen = F.broadcast(chosen) if langs <= most else chosen  # at most ``most`` ids
     importable(docs.sparkSession)
     rows = (
-        docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), ["doc_id", "lang"])
+        docs.select("doc_id", "text", "lang").join(chosen, ["doc_id", "lang"])
         .groupBy("order", "doc_id", "lang").agg(F.min("text").alias("text")).select("order", "lang", "text")
         .mapInArrow(_examples, "order long, lang string, index binary, share binary").toArrow()
     ).sort_by([("order", "ascending"), ("lang", "ascending"), ("index", "ascending")])
@@ -177,7 +181,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "lang
     column named like ``out`` is replaced.
     """
     importable(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^BITS rows of classes, 200 at most
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2^BITS rows of classes
 
     @F.arrow_udf("lang string, score double, rejected boolean")
     def predicted(texts: pa.Array) -> pa.Array:

@@ -154,6 +154,17 @@ def test_language_of_texts_without_letters_and_of_nothing(spark):
     assert {r.language.lang for r in langid.identify(asked, nothing).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    taught = {}
+    monkeypatch.setattr(langid, "train", lambda names, examples: taught.update(names=names, counts=Counter(names[e[0]] for e in examples)))
+    rows = [(3 * k + i, "some words", f"l{k:03}") for k in range(230) for i in range(3)] + [(9000, "one row again", "rep")] * 9000 + [(9001, "the other", "rep")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langid.fit(docs)
+    assert len(taught["names"]) == 231 and taught["counts"]["rep"] == 2 and taught["counts"]["l229"] == 3
+    langid.fit(docs, most=231)
+    assert len(taught["counts"]) == 231 and set(taught["counts"].values()) == {1}
+
+
 def test_scores_do_not_depend_on_the_batch():
     rng = np.random.default_rng(1)
     texts = ["", "a", *["".join(rng.choice(list("ab c.1É"), 50)) for _ in range(30)], None, "ß"]
