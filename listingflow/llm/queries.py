@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listingflow.llm import decontam, langid, licenses, line_rules, mixing, quality, scoring, secrets, sharding, simhash
+from listingflow.llm import codes, decontam, langid, licenses, line_rules, mixing, quality, resampling, scoring, secrets, sharding, simhash, tokens
 from listingflow.llm.shared import BLANK, WORD, fold, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -191,3 +191,45 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """License notices and texts in every whole text."""
     return licenses.scan(_table(spark, folder, "documents"))
+
+
+@_query("op11_importance_resampling")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's weight towards the benchmark, and the rank of the quarter that is drawn."""
+    return resampling.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), percent=25, least_words=20, seed=7)
+
+
+@_query("op12_token_output")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of every whole text, written in range-coded blocks and read back from them."""
+    path = shared_path(spark, "token-files")
+    tokens.write(_table(spark, folder, "documents").select("doc_id", "text"), path, tokens.public("word_bpe_49k.json", end=2))
+    return tokens.read(spark, path).withColumnRenamed("key", "doc_id")
+
+
+# Entries of a codebook beside the parts they are held against; the lowest index wins a tie.
+_NEAREST = """a{i} AS MATERIALIZED (SELECT r, p, v, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+        SELECT r, k.p, k.v, c.e, CAST(list_sum(list_transform(list_zip(k.v, c.c), lambda x: (x[1] - x[2]) * (x[1] - x[2]))) AS BIGINT) AS d
+        FROM parts k JOIN c{i} c ON k.p = c.p) GROUP BY r, p, v)"""
+_MOVED = """c{j} AS MATERIALIZED (SELECT c.p, c.e, coalesce(m.c, c.c) AS c FROM c{i} c LEFT JOIN (
+        SELECT p, e, list(m ORDER BY pos) AS c FROM (SELECT p, e, pos, CAST(floor(sum(x) / count(*)) AS BIGINT) AS m FROM (
+            SELECT p, e, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{i}) GROUP BY p, e, pos) GROUP BY p, e) m
+        ON m.p = c.p AND m.e = c.e)"""
+_CODE_SQL = f"""
+    WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+            list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+        FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (SELECT r, p, v[p * len(v) // 16 + 1:(p + 1) * len(v) // 16] AS v
+        FROM kept, (SELECT unnest(range(0, 16)) AS p)),
+    c0 AS MATERIALIZED (SELECT p, r - 1 AS e, v AS c FROM parts WHERE r <= 64),
+    {_NEAREST.format(i=0)}, {_MOVED.format(i=0, j=1)}, {_NEAREST.format(i=1)}, {_MOVED.format(i=1, j=2)}, {_NEAREST.format(i=2)},
+    named AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a2 GROUP BY r),
+    books AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM c2)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM kept JOIN named USING (r), books"""
+
+
+@_query("op13_vector_codes", _CODE_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Product codes of every sound vector, with the errors of two rounds of codebooks."""
+    return codes.compress(_table(spark, folder, "embeddings"))
