@@ -157,13 +157,17 @@ def attach_surrogate(source: DataFrame, target: DataFrame, natural: str, surroga
 
 
 def with_surrogates(
-    source: DataFrame, target: DataFrame, natural: str, surrogate: str = "id", on_duplicate: str = "first"
+    source: DataFrame, target: DataFrame, natural: str, surrogate: str = "id", on_duplicate: str = "first",
+    start: int | None = None,
 ) -> DataFrame:
-    """Source rows with surrogate ids: known rows keep theirs, new rows get the next numbers."""
+    """Source rows with surrogate ids: known rows keep theirs, new rows get the next numbers.
+
+    ``start`` is the largest number given so far; without it the target tells.
+    """
     source = one_source_row(source.drop(surrogate), [natural], on_duplicate, None)
     tagged = attach_surrogate(source, target, natural, surrogate)
     # a global aggregate: one row
-    start = target.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint").alias("_start")).scalar()
+    start = F.lit(start).cast("bigint") if start is not None else target.agg(F.coalesce(F.max(surrogate), F.lit(0)).cast("bigint").alias("_start")).scalar()
     fresh = number_new(
         tagged.where(F.col(surrogate).isNull()).select(natural), natural, start, "_new"
     )
@@ -176,22 +180,22 @@ def with_surrogates(
 
 def upsert_keep_id(
     target: DataFrame, source: DataFrame, natural: str, surrogate: str = "id",
-    defaults: Mapping[str, object] | None = None, on_duplicate: str = "first",
+    defaults: Mapping[str, object] | None = None, on_duplicate: str = "first", start: int | None = None,
 ) -> DataFrame:
     """Overwrite rows by natural key without moving their surrogate id; new rows get the next ids."""
     return replace_rows(
-        target, with_surrogates(source, target, natural, surrogate, on_duplicate), [surrogate],
+        target, with_surrogates(source, target, natural, surrogate, on_duplicate, start), [surrogate],
         defaults, on_duplicate="trusted",
     )
 
 
 def insert_ignore_numbered(
     target: DataFrame, source: DataFrame, natural: str, surrogate: str = "id",
-    defaults: Mapping[str, object] | None = None, on_duplicate: str = "first",
+    defaults: Mapping[str, object] | None = None, on_duplicate: str = "first", start: int | None = None,
 ) -> DataFrame:
     """Insert-ignore by natural key into a table whose surrogate id counts up."""
     absent = missing_from(source, target, [natural])
-    numbered = with_surrogates(absent, target, natural, surrogate, on_duplicate)
+    numbered = with_surrogates(absent, target, natural, surrogate, on_duplicate, start)
     defaults = defaults or {}
     rows = numbered.select(*[
         (F.col(f"`{c}`") if c in numbered.columns else F.lit(defaults.get(c))).cast(t).alias(c)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import types as T
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from listingflow import schemas as S
 from listingflow.operators import merge
 from listingflow.operators.snapshots import SnapshotTable, write_preview
+from listingflow.operators.store import BucketTable, drop_staged, staged
 from listingflow.sources.catalog import Catalog
 
 
@@ -31,6 +33,14 @@ class Change:
     when: Column | None = None
     order: tuple[Column, ...] = ()
     defaults: Mapping[str, object] = field(default_factory=dict)
+    # the largest number given so far, for a target that is only part of its table
+    start: int | None = None
+
+    def with_rows(self, rows: DataFrame) -> Change:
+        return replace(self, rows=rows)
+
+    def with_start(self, start: int) -> Change:
+        return replace(self, start=start)
 
     def apply(self, target: DataFrame) -> DataFrame:
         """The target as it is after this change."""
@@ -42,9 +52,9 @@ class Change:
         if self.mode == "insert_ignore":
             return merge.insert_ignore(target, self.rows, keys, self.defaults, order)
         if self.mode == "insert_numbered":
-            return merge.insert_ignore_numbered(target, self.rows, keys[0], "id", self.defaults, self.on_duplicate)
+            return merge.insert_ignore_numbered(target, self.rows, keys[0], "id", self.defaults, self.on_duplicate, self.start)
         if self.mode == "keep_id":
-            return merge.upsert_keep_id(target, self.rows, keys[0], "id", self.defaults, self.on_duplicate)
+            return merge.upsert_keep_id(target, self.rows, keys[0], "id", self.defaults, self.on_duplicate, self.start)
         if self.mode == "truncate":
             return merge.truncate_load(self.rows, keys, order)
         if self.mode == "update":
@@ -83,22 +93,66 @@ def _target(catalog: Catalog, change: Change, schemas: Mapping[str, T.StructType
     return catalog.read(change.table)
 
 
+class Sink(Protocol):
+    """Where a planned change goes."""
+
+    def take(self, change: Change, target: Callable[[], DataFrame]) -> object | None:
+        """Merge a change whose rows were written once; ``target`` gives the table as the catalog has it."""
+
+    def read(self) -> DataFrame: ...
+
+
+@dataclass(frozen=True)
+class SnapshotSink:
+    """A whole new snapshot for each change."""
+
+    table: SnapshotTable
+
+    def take(self, change: Change, target: Callable[[], DataFrame]) -> str:
+        return self.table.commit(change.apply(target()))
+
+    def read(self) -> DataFrame:
+        return self.table.read()
+
+
+@dataclass(frozen=True)
+class BucketSink:
+    """Only the buckets of the changed keys; the table itself is the target."""
+
+    table: BucketTable
+
+    def take(self, change: Change, target: Callable[[], DataFrame]) -> str:
+        if self.table.manifest() is None:
+            self.table.load(target())
+        return f"{self.table.root}@{self.table.merge_staged(change).version}"
+
+    def read(self) -> DataFrame:
+        return self.table.read()
+
+
+def _sink(store: object) -> Sink:
+    return SnapshotSink(store) if isinstance(store, SnapshotTable) else BucketSink(store) if isinstance(store, BucketTable) else store
+
+
 def commit(
-    catalog: Catalog, changes: Iterable[Change], stores: Mapping[str, SnapshotTable],
+    catalog: Catalog, changes: Iterable[Change], stores: Mapping[str, SnapshotTable | BucketTable | Sink],
     schemas: Mapping[str, T.StructType] | None = None,
 ) -> list[str]:
-    """Merge changes one after another, each into a new snapshot of its table.
+    """Merge changes one after another, each into the sink of its table.
 
+    A change's rows are evaluated once, as they are written to the shared
+    folder; the guard against an empty change reads the count observed there.
     An empty change writes nothing. A later change to the same table merges
     into what the earlier one wrote. Tables with a declared layout may be absent.
     """
     written = []
     for change in changes:
-        if change.rows.isEmpty():
-            continue
-        store = stores[change.table]
-        written.append(store.commit(change.apply(_target(catalog, change, schemas or {}))))
-        catalog.bind(change.table, store.read)
+        rows, seen = staged(change.rows, "change")
+        if seen["n"]:
+            sink = _sink(stores[change.table])
+            written.append(sink.take(change.with_rows(rows), lambda c=change: _target(catalog, c, schemas or {})))
+            catalog.bind(change.table, sink.read)
+        drop_staged(rows)
     return written
 
 

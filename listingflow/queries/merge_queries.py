@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from listingflow.operators import ids, merge
 from listingflow.operators.relational import differs, missing_from
 from listingflow.operators.snapshots import SnapshotTable, overwrite_partitions, touched_partitions, write_preview
+from listingflow.operators.store import BucketTable, ManifestTable
+from listingflow.plans.base import Change, commit
+from listingflow.sources.catalog import Catalog
 from listingflow.queries.base import DERIVED, query
 from listingflow.session import checkpoint_dir
 
@@ -138,6 +141,65 @@ def merge_partitions(t):
     return t.spark.read.parquet(path)
 
 
+@query("merge_buckets", f"""
+    WITH u AS (SELECT coalesce(t.k, s.k) AS k, CASE WHEN s.k IS NOT NULL THEN s.name ELSE t.name END AS name,
+        CASE WHEN s.k IS NOT NULL THEN s.bal ELSE t.bal END AS bal,
+        CASE WHEN t.k IS NOT NULL THEN t.seg ELSE '-' END AS seg, t.nation {_BOTH}),
+    b AS (SELECT k, min(struct_pack(name := name, bal := bal)) AS v FROM m_batch GROUP BY k),
+    i AS (SELECT k, name, bal, seg, nation FROM u UNION ALL
+        SELECT k, v.name, v.bal, '-' AS seg, NULL AS nation FROM b WHERE k NOT IN (SELECT k FROM u)),
+    p AS (SELECT i.k, i.name, CASE WHEN b.k IS NOT NULL AND i.seg = '-' THEN b.v.bal ELSE i.bal END AS bal, i.seg, i.nation
+        FROM i LEFT JOIN b ON i.k = b.k)
+    SELECT * FROM p WHERE k NOT IN (SELECT k FROM m_source WHERE name IS NULL)""")
+def merge_buckets(t):
+    """Four merges in a row into a table of buckets by key."""
+    store = BucketTable.of(t.spark, f"{fresh_folder(t.spark)}/table", t.m_target.schema, ["k"], buckets=8)
+    store.load(t.m_target)
+    batch = t.m_batch.select(F.col("k").cast("long"), "name", "bal")
+    for change in (
+        Change("m", t.m_source, ("k",), "upsert", defaults={"seg": "-"}),
+        Change("m", batch, ("k",), "insert_ignore", order=(F.col("name"), F.col("bal")), defaults={"seg": "-"}),
+        Change("m", batch.groupBy("k").agg(F.min(F.struct("name", "bal"))["bal"].alias("bal")), ("k",), "update", ("bal",), when=F.col("seg") == "-"),
+        Change("m", t.m_source.where("name IS NULL"), ("k",), "delete"),
+    ):
+        store.merge(change)
+    return store.read()
+
+
+@query("merge_buckets_numbered", """
+    WITH top AS (SELECT max(id) AS m FROM m_ided),
+    s AS (SELECT m_source.k, m_source.name, m_source.bal, m_ided.id FROM m_source LEFT JOIN m_ided ON m_source.k = m_ided.k),
+    n AS (SELECT k, row_number() OVER (ORDER BY k) AS r FROM s WHERE id IS NULL)
+    SELECT coalesce(s.id, m + r) AS id, s.k, s.name, s.bal FROM s LEFT JOIN n ON s.k = n.k, top
+    UNION ALL SELECT id, k, name, bal FROM m_ided WHERE k NOT IN (SELECT k FROM m_source)""")
+def merge_buckets_numbered(t):
+    """Ids that stay and go on, in a table of buckets whose largest id the manifest keeps."""
+    store = BucketTable.of(t.spark, f"{fresh_folder(t.spark)}/table", t.m_ided.schema, ["k"], buckets=8, surrogate="id")
+    store.load(t.m_ided)
+    commit(Catalog(t.spark), [Change("m", t.m_source, ("k",), "keep_id")], {"m": store})
+    return store.read()
+
+
+@query("merge_manifest", """
+    WITH s AS (SELECT k, name, bal, CASE WHEN bal > 8000 THEN 'BUILDING' ELSE 'MOVED' END AS seg, nation
+               FROM m_target WHERE seg IN ('FURNITURE', 'BUILDING'))
+    SELECT k, name, bal + 1 AS bal, nation, seg FROM s
+    UNION ALL SELECT k, name, bal, nation, seg FROM m_target WHERE seg NOT IN ('FURNITURE', 'BUILDING')""")
+def merge_manifest(t):
+    """Partitions replaced by a new version; the old one stays whole for its readers until it expires."""
+    cols = ["k", "name", "bal", "nation", "seg"]
+    rows = t.m_target.select(*cols)
+    table = ManifestTable(t.spark, f"{fresh_folder(t.spark)}/table", rows.schema, ("seg",))
+    table.replace(rows, None, None)
+    changes = rows.where("seg IN ('FURNITURE', 'BUILDING')").select(
+        "k", "name", (F.col("bal") + 1).alias("bal"), "nation",
+        F.when(F.col("bal") > 8000, "BUILDING").otherwise("MOVED").alias("seg"))
+    touched = [(r.seg,) for r in touched_partitions(table.read(), changes, ["k"], ["seg"]).collect()]
+    table.replace(merge.upsert(table.read(touched), changes, ["k"]), touched, table.manifest())
+    table.expire(grace_ms=0)
+    return table.read()
+
+
 @query("dry_run_preview", """
     SELECT CAST(k AS VARCHAR) AS k, 'new' AS kind FROM m_source WHERE k NOT IN (SELECT k FROM m_target)
     UNION ALL
