@@ -51,7 +51,7 @@ def _whole(column: pa.Array, width: int) -> np.ndarray:
     """Rows of floor(SCALE * x), held within the largest component."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     limit = _limit(width)
-    return np.clip(np.floor(flat * SCALE), -limit, limit).astype(np.int64).reshape(-1, width)
+    return np.clip(np.floor(flat * SCALE), -limit, limit).astype(np.int64).reshape(len(column), width)
 
 
 def _edges(width: int, parts: int) -> list[int]:
