@@ -28,8 +28,8 @@ _DRIVE_RESOLVERS = {
 }
 
 
-def features(df: DataFrame, use_drive: bool = False, drive_from: str = "model_name") -> DataFrame:
-    """Comparable, NULL-free match features of one catalogue; car_id becomes text."""
+def features(df: DataFrame, use_drive: bool = False, drive_from: str = "model_name", keep: Sequence[str] = ()) -> DataFrame:
+    """Comparable, NULL-free match features of one catalogue beside the columns ``keep``; car_id becomes text."""
     def text(name: str) -> Column:
         return F.coalesce(F.col(name).cast("string"), F.lit("")) if name in df.columns else F.lit("")
 
@@ -41,6 +41,7 @@ def features(df: DataFrame, use_drive: bool = False, drive_from: str = "model_na
         found = vehicle.drive(F.regexp_extract(text(drive_from), "四驱|AWD|4WD|4X4|4x4|两驱|FWD|RWD|2WD", 0))
         drive = F.coalesce(found, F.lit(""))
     return df.select(
+        *keep,
         F.col("car_id").cast("string").alias("car_id"),
         F.upper(text("brand_name")).alias("car_name"),
         F.upper(text("series_name")).alias("car_series1"),
@@ -69,7 +70,7 @@ def _probes(sets: Sequence[Sequence[str]]) -> Column:
 
 
 def cascade(
-    platform: DataFrame, standard: DataFrame, use_drive: bool = False, salts: int | None = None
+    platform: DataFrame, standard: DataFrame, use_drive: bool = False, salts: int | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
     """One row per platform model that any round matches.
 
@@ -77,19 +78,22 @@ def cascade(
     number, ``match_des`` 'right' for one and 'repeat' for several, ``id_std``
     the single candidate of a right match, and ``final_id`` the standard id
     that survives the price check or the separation of repeats (else NULL).
+    Columns ``by`` of both sides (a platform's name) keep several matches in one
+    run apart; they lead the result.
     """
     sets = _key_sets(use_drive)
     number = {s: i for i, s in enumerate(sets)}
+    by = list(by)
     lookup = (
-        standard.select("car_id", "car_price", _probes(sets).alias("p"))
-        .groupBy("p.set", "p.key")
+        standard.select(*by, "car_id", "car_price", _probes(sets).alias("p"))
+        .groupBy(*by, "p.set", "p.key")
         .agg(F.count(F.lit(1)).alias("n"), F.min("car_id").alias("id"), F.min("car_price").alias("price"))
     )
-    probes = platform.select("car_id", "car_price", _probes(sets).alias("p")).select(
-        "car_id", "car_price", "p.set", "p.key"
+    probes = platform.select(*by, "car_id", "car_price", _probes(sets).alias("p")).select(
+        *by, "car_id", "car_price", "p.set", "p.key"
     )
-    hits = lookup_join(probes, lookup, ["set", "key"], "inner", salts)
-    found = hits.groupBy("car_id", "car_price").agg(
+    hits = lookup_join(probes, lookup, [*by, "set", "key"], "inner", salts)
+    found = hits.groupBy(*by, "car_id", "car_price").agg(
         *[
             F.max(F.when(F.col("set") == i, F.struct("n", "id", "price"))).alias(f"s{i}")
             for i in range(len(sets))
@@ -111,6 +115,7 @@ def cascade(
         if picks:
             settled = settled.when(~single & (F.col("m.round") == i), F.coalesce(*picks))
     return found.select(
+        *by,
         F.col("car_id").alias("platform_id"),
         F.col("m.round").alias("round"),
         F.col("m.n").alias("candidates"),
@@ -120,7 +125,7 @@ def cascade(
     )
 
 
-def settled_matches(cascaded: DataFrame) -> DataFrame:
+def settled_matches(cascaded: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Matches that survive, one row per standard id (the smallest platform id).
 
     One platform model has one survivor at most, so the type is always 1 and
@@ -128,12 +133,42 @@ def settled_matches(cascaded: DataFrame) -> DataFrame:
     """
     return (
         cascaded.where(F.col("final_id").isNotNull())
-        .groupBy(F.col("final_id").alias("id_std"))
+        .groupBy(*by, F.col("final_id").alias("id_std"))
         .agg(F.min("platform_id").alias("platform_id"))
         .withColumns({"match_type": F.lit(1), "is_only": F.lit(1)})
     )
 
 
+def unpivot_history(history: DataFrame, key: str, platforms: Sequence[str], names: Mapping[str, str]) -> DataFrame:
+    """(platform, key, *names) from a wide history with a column ``<prefix>_<platform>`` for each name; one scan.
+
+    ``names`` maps a column prefix to the type of the long column of that name.
+    A platform whose columns the history lacks has no rows.
+    """
+    there = [p for p in platforms if {f"{n}_{p}" for n in names} <= set(history.columns)]
+    if not there:
+        kind = dict(history.dtypes)[key]
+        ddl = ", ".join(["platform string", f"`{key}` {kind}", *[f"{n} {t}" for n, t in names.items()]])
+        return history.sparkSession.createDataFrame([], ddl)
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(p).alias("platform"), *[F.col(f"`{n}_{p}`").cast(t).alias(n) for n, t in names.items()]) for p in there]))
+    return history.select(F.col(f"`{key}`"), rows.alias("_r")).select("_r.platform", key, *[f"_r.{n}" for n in names])
+
+
+def pivot_platforms(base: DataFrame, found: DataFrame, platforms: Sequence[str], names: Mapping[str, str]) -> DataFrame:
+    """One wide row per standard id of ``base``, with every platform's columns; gaps are 0. One shuffle.
+
+    ``found`` has (platform, id_std, *names), one row per platform and id; ids that the base lacks are left out.
+    """
+    flagged = base.select("id_std", F.lit(True).alias("_base")).unionByName(found.withColumn("_base", F.lit(False)), allowMissingColumns=True)
+    folded = flagged.groupBy("id_std").agg(
+        F.max("_base").alias("_base"),
+        *[F.max(F.when(F.col("platform") == p, F.struct(*names))).alias(f"_{p}") for p in platforms])
+    return folded.where("_base").select("id_std", *[
+        F.coalesce(F.col(f"_{p}.{n}"), F.lit("0" if t == "string" else 0).cast(t)).alias(f"{n}_{p}")
+        for p in platforms for n, t in names.items()])
+
+
 def merge_history(base: DataFrame, history: DataFrame, fresh: DataFrame, names: Sequence[str]) -> DataFrame:
     """Every standard id with its earlier match, or the new one where it had none; joined by id.
 

@@ -46,7 +46,8 @@ def eligible(
     if model_year is not None:
         ok &= model_year.isNotNull()
     if price is not None:
-        ok &= price != 0
+        # a text that is no number is no price
+        ok &= price.try_cast("double") != 0
     if level is not None:
         ok &= level != V.UNKNOWN
     return ok

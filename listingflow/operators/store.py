@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from listingflow.operators.journal import read_text, write_text
 from listingflow.operators.snapshots import filesystem
 from listingflow.session import checkpoint_dir
 
@@ -105,20 +106,12 @@ class ManifestTable:
             if not known:
                 return None
             version = known[-1]
-        fs, path = filesystem(self.spark, f"{self._log()}/{version:010d}.json")
-        stream = fs.open(path)
-        try:
-            return Manifest.loads(str(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
-        finally:
-            stream.close()
+        return Manifest.loads(read_text(self.spark, f"{self._log()}/{version:010d}.json"))
 
     def publish(self, new: Manifest) -> None:
         """Make a version current by one rename; a version that is there already is a conflict."""
         fs, draft = filesystem(self.spark, f"{self._log()}/.draft-{uuid.uuid4().hex}")
-        fs.mkdirs(draft.getParent())
-        out = fs.create(draft, True)
-        out.write(bytearray(new.dumps().encode()))
-        out.close()
+        write_text(self.spark, draft.toString(), new.dumps())
         context = self.spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), self.spark._jsc.hadoopConfiguration())
         none = self.spark._sc._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
         try:
@@ -134,9 +127,10 @@ class ManifestTable:
 
     def read(self, cells: Iterable[Cell] | None = None, version: int | None = None) -> DataFrame:
         """The rows of a version, of some cells only if given: no other folder is listed or scanned."""
-        return self._rows(self.manifest(version), cells)
+        return self.rows_of(self.manifest(version), cells)
 
-    def _rows(self, manifest: Manifest | None, cells: Iterable[Cell] | None = None) -> DataFrame:
+    def rows_of(self, manifest: Manifest | None, cells: Iterable[Cell] | None = None) -> DataFrame:
+        """The rows that a manifest names; without one the table is empty."""
         columns = [f"`{f.name}`" for f in self.schema.fields]
         if manifest is None:
             return self.spark.createDataFrame([], self.schema)
@@ -155,12 +149,13 @@ class ManifestTable:
         """A new version in which the touched cells (None: all) hold exactly ``rows`` and the others are carried over.
 
         ``rows`` has the schema's columns and the cell columns. Rows meet by cell
-        before they are written, so a cell is a few files.
+        before they are written, so a cell is no more files than its
+        size asks for.
         """
         write = f"write={uuid.uuid4().hex}"
         path = f"{self.root}/data/{write}"
-        ordered = rows.repartition(*[F.col(f"`{c}`") for c in self.cells])
-        ordered.write.partitionBy(*self.cells).parquet(path)
+        # adaptive execution splits a large cell and joins small ones
+        rows.hint("rebalance", *[F.col(f"`{c}`") for c in self.cells]).write.partitionBy(*self.cells).parquet(path)
         written = self._written(path)
         # one row per touched cell; Parquet answers the count from its footers
         counted = self._counts(path, written)
@@ -298,12 +293,12 @@ class BucketTable(ManifestTable):
 
     def _merged(self, change, old: Manifest | None) -> Manifest:
         if change.mode == "truncate":
-            whole = self._fitted(change.apply(self._rows(None)))
+            whole = self._fitted(change.apply(self.rows_of(None)))
             return self.replace(whole.withColumn(BUCKET, self.bucket(whole)), None, old, self._marks(whole))
         # a change by other columns than the table's key may touch any bucket
         by_key = tuple(change.keys) == self.keys
         touched = self.touched(change.rows) if by_key else list(old.folders) if old else []
-        target = self._rows(old, touched)
+        target = self.rows_of(old, touched)
         marks = {}
         if self.surrogate is not None and change.mode in ("keep_id", "insert_numbered"):
             # numbers go on from the largest of the whole table, which the manifest knows

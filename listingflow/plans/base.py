@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from listingflow import schemas as S
 from listingflow.operators import merge
+from listingflow.operators.journal import Entry, Journal
 from listingflow.operators.snapshots import SnapshotTable, write_preview
 from listingflow.operators.store import BucketTable, drop_staged, staged
 from listingflow.sources.catalog import Catalog
@@ -156,6 +157,44 @@ def commit(
     return written
 
 
+def _noted(change: Change) -> dict[str, object]:
+    """What is needed to plan a change again besides its rows; columns of expressions can't be written down."""
+    if change.when is not None or change.order:
+        raise ValueError(f"a change of {change.table} with conditions or an order can't be journaled")
+    return {"table": change.table, "keys": list(change.keys), "mode": change.mode, "columns": list(change.columns),
+            "on_duplicate": change.on_duplicate, "defaults": dict(change.defaults)}
+
+
+def _recorded(entry: Entry, label: str) -> Change:
+    n = entry.notes[label]
+    return Change(n["table"], entry.frame(label), tuple(n["keys"]), n["mode"], tuple(n["columns"]), n["on_duplicate"], defaults=n["defaults"])
+
+
+def resume(catalog: Catalog, journal: Journal, name: str, stores: Mapping[str, SnapshotTable | BucketTable | Sink],
+           schemas: Mapping[str, T.StructType] | None = None) -> list[str]:
+    """Finish what earlier runs of a job recorded and did not close; merges that were done already change nothing."""
+    written = []
+    for entry in journal.open(name):
+        for label in entry.labels():
+            change = _recorded(entry, label)
+            sink = _sink(stores[change.table])
+            if not change.rows.isEmpty():
+                written.append(sink.take(change, lambda c=change: _target(catalog, c, schemas or {})))
+                catalog.bind(change.table, sink.read)
+        journal.close(entry)
+    return written
+
+
+def commit_all(catalog: Catalog, changes: Sequence[Change], stores: Mapping[str, SnapshotTable | BucketTable | Sink], journal: Journal,
+               name: str, schemas: Mapping[str, T.StructType] | None = None) -> list[str]:
+    """Merge changes to several tables so that a stop between them is made good by the next ``resume``.
+
+    All rows are computed once, before the first table changes.
+    """
+    journal.record(name, {f"{n:03d}-{c.table}": (c.rows, _noted(c)) for n, c in enumerate(changes)})
+    return resume(catalog, journal, name, stores, schemas)
+
+
 # A step plans one change from the tables as the steps before it leave them.
 Step = Callable[[Catalog], Change]
 

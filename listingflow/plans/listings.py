@@ -13,10 +13,11 @@ from listingflow.functions import geo, listing
 from listingflow.operators import merge, quality
 from listingflow.operators.dedupe import latest_by, one_per_key, only_unique
 from listingflow.operators.skew import broadcast_lookup_join, lookup_join
-from listingflow.operators.snapshots import SnapshotTable, filesystem, overwrite_partitions, touched_partitions
-from listingflow.plans.base import Change, commit, into
+from listingflow.operators.journal import Journal
+from listingflow.operators.snapshots import SnapshotTable, touched_partitions
+from listingflow.operators.store import BucketTable, Conflict, ManifestTable, drop_staged, staged
+from listingflow.plans.base import Change, Sink, commit_all, into, resume
 from listingflow.sources.align import align, project
-from listingflow.session import cut_lineage
 from listingflow.sources.catalog import Catalog
 from listingflow.streaming.incremental import high_water_mark, newer_than_mark
 
@@ -258,50 +259,79 @@ PARTITIONS = ("car_platform", "partition_month")
 UNKNOWN_MONTH = "unknown"
 
 
+def wide_table(spark: SparkSession, path: str) -> ManifestTable:
+    """The wide table at ``path``: a partition for each platform and month."""
+    return ManifestTable(spark, path, S.LISTING_WIDE, PARTITIONS)
+
+
 def commit_wide(
-    spark: SparkSession, path: str, platform: str, rows: DataFrame, deleted: DataFrame | None = None
+    table: ManifestTable, platform: str, rows: DataFrame, deleted: DataFrame | None = None, attempts: int = 5
 ) -> None:
-    """Merge a platform's rows into the partitioned wide table, rewriting only the months they touch.
+    """Merge a platform's rows into the wide table as one new version, rewriting only the months they touch.
 
     ``deleted`` has listing ids (column ``id``) that leave the table. Of several
     rows with one key the smallest counts, in the first write as in later ones.
-    The rows are written to the checkpoint folder once, since they are read for
-    the months and for the merge.
+    The rows are written to the shared folder once, since they are read for the
+    months and for the merge; if another writer is first, only the merge is
+    made again.
     """
     month = F.coalesce("partition_month", F.lit(UNKNOWN_MONTH))
-    rows = cut_lineage(one_per_key(rows.withColumn("partition_month", month), KEYS))
-    columns = [f.name for f in S.LISTING_WIDE.fields]
-    fs, folder = filesystem(spark, path)
-    if not fs.exists(folder):
-        rows.write.partitionBy(*PARTITIONS).parquet(path)
-        return
-    mine = spark.read.schema(S.LISTING_WIDE).parquet(path).where(F.col("car_platform") == platform).select(*columns)
-    gone = mine.select(*KEYS).limit(0) if deleted is None else cut_lineage(
-        deleted.select(F.lit(platform).alias("car_platform"), F.col("id").try_cast("long").alias("id_data_input")))
-    touched = touched_partitions(mine, rows, KEYS, PARTITIONS).unionByName(
-        mine.join(gone, list(KEYS), "left_semi").select(*PARTITIONS)).distinct()
-    # months of one platform, not rows; NULL only where an older writer left it
-    months = [r.partition_month for r in touched.collect()]
-    here = F.col("partition_month").isin([m for m in months if m is not None])
-    if None in months:
-        here = F.coalesce(here, F.lit(False)) | F.col("partition_month").isNull()
-    inside = merge.delete_matching(mine.where(here), gone, KEYS)
-    touched = spark.createDataFrame([(platform, m) for m in months], "car_platform string, partition_month string")
-    overwrite_partitions(spark, path, merge.upsert(inside, rows, KEYS), touched, PARTITIONS)
-
-
-def run(cat: Catalog, platform: str, run_date: str, path: str, source: SnapshotTable | None = None) -> None:
-    """One platform, from its mark to the partitioned wide table at ``path``.
+    rows, _ = staged(one_per_key(align(rows, S.LISTING_WIDE).withColumn("partition_month", month), KEYS), "listings")
+    ids = table.rows_of(None).select("id_data_input") if deleted is None else deleted.select(F.col("id").try_cast("long").alias("id_data_input"))
+    gone, _ = staged(ids.withColumn("car_platform", F.lit(platform)), "gone-listings")
+    for attempt in range(attempts):
+        old = table.manifest()
+        mine = table.rows_of(old, [c for c in old.folders if c[0] == platform] if old else [])
+        found = touched_partitions(mine, rows, KEYS, PARTITIONS).unionByName(mine.join(gone, list(KEYS), "left_semi").select(*PARTITIONS))
+        # months of one platform, not rows
+        touched = [tuple(r) for r in found.distinct().collect()]
+        inside = merge.delete_matching(table.rows_of(old, touched), gone, KEYS)
+        try:
+            table.replace(merge.upsert(inside, rows, KEYS), touched, old)
+            break
+        except Conflict:
+            if attempt + 1 == attempts:
+                raise
+    drop_staged(rows)
+    drop_staged(gone)
+
+
+@dataclass(frozen=True)
+class WideSink:
+    """The partitioned wide table as the sink of planned changes: rows of one platform, or its listings that go."""
+
+    table: ManifestTable
+    platform: str
+
+    def take(self, change: Change, target: Callable[[], DataFrame]) -> str:
+        if change.mode == "delete":
+            commit_wide(self.table, self.platform, self.table.rows_of(None), change.rows.select(F.col("id_data_input").alias("id")))
+        elif change.mode == "upsert":
+            commit_wide(self.table, self.platform, change.rows)
+        else:
+            raise ValueError(f"the wide table takes no {change.mode}")
+        return f"{self.table.root}@{self.table.manifest().version}"
+
+    def read(self) -> DataFrame:
+        return self.table.read()
+
+
+def run(cat: Catalog, platform: str, run_date: str, path: str, source: SnapshotTable | BucketTable | Sink | None = None) -> list[str]:
+    """One platform, from its mark to the wide table at ``path``.
 
     A platform that drops superseded crawls drops them from its ``source`` as
-    well, once the wide table is written.
+    well. What is to be written to either is journaled first: a run that stops
+    between the tables is finished by the next one. A source without rows is
+    refused.
     """
     spec = PLATFORMS[platform]
-    old = None
-    if spec.drops_superseded:
-        if source is None:
-            raise ValueError(f"{platform} deletes from its source: name the table")
-        old = cut_lineage(superseded(cat, platform))
-    commit_wide(cat.spark, path, platform, wide_rows(cat, platform, run_date), old)
-    if old is not None:
-        commit(cat, [Change(spec.source, old, ("id",), "delete")], {spec.source: source})
+    if spec.drops_superseded and source is None:
+        raise ValueError(f"{platform} deletes from its source: name the table")
+    table = wide_table(cat.spark, path)
+    stores = {"listing_wide": WideSink(table, platform)} | ({spec.source: source} if spec.drops_superseded else {})
+    journal, name = Journal(cat.spark, f"{path}/journal"), f"listings-{platform}"
+    if table.manifest() is not None:
+        cat.bind("listing_wide", table.read)
+    done = resume(cat, journal, name, stores)
+    quality.require_some(cat.read(spec.source), spec.source)
+    return done + commit_all(cat, plan(cat, platform, run_date), stores, journal, name, {"listing_wide": S.LISTING_WIDE})

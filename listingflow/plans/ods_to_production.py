@@ -84,12 +84,13 @@ def detail_part(cat: Catalog, ids: DataFrame | None = None) -> DataFrame:
 
 def config_rows(cat: Catalog, ids: DataFrame | None = None, only_new: bool = True) -> DataFrame:
     """Production wide rows, aligned to the target and filled with '-'; by default only absent ids."""
-    base, detail = base_part(cat, ids), detail_part(cat, ids)
     if only_new:
-        # known ids go before anything is joined, split or flagged
+        # known ids leave both inputs before anything is joined, ranked, split or flagged
         known = cat.read_or_empty("prod_config", S.PROD_CONFIG)
-        base, detail = (missing_ids(part, known, "autohome_id", "autohome_id") for part in (base, detail))
-    wide = base.join(detail, "autohome_id")
+        cat = cat.overlay(**{
+            name: missing_ids(cat.read(name), known, key, "autohome_id")
+            for name, key in (("ods_model_master", "model_id"), ("ods_model_detail", "autohome_id"))})
+    wide = base_part(cat, ids).join(detail_part(cat, ids), "autohome_id")
     wide = wide.withColumns({
         "color_outside": vehicle.catalogue_color(F.col("color_outside")),
         "color_outside_code": vehicle.catalogue_color(F.col("color_outside_code")),

@@ -181,8 +181,8 @@ def paid_prices_b(cat: Catalog, run_date: str) -> DataFrame:
     src = cat.read("src_paid_b").where(after_day(F.col("add_time"), month_anchor(run_date, 8, 20)))
     rows = src.select(
         "id", "brand_name", "series_name", "model_name", "buy_time", "city",
-        F.round(F.col("guidance_price") / 10000, 2).alias("model_price"),
-        F.round(F.col("naked_price") / 10000, 2).alias("bare_price"), "add_time",
+        F.round(F.col("guidance_price").try_cast("double") / 10000, 2).alias("model_price"),
+        F.round(F.col("naked_price").try_cast("double") / 10000, 2).alias("bare_price"), "add_time",
     ).where(quality.price_gap_ok(F.col("model_price"), F.col("bare_price")))
     places = gazetteer(cat)
     placed = _add_province(geo.standardise_city(rows, "city", places), places)
@@ -193,6 +193,12 @@ def paid_prices_b(cat: Catalog, run_date: str) -> DataFrame:
     )
 
 
+def unreadable_prices_b(cat: Catalog) -> DataFrame:
+    """Source rows of which a price is no number, with the first such price as ``reason``."""
+    rules = {f"{c} is no number": F.col(c).try_cast("double").isNotNull() | F.col(c).isNull() for c in ("guidance_price", "naked_price")}
+    return quality.explain_rejects(cat.read("src_paid_b"), rules).where("reason IS NOT NULL")
+
+
 def owner_prices_a(cat: Catalog, run_date: str) -> list[Change]:
     return [Change("side_paid_a", paid_prices_a(cat, run_date), ("id",))]
 

@@ -479,14 +479,16 @@ def job_paid_prices_a(t):
 DERIVED["d_paid_b"] = f"""SELECT l_orderkey * 8 + l_linenumber AS id, lower(p_brand) AS brand_name, lower(p_type) AS series_name,
     CASE l_linenumber % 3 WHEN 0 THEN '2019款 豪华' WHEN 1 THEN '18款 舒适' ELSE '豪华' END AS model_name,
     CAST(CAST(l_shipdate AS DATE) + 8000 AS STRING) AS buy_time, {_PLACE_TEXT} AS city,
-    p_retailprice * 200 AS guidance_price, l_extendedprice * 3 AS naked_price, CAST(l_shipdate AS DATE) + 8400 AS add_time
+    CASE l_orderkey % 31 WHEN 0 THEN '面议' ELSE CAST(p_retailprice * 200 AS STRING) END AS guidance_price,
+    CASE l_orderkey % 37 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE CAST(l_extendedprice * 3 AS STRING) END AS naked_price,
+    CAST(l_shipdate AS DATE) + 8400 AS add_time
     FROM lineitem JOIN part ON l_partkey = p_partkey"""
 
 
 @query("job_paid_prices_b", f"""
     WITH {place_ctes('d_paid_b', 'city')},
-    r AS (SELECT *, CAST(round(CAST(guidance_price AS DECIMAL(18, 4)) / 10000, 2) AS DOUBLE) AS mp,
-                 CAST(round(CAST(naked_price AS DECIMAL(18, 4)) / 10000, 2) AS DOUBLE) AS bp FROM d_paid_b)
+    r AS (SELECT *, CAST(round(CAST(try_cast(guidance_price AS DOUBLE) AS DECIMAL(18, 4)) / 10000, 2) AS DOUBLE) AS mp,
+                 CAST(round(CAST(try_cast(naked_price AS DOUBLE) AS DECIMAL(18, 4)) / 10000, 2) AS DOUBLE) AS bp FROM d_paid_b)
     SELECT id, upper(brand_name) AS brand_name, upper(series_name) AS series_name,
         coalesce({pick('model_name', V.MODEL_YEAR_LONG)}, regexp_extract(model_name, {duck(V.MODEL_YEAR_SHORT)}, 1)) AS model_year,
         model_name, mp AS model_price, province, place AS city, CAST(buy_time AS DATE) AS buy_time, bp AS bare_price, add_time
@@ -496,6 +498,15 @@ def job_paid_prices_b(t):
     return side_data.paid_prices_b(place_catalog(t, src_paid_b="d_paid_b"), SIDE_RUN)
 
 
+@query("job_paid_prices_b_unreadable", """
+    SELECT reason, count(*) AS n FROM (SELECT CASE WHEN guidance_price IS NOT NULL AND try_cast(guidance_price AS DOUBLE) IS NULL
+            THEN 'guidance_price is no number' WHEN naked_price IS NOT NULL AND try_cast(naked_price AS DOUBLE) IS NULL
+            THEN 'naked_price is no number' END AS reason FROM d_paid_b) WHERE reason IS NOT NULL GROUP BY reason""")
+def job_paid_prices_b_unreadable(t):
+    found = side_data.unreadable_prices_b(place_catalog(t, src_paid_b="d_paid_b"))
+    return found.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- standard ids ----------------------------------------------------------
 
 DERIVED["s_major"] = f"""SELECT p_partkey AS model_id, {_LETTER} AS Initial, {_BRAND} AS brandid, p_brand AS brand_name,
@@ -599,40 +610,47 @@ def job_reg_years(t):
 
 # --- platform match --------------------------------------------------------
 
-DERIVED["y_plat"] = f"SELECT *, {cases('car_id', ['1', '2', '3', '4', '5', '6', '7', '8', '9'])} AS series_id FROM x_plat"
-# earlier matches: a decided one, an undecided one (type 0) and a discarded one (type 4) per standard id
-DERIVED["y_history"] = """SELECT CAST(p_partkey AS STRING) AS id_che300, CAST(p_partkey + 500001 AS STRING) AS id_yiche,
-    CASE p_size % 5 WHEN 0 THEN 1 WHEN 1 THEN 0 ELSE 4 END AS match_type_yiche, 1 AS is_only_yiche FROM part WHERE p_size < 9"""
-DERIVED["y_std"] = "SELECT * FROM x_std"
-DERIVED["y_named"] = """SELECT y_plat.* , b AS temp_brand, s AS temp_series FROM y_plat LEFT JOIN (
-        SELECT series_id AS sid, v.b AS b, v.s AS s FROM (SELECT series_id, min(struct_pack(b := m.brand_name, s := m.series_name)) AS v
-        FROM y_plat p JOIN y_history h ON CAST(p.car_id AS VARCHAR) = h.id_yiche JOIN s_wide m ON h.id_che300 = CAST(m.model_id AS VARCHAR)
-        GROUP BY series_id)) ON series_id = sid"""
-DERIVED["s_wide"] = "SELECT p_partkey AS model_id, p_brand AS brand_name, p_type AS series_name FROM part WHERE p_size > 6"
-
-
-def _match_sql() -> str:
-    """The cascade over what history leaves open, then history first."""
-    body = _rounds_sql().replace("FROM x_plat", "FROM open_plat").replace("FROM x_std", "FROM open_std")
-    return f"""WITH old AS (SELECT * FROM y_history WHERE match_type_yiche NOT IN (0, 4)),
-      open_plat AS (SELECT * REPLACE (CASE WHEN temp_brand IS NOT NULL THEN temp_brand ELSE brand_name END AS brand_name,
-            CASE WHEN temp_brand IS NOT NULL THEN temp_series ELSE series_name END AS series_name)
-          FROM y_named WHERE CAST(car_id AS VARCHAR) NOT IN (SELECT id_yiche FROM old)),
-      open_std AS (SELECT * FROM y_std WHERE CAST(car_id AS VARCHAR) NOT IN (SELECT id_che300 FROM old)),
+# Platforms name their models by numbers of their own range; each has its share of spellings and of earlier matches.
+for _i, _p in enumerate(V.MATCH_PLATFORMS):
+    DERIVED[f"y_plat_{_p}"] = f"""SELECT car_id + {_i * 100_000_000} AS car_id, brand_name, CASE (car_id + {_i}) % 13 WHEN 0 THEN 'other' ELSE series_name END AS series_name,
+        model_name, model_price, model_year, liter, car_auto, discharge_standard, {cases(f'(car_id + {_i})', ['1', '2', '3', '4', '5', '6', '7', '8', '9'])} AS series_id FROM x_plat"""
+# a decided match, an undecided one (type 0), a discarded one (type 4) and none
+_PAST = ", ".join(
+    f"""CASE (p_partkey + {i}) % 6 WHEN 5 THEN NULL ELSE CAST(p_partkey + {500_001 + i * 100_000_000} AS STRING) END AS id_{p},
+    CASE (p_partkey + {i}) % 6 WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 5 THEN NULL ELSE 4 END AS match_type_{p}, 1 AS is_only_{p}"""
+    for i, p in enumerate(V.MATCH_PLATFORMS))
+DERIVED["y_history"] = f"SELECT CAST(p_partkey AS STRING) AS id_che300, {_PAST} FROM part"
+DERIVED["s_wide"] = "SELECT p_partkey AS model_id, p_brand AS brand_name, p_type AS series_name FROM part"
+
+
+def _match_sql(p: str) -> str:
+    """One platform: the cascade over what history leaves open, then history first."""
+    body = _rounds_sql("open_plat", "open_std")
+    return f"""(WITH old AS (SELECT * FROM y_history WHERE match_type_{p} NOT IN (0, 4)),
+      seen AS (SELECT series_id AS sid, min(struct_pack(b := m.brand_name, s := m.series_name)) AS v
+        FROM y_plat_{p} p JOIN y_history h ON CAST(p.car_id AS VARCHAR) = h.id_{p} JOIN s_wide m ON h.id_che300 = CAST(m.model_id AS VARCHAR)
+        GROUP BY series_id),
+      open_plat AS (SELECT * REPLACE (CASE WHEN v IS NOT NULL THEN v.b ELSE brand_name END AS brand_name,
+            CASE WHEN v IS NOT NULL THEN v.s ELSE series_name END AS series_name)
+          FROM y_plat_{p} LEFT JOIN seen ON series_id = sid WHERE CAST(car_id AS VARCHAR) NOT IN (SELECT id_{p} FROM old WHERE id_{p} IS NOT NULL)),
+      open_std AS (SELECT * FROM x_std WHERE CAST(car_id AS VARCHAR) NOT IN (SELECT id_che300 FROM old)),
       {body}, one AS (SELECT id, min(platform_id) AS platform_id FROM f GROUP BY id)
-    SELECT CAST(car_id AS VARCHAR) AS id_std, coalesce(old.id_yiche, one.platform_id, '0') AS id_yiche,
-        coalesce(old.match_type_yiche, CASE WHEN one.id IS NOT NULL THEN 1 END, 0) AS match_type_yiche,
-        coalesce(old.is_only_yiche, CASE WHEN one.id IS NOT NULL THEN 1 END, 0) AS is_only_yiche,
-        '0' AS id_czb, 0 AS match_type_czb, 0 AS is_only_czb
-    FROM y_std LEFT JOIN old ON old.id_che300 = CAST(car_id AS VARCHAR) LEFT JOIN one ON one.id = CAST(car_id AS VARCHAR)"""
+    SELECT CAST(car_id AS VARCHAR) AS id_std, coalesce(old.id_{p}, one.platform_id, '0') AS id_{p},
+        coalesce(old.match_type_{p}, CASE WHEN one.id IS NOT NULL THEN 1 END, 0) AS match_type_{p},
+        coalesce(old.is_only_{p}, CASE WHEN one.id IS NOT NULL THEN 1 END, 0) AS is_only_{p}
+    FROM x_std LEFT JOIN old ON old.id_che300 = CAST(car_id AS VARCHAR) LEFT JOIN one ON one.id = CAST(car_id AS VARCHAR))"""
 
 
-@query("job_platform_match", _match_sql())
-def job_platform_match(t):
+def match_catalog(t, platforms=V.MATCH_PLATFORMS) -> Catalog:
     cat = Catalog(t.spark)
-    for name, table in {"match_platform_yiche": "y_plat", "match_standard": "x_std", "match_history": "y_history",
-                        "catalogue_major": "s_wide"}.items():
+    tables = {"match_standard": "x_std", "match_history": "y_history", "catalogue_major": "s_wide"}
+    for name, table in (tables | {f"match_platform_{p}": f"y_plat_{p}" for p in platforms}).items():
         cat.bind(name, lambda table=table: getattr(t, table))
-    return platform_match.result_rows(cat, ["yiche", "czb"])
+    return cat
 
 
+@query("job_platform_match", "SELECT * FROM " + " JOIN ".join(
+    f"{_match_sql(p)} m_{p}" + (" USING (id_std)" if n else "") for n, p in enumerate(V.MATCH_PLATFORMS)))
+def job_platform_match(t):
+    """All seven platforms in one run."""
+    return platform_match.result_rows(match_catalog(t))

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import functions as F
 
 from listingflow import fixed_values as V
 from listingflow import schemas as S
+from listingflow.operators.snapshots import SnapshotTable
 from listingflow.plans import listings
 from listingflow.queries.base import DERIVED, cases, duck, duck_fold, query
 from listingflow.queries.merge_queries import fresh_folder
@@ -175,15 +178,51 @@ def job_listing_mapping(t):
         FROM ({listing_sql("guazi")}) WHERE NOT (id_data_input % 2 = 1 AND id_data_input % 11 = 0))""")
 def job_listing_commit(t):
     """Write, change, move and delete, read back: listings without a month, in moved months and in emptied ones."""
-    path = f"{fresh_folder(t.spark)}/wide"
+    table = listings.wide_table(t.spark, f"{fresh_folder(t.spark)}/wide")
     number, month = F.col("id_data_input"), F.col("partition_month")
     rows = cut_lineage(listings.wide_rows(listing_catalog(t), "guazi", RUN))
     first = rows.withColumn("partition_month", F.when(number % 5 != 0, month))
-    listings.commit_wide(t.spark, path, "guazi", first)
+    listings.commit_wide(table, "guazi", first)
     changed = first.where(number % 2 == 0).withColumns({
         "quotes": F.col("quotes") + 1,
         "partition_month": F.when(number % 3 == 0, "209901").when(number % 7 != 0, month)})
     gone = first.where((number % 2 == 1) & (number % 11 == 0)).select(number.alias("id"))
     # repeated rows are one listing in either write
-    listings.commit_wide(t.spark, path, "guazi", changed.unionByName(changed.limit(3)), gone)
-    return t.spark.read.schema(S.LISTING_WIDE).parquet(path).select(*[f.name for f in S.LISTING_WIDE.fields])
+    listings.commit_wide(table, "guazi", changed.unionByName(changed.limit(3)), gone)
+    return table.read()
+
+
+class Stopped(Exception):
+    """A run that ends between two tables."""
+
+
+class StoppingSink:
+    """A table whose writes stop the run."""
+
+    def __init__(self, table):
+        self.table = table
+
+    def take(self, change, target):
+        raise Stopped
+
+    def read(self):
+        return self.table.read()
+
+
+@query("job_listing_resumed", f"""
+    WITH pairs AS (SELECT platform_id FROM l_xlat_id x JOIN l_xlat_std s ON x.std_modelid = s.std_modelid WHERE update_time > {_mark('che58')}),
+    mapped AS (SELECT platform_id FROM pairs GROUP BY platform_id HAVING count(*) = 1),
+    cars AS (SELECT car_id FROM l_market WHERE id IN (SELECT platform_id FROM mapped)),
+    dup AS (SELECT car_id FROM l_market WHERE car_id IN (SELECT car_id FROM cars) GROUP BY car_id HAVING count(*) > 1)
+    SELECT id, count(*) AS crawls FROM l_market WHERE id IN (SELECT platform_id FROM mapped) OR car_id IS NULL
+        OR car_id NOT IN (SELECT car_id FROM dup) GROUP BY id""")
+def job_listing_resumed(t):
+    """What a source holds after a run that stopped between its two tables and the run after it."""
+    cat, folder = listing_catalog(t), fresh_folder(t.spark)
+    source = SnapshotTable(t.spark, f"{folder}/source")
+    source.commit(cat.read("listing_che58"))
+    cat.bind("listing_che58", source.read)
+    with contextlib.suppress(Stopped):
+        listings.run(cat, "che58", RUN, f"{folder}/wide", StoppingSink(source))
+    listings.run(cat, "che58", RUN, f"{folder}/wide", source)
+    return source.read().groupBy("id").agg(F.count(F.lit(1)).alias("crawls"))

@@ -23,7 +23,13 @@ DERIVED["x_plat"] = f"""SELECT p_partkey + 500000 AS car_id, lower(p_brand) AS b
     CASE p_partkey % 3 WHEN 0 THEN '国三' ELSE {cases('p_size', ['国四', '国五', '国六'])} END AS discharge_standard FROM part"""
 
 
-def features_sql(table: str) -> str:
+# Both lists with a text that may name the drive.
+_DRIVES = ["四驱版", "AWD", "两驱", "x 2WD", "", None]
+DERIVED["x_std_drive"] = f"SELECT *, {cases('p_size', _DRIVES).replace('p_size', 'car_id')} AS drive_text FROM x_std"
+DERIVED["x_plat_drive"] = f"SELECT *, {cases('p_size', _DRIVES).replace('p_size', '(car_id - 500000)')} AS drive_text FROM x_plat"
+
+
+def features_sql(table: str, drive: str = "''") -> str:
     gear = "coalesce(car_auto, '')"
     for pattern, word in V.GEARBOX_MATCH_RULES:
         gear = f"regexp_replace({gear}, '{pattern}', '{word}', 'g')"
@@ -32,7 +38,7 @@ def features_sql(table: str) -> str:
         CAST(coalesce(try_cast(model_year AS DOUBLE), 0) AS INTEGER) AS car_year,
         round_even(coalesce(try_cast(model_price AS DOUBLE), 0), 1) AS car_price,
         coalesce(regexp_extract(coalesce(liter, ''), '([0-9]+\\.?[0-9]*)', 1), '') AS car_liter_wu,
-        {gear} AS car_auto, '' AS car_drive,
+        {gear} AS car_auto, {drive} AS car_drive,
         regexp_replace(coalesce(discharge_standard, ''), '\\+OBD|OBD', '', 'g') AS car_discharge FROM {table}"""
 
 
@@ -41,9 +47,9 @@ def match_features(t):
     return match.features(t.x_plat).unionByName(match.features(t.x_std))
 
 
-def _rounds_sql() -> str:
+def _rounds_sql(platform: str = "x_plat", standard: str = "x_std", drive: str = "''") -> str:
     """The round-by-round form: each round joins what is still open."""
-    parts = [f"p AS ({features_sql('x_plat')}), s AS ({features_sql('x_std')})"]
+    parts = [f"p AS ({features_sql(platform, drive)}), s AS ({features_sql(standard, drive)})"]
     for i, fields in enumerate(V.MATCH_ROUNDS):
         on = " AND ".join(f"p.{f} = s.{f}" for f in fields)
         done = " ".join(f"AND p.car_id NOT IN (SELECT platform_id FROM r{j})" for j in range(i))
@@ -88,6 +94,37 @@ def cascade_resolve(t):
     return found.where("match_des = 'repeat' AND final_id IS NOT NULL").select("platform_id", F.col("final_id").alias("id_std"))
 
 
+_DRIVE_SQL = """CASE WHEN regexp_matches(coalesce(drive_text, ''), '四驱|AWD|4WD|4X4|4x4') THEN '四驱'
+        WHEN regexp_matches(coalesce(drive_text, ''), '两驱|FWD|RWD|2WD') THEN '两驱' ELSE '' END"""
+_PRICED, _GEARED = (*V.MATCH_FIELDS[:4], "car_price"), (*V.MATCH_ROUNDS[4], "car_auto")
+# what separates the candidates of a round, in order of trial, when drives are compared
+_BY_DRIVE = {
+    1: [(*V.MATCH_ROUNDS[1], "car_drive")], 3: [(*_PRICED, "car_drive"), _PRICED], 4: [_GEARED, (*V.MATCH_ROUNDS[4], "car_drive")]}
+
+
+def _lone_sql() -> str:
+    """Platform models of one candidate under a set of fields, and the coalesce of a round's sets."""
+    parts, picks = [], []
+    for i, sets in _BY_DRIVE.items():
+        for k, fields in enumerate(sets):
+            on = " AND ".join(f"p.{f} = s.{f}" for f in fields)
+            parts.append(f"""o{i}{k} AS (SELECT p.car_id AS platform_id, min(s.car_id) AS id FROM p JOIN s ON {on}
+                GROUP BY p.car_id HAVING count(*) = 1)""")
+        picks.append(f"WHEN {i} THEN coalesce({', '.join(f'o{i}{k}.id' for k in range(len(sets)))})")
+    joins = " ".join(f"LEFT JOIN o{i}{k} ON o{i}{k}.platform_id = m.platform_id" for i, sets in _BY_DRIVE.items() for k in range(len(sets)))
+    return f"""{', '.join(parts)}
+        SELECT m.platform_id, m.round, candidates, CASE WHEN candidates > 1 THEN CASE m.round {' '.join(picks)} END
+            WHEN round(abs(p.car_price - s.car_price), 1) = 0 THEN m.id END AS final_id
+        FROM m JOIN p ON p.car_id = m.platform_id JOIN s ON s.car_id = m.id {joins}"""
+
+
+@query("cascade_drive", f"WITH {_rounds_sql('x_plat_drive', 'x_std_drive', _DRIVE_SQL)}, {_lone_sql()}")
+def cascade_drive(t):
+    """The cascade with the drive among the fields, read from a text."""
+    sides = [match.features(df, True, "drive_text") for df in (t.x_plat_drive, t.x_std_drive)]
+    return match.cascade(*sides, use_drive=True).select("platform_id", "round", "candidates", "final_id")
+
+
 @query("fold_platforms", f"""WITH {_rounds_sql()}, one AS (SELECT id, min(platform_id) AS platform_id FROM f GROUP BY id),
     two AS (SELECT CAST(l_partkey * 3 AS VARCHAR) AS id, CAST(min(l_suppkey) AS VARCHAR) AS platform_id FROM lineitem
             GROUP BY l_partkey)

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from listingflow import fixed_values as V
 from listingflow import schemas as S
+from listingflow.operators.journal import Journal
 from listingflow.operators.snapshots import SnapshotTable
 from listingflow.plans import base, catalogue_ids, catalogue_to_ods, listings, ods_to_production, platform_match, resync, side_data
-from listingflow.queries.job_queries import CATALOGUE_RUN, SIDE_RUN, place_catalog, standard_catalog, vehicle_catalog
+from listingflow.queries.job_queries import CATALOGUE_RUN, SIDE_RUN, match_catalog, place_catalog, standard_catalog, vehicle_catalog
 from listingflow.queries.listing_queries import RUN, listing_catalog
 from listingflow.session import cut_lineage
 from listingflow.sources.catalog import Catalog
@@ -130,17 +131,17 @@ def test_wide_table_rewrites_only_touched_months(spark, tables, tmp_path):
     cat, path = listing_catalog(tables), str(tmp_path / "wide")
     cat.bind_frame("listing_wide", spark.createDataFrame([], S.LISTING_WIDE))
     rows = listings.wide_rows(cat, "che58", RUN)
-    listings.commit_wide(spark, path, "che58", rows)
+    listings.commit_wide(listings.wide_table(spark, path), "che58", rows)
     # other platforms and months that no change touches stay as they are
     other = rows.withColumn("car_platform", F.lit("rrc"))
-    listings.commit_wide(spark, path, "rrc", other)
+    listings.commit_wide(listings.wide_table(spark, path), "rrc", other)
     months = sorted(r.partition_month for r in rows.select("partition_month").distinct().collect())
     stamp = {f: f.stat().st_mtime_ns for f in (tmp_path / "wide").rglob("*.parquet")}
     moved = rows.where(F.col("partition_month") == months[0]).withColumns(
         {"partition_month": F.lit("209901"), "quotes": F.lit(1.0)})
     last = rows.where(F.col("partition_month") == months[-1]).select(F.col("id_data_input").alias("id"))
-    listings.commit_wide(spark, path, "che58", moved, last)
-    wide = spark.read.schema(S.LISTING_WIDE).parquet(path)
+    listings.commit_wide(listings.wide_table(spark, path), "che58", moved, last)
+    wide = listings.wide_table(spark, path).read()
     mine = wide.where("car_platform = 'che58'")
     assert mine.where("quotes = 1.0").count() == moved.count() == mine.where("partition_month = '209901'").count()
     assert mine.where(F.col("partition_month").isin(months[0], months[-1])).isEmpty()
@@ -161,15 +162,35 @@ def test_superseded_listings_leave_source_and_wide_table(spark, tables):
 
 
 def test_unmatched_platform_and_history_win(spark, tables):
-    cat = Catalog(spark)
-    for name, table in {"match_platform_yiche": "y_plat", "match_standard": "x_std", "match_history": "y_history", "catalogue_major": "s_wide"}.items():
-        cat.bind(name, lambda table=table: getattr(tables, table))
-    rows = platform_match.plan(cat)[0].rows
+    rows = cut_lineage(platform_match.plan(match_catalog(tables, ["yiche"]))[0].rows)
     assert set(rows.columns) == {f.name for f in S.MATCH_RESULT.fields}
     assert rows.count() == tables.x_std.count()
     kept = tables.y_history.where("match_type_yiche = 1").select("id_che300", F.col("id_yiche").alias("was"))
     assert rows.join(kept, "id_che300").where("id_yiche <> was").isEmpty()
-    assert rows.where("id_souhu <> '0'").isEmpty()
+    # a platform without a table keeps what was decided and finds nothing
+    souhu = {r.id_che300: r.id_souhu for r in rows.select("id_che300", "id_souhu").collect()}
+    past = {r.id_che300: r.id_souhu for r in tables.y_history.where("match_type_souhu = 1").collect()}
+    assert {k: v for k, v in souhu.items() if v != "0"} == past
+
+
+def test_without_history_and_tables_every_gap_is_filled(spark, tables):
+    cat = match_catalog(tables, ["czb"])
+    alone = Catalog(spark).bind("match_standard", lambda: tables.x_std).bind("catalogue_major", lambda: tables.s_wide)
+    rows = platform_match.result_rows(alone, ["czb", "souhu"])
+    assert rows.count() == tables.x_std.count() and rows.where("id_czb <> '0' OR match_type_souhu <> 0").isEmpty()
+    alone.bind("match_platform_czb", lambda: cat.read("match_platform_czb"))
+    assert platform_match.result_rows(alone, ["czb"]).where("match_type_czb = 1").count() > 0
+
+
+def test_scans_of_history_and_standard_list_do_not_grow_with_platforms(tables):
+    def scans(platforms, table):
+        marked = getattr(tables, table)
+        cat = match_catalog(tables, platforms)
+        # a name that only this table has marks its scans
+        cat.bind_frame({"y_history": "match_history", "x_std": "match_standard"}[table], tables.spark.createDataFrame(marked.limit(5).collect(), marked.schema))
+        return str(platform_match.result_rows(cat, platforms)._jdf.queryExecution().optimizedPlan().toString()).count("LogicalRDD")
+    for table in ("y_history", "x_std"):
+        assert scans(list(V.MATCH_PLATFORMS), table) == scans(list(V.MATCH_PLATFORMS[:2]), table) > 0
 
 
 def test_side_jobs_plan_by_name(tables):
@@ -196,9 +217,9 @@ def test_listings_without_a_month_survive_later_writes(spark, tables, tmp_path):
     month = F.when(F.col("n") > 2, "202401")
     first = rows.where("n <> 2").withColumn("partition_month", month).drop("n")
     later = rows.where("n = 2").withColumn("partition_month", month).drop("n")
-    listings.commit_wide(spark, path, "guazi", first.unionByName(first))
-    listings.commit_wide(spark, path, "guazi", later.unionByName(later))
-    wide = spark.read.schema(S.LISTING_WIDE).parquet(path)
+    listings.commit_wide(listings.wide_table(spark, path), "guazi", first.unionByName(first))
+    listings.commit_wide(listings.wide_table(spark, path), "guazi", later.unionByName(later))
+    wide = listings.wide_table(spark, path).read()
     assert sorted(r.id_data_input for r in wide.collect()) == sorted(r.id_data_input for r in rows.collect())
     assert not [p for p in tmp_path.iterdir() if "staged" in p.name]
 
@@ -245,3 +266,70 @@ def test_an_overlong_year_is_no_year(spark):
 
     long_year = spark.createDataFrame([("1", "99999999999")], "car_id string, model_year string")
     assert match.features(long_year).collect()[0].car_year == 0
+
+
+def test_a_che58_run_that_stops_between_its_tables_is_finished_by_the_next(spark, tables, tmp_path):
+    from listingflow.queries.listing_queries import Stopped, StoppingSink
+
+    cat, store = listing_catalog(tables), SnapshotTable(spark, str(tmp_path / "source"))
+    store.commit(cat.read("listing_che58"))
+    cat.bind("listing_che58", store.read)
+    old = {r.id for r in listings.superseded(cat, "che58").collect()}
+    before = {r.id for r in store.read().select("id").collect()}
+    path = str(tmp_path / "wide")
+    with pytest.raises(Stopped):
+        listings.run(cat, "che58", RUN, path, StoppingSink(store))
+    journal = Journal(spark, f"{path}/journal")
+    assert len(journal.open("listings-che58")) == 1 and not journal.open("listings-rrc")
+    assert {r.id for r in store.read().select("id").collect()} == before
+    listings.run(cat, "che58", RUN, path, store)
+    assert {r.id for r in store.read().select("id").collect()} == before - old and old
+    wide = listings.wide_table(spark, path).read()
+    assert not journal.open() and wide.count() > 0 and not {r.id_data_input for r in wide.collect()} & old
+
+
+def test_a_run_that_stops_before_its_entry_is_open_changes_nothing(spark, tables, tmp_path, monkeypatch):
+    cat, store = listing_catalog(tables), SnapshotTable(spark, str(tmp_path / "source"))
+    store.commit(cat.read("listing_che58"))
+    cat.bind("listing_che58", store.read)
+    monkeypatch.setattr("listingflow.operators.journal.write_text", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        listings.run(cat, "che58", RUN, str(tmp_path / "wide"), store)
+    monkeypatch.undo()
+    assert not Journal(spark, str(tmp_path / "wide/journal")).open()
+    assert listings.wide_table(spark, str(tmp_path / "wide")).manifest() is None and len(store._numbers()) == 1
+
+
+def test_a_platform_without_rows_is_refused(spark, tables, tmp_path):
+    cat = listing_catalog(tables)
+    cat.bind_frame("listing_rrc", cat.read("listing_rrc").limit(0))
+    with pytest.raises(ValueError):
+        listings.run(cat, "rrc", RUN, str(tmp_path / "wide"))
+
+
+def test_planned_listings_go_to_the_same_table_by_a_commit(spark, tables, tmp_path):
+    from listingflow.plans.base import commit
+
+    cat = listing_catalog(tables)
+    table = listings.wide_table(spark, str(tmp_path / "wide"))
+    commit(cat, listings.plan(cat, "rrc", RUN), {"listing_wide": listings.WideSink(table, "rrc")}, {"listing_wide": S.LISTING_WIDE})
+    first = table.read().count()
+    assert first > 0
+    listings.run(cat, "rrc", RUN, str(tmp_path / "wide"))  # the layout that a run reads
+    assert table.read().count() == first
+
+
+def test_known_models_leave_both_inputs_before_any_join_or_window(spark, tables):
+    """In the optimised plan nothing but scans, filters and projections lies below the two anti joins."""
+    rows = ods_to_production.config_rows(vehicle_catalog(tables))
+    text = rows._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-|"))
+    anti = [i for i, line in enumerate(text) if "LeftAnti" in line]
+    assert len(anti) >= 2
+    for i in anti:
+        below = []
+        for line in text[i + 1:]:
+            if depth(line) <= depth(text[i]):
+                break
+            below.append(line.lstrip(" :+-|").split()[0].split("(")[0])
+        assert not {"Window", "Aggregate", "Generate"} & set(below) and "Join" not in below, below
