@@ -11,6 +11,7 @@ files are written again and readers need nothing but the shared folder.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,9 +32,12 @@ BLOCK, PENDING = 1 << 15, 1 << 20
 #: Bytes of ids that one task lays into a file, and the most files: beyond it they grow, written as a stream.
 FILE_BYTES, FILES = 64 << 20, 20_000
 #: Pieces of text whose ids a worker remembers, and the longest that it does.
-MEMO, MEMO_CHARS = 1 << 18, 32
+MEMO, MEMO_CHARS = 3 << 17, 32
+#: Pieces that the tokenizer gets at once, and bytes of text that are cut together.
+CALL, SLICE = 1 << 11, 2 << 20
 
 _BLANK, _LETTER, _OTHER, _GLUED = 0, 1, 2, 3
+_LATIN = re.compile("[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 _KIND = np.full(256, _GLUED, np.uint8)
 _KIND[:128] = _OTHER
 _KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = _LETTER
@@ -44,10 +48,11 @@ _KIND[[0x27, 0x7C]] = _GLUED
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """A tokenizer's file and whether its ids do not cross blanks or the edge between a letter and another ASCII sign.
+    """A tokenizer's file, the end id, and whether the tokenizer works by piece.
 
-    Such a tokenizer (words of letters, white space dropped) is asked once for
-    each distinct piece of a text; any other one for each text.
+    One that does drops white space, lower-cases, takes runs of letters as words
+    and lets no id cross the edge between a letter and another ASCII sign. It is
+    asked once for each distinct piece of a text; any other one for each text.
     """
 
     file: str
@@ -68,25 +73,41 @@ def _loaded(file: str) -> tuple:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(file), {}
+    tokenizer = Tokenizer.from_file(file)
+    # how the tokenizer spells the letters of Latin-1 beyond ASCII
+    letters = {c: "".join(x for x, _ in tokenizer.pre_tokenizer.pre_tokenize_str(chr(c))) for c in range(128, 256) if chr(c).isalpha()}
+    return tokenizer, {}, letters
 
 
 def _by_piece(data: np.ndarray, bounds: np.ndarray, file: str) -> tuple[np.ndarray, np.ndarray]:
-    tokenizer, memo = _loaded(file)
-    kind = _KIND[data]
-    before = np.concatenate((kind[:1], kind[:-1]))
-    cuts = ((kind == _LETTER) & (before == _OTHER)) | ((kind == _OTHER) & (before == _LETTER))
+    tokenizer, memo, letters = _loaded(file)
+    kind = np.take(_KIND, data)
+    cuts = np.zeros(len(data), bool)
+    # a letter beside another sign: the only two kinds of which one and two are the numbers
+    np.equal(kind[1:] * kind[:-1], _LETTER * _OTHER, out=cuts[1:])
+    cuts[1:] &= kind[1:] != kind[:-1]
     found, at = runs(data, kind != _BLANK, cuts, bounds)
     coded = found.dictionary_encode()
     pieces = coded.dictionary.cast(pa.large_string()).to_pylist()
     known = [memo.get(p) for p in pieces]
     new = [i for i, k in enumerate(known) if k is None]
-    for i, e in zip(new, tokenizer.encode_batch_fast([pieces[i] for i in new], add_special_tokens=False), strict=True):
-        known[i] = ids = np.array(e.ids, np.uint32).tobytes()
+    model, other = tokenizer.model, []
+    for i in new:
+        p = pieces[i]
+        if p.isalpha() and (p.isascii() or _LATIN.fullmatch(p)):
+            # a word as it is: what comes before the model would leave it so
+            known[i] = np.array([t.id for t in model.tokenize(p.lower().translate(letters))], np.uint32).tobytes()
+        else:
+            other.append(i)
+    for at_once in range(0, len(other), CALL):  # what the library returns for a piece is large
+        some = other[at_once:at_once + CALL]
+        for i, e in zip(some, tokenizer.encode_batch_fast([pieces[i] for i in some], add_special_tokens=False), strict=True):
+            known[i] = np.array(e.ids, np.uint32).tobytes()
+    for i in new:
         if len(pieces[i]) <= MEMO_CHARS:
             if len(memo) >= MEMO:
                 memo.clear()
-            memo[pieces[i]] = ids
+            memo[pieces[i]] = known[i]
     sizes = np.fromiter((len(k) // 4 for k in known), np.int64, len(known))
     flat = np.frombuffer(b"".join(known), np.uint32)
     codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -107,7 +128,7 @@ def tokenised(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text
     @F.arrow_udf("n int, ids binary")
     def encoded(texts: pa.Array) -> pa.Array:
         sizes, packed = [], []
-        for _, data, bounds in text_slices(texts):
+        for _, data, bounds in text_slices(texts, SLICE):
             ids, at = (_by_piece if vocabulary.by_piece else _whole)(data, bounds, vocabulary.file)
             full = np.insert(ids.astype("<u4"), at[1:], vocabulary.end)
             ends = at + np.arange(len(at))
