@@ -74,8 +74,10 @@ def encode(blocks: Sequence[np.ndarray], table: Table) -> list[bytes]:
     sizes = np.array([len(b) for b in blocks], np.int64)
     steps = -(-sizes // LANES)
     grid = np.full((len(blocks), int(steps.max()) * LANES), -1, np.int32)
+    place = np.zeros(int(table.ids[-1]) + 1 if len(table.ids) else 0, np.int32)
+    place[table.ids] = np.arange(len(table.ids))
     for row, ids in zip(grid, blocks, strict=True):
-        row[:len(ids)] = np.searchsorted(table.ids, ids)
+        row[:len(ids)] = place[ids]
     grid = grid.reshape(len(blocks), -1, LANES)
     state = np.full((len(blocks), LANES), LOW, np.uint64)
     words: list[np.ndarray] = []

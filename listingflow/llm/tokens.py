@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -96,23 +97,25 @@ def _by_piece(data: np.ndarray, bounds: np.ndarray, file: str) -> tuple[np.ndarr
         p = pieces[i]
         if p.isalpha() and (p.isascii() or _LATIN.fullmatch(p)):
             # a word as it is: what comes before the model would leave it so
-            known[i] = np.array([t.id for t in model.tokenize(p.lower().translate(letters))], np.uint32).tobytes()
+            word = p.lower()
+            known[i] = array("I", [t.id for t in model.tokenize(word if word.isascii() else word.translate(letters))]).tobytes()
         else:
             other.append(i)
     for at_once in range(0, len(other), CALL):  # what the library returns for a piece is large
         some = other[at_once:at_once + CALL]
         for i, e in zip(some, tokenizer.encode_batch_fast([pieces[i] for i in some], add_special_tokens=False), strict=True):
-            known[i] = np.array(e.ids, np.uint32).tobytes()
+            known[i] = array("I", e.ids).tobytes()
     for i in new:
         if len(pieces[i]) <= MEMO_CHARS:
             if len(memo) >= MEMO:
                 memo.clear()
             memo[pieces[i]] = known[i]
-    sizes = np.fromiter((len(k) // 4 for k in known), np.int64, len(known))
+    sizes = np.array([len(k) for k in known], np.int64) // 4
     flat = np.frombuffer(b"".join(known), np.uint32)
-    codes = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    ids = flat[spread((np.cumsum(sizes) - sizes)[codes], sizes[codes])] if len(codes) else flat
-    return ids, np.concatenate(([0], np.cumsum(sizes[codes])))[at]
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    own = sizes[codes]
+    ids = flat[spread((np.cumsum(sizes) - sizes)[codes], own)] if len(codes) else flat
+    return ids, np.concatenate(([0], np.cumsum(own)))[at]
 
 
 def _whole(data: np.ndarray, bounds: np.ndarray, file: str) -> tuple[np.ndarray, np.ndarray]:
@@ -121,16 +124,22 @@ def _whole(data: np.ndarray, bounds: np.ndarray, file: str) -> tuple[np.ndarray,
     return np.array([i for ids in found for i in ids], np.uint32), np.cumsum([0, *map(len, found)])
 
 
+def width_of(vocabulary: Vocabulary) -> str:
+    """Two bytes for each id on the way where all ids fit, else four."""
+    return "<u2" if max(_loaded(vocabulary.file)[0].get_vocab_size(), vocabulary.end + 1) <= 1 << 16 else "<u4"
+
+
 def tokenised(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n, ids) of every row: ids as little-endian 32-bit integers, the end id included. Null counts as empty."""
+    """(key, n, ids) of every row: ids as little-endian integers of ``width_of``, the end id included. Null counts as empty."""
     importable(docs.sparkSession)
+    kind = width_of(vocabulary)
 
     @F.arrow_udf("n int, ids binary")
     def encoded(texts: pa.Array) -> pa.Array:
         sizes, packed = [], []
         for _, data, bounds in text_slices(texts, SLICE):
             ids, at = (_by_piece if vocabulary.by_piece else _whole)(data, bounds, vocabulary.file)
-            full = np.insert(ids.astype("<u4"), at[1:], vocabulary.end)
+            full = np.insert(ids.astype(kind), at[1:], vocabulary.end)
             ends = at + np.arange(len(at))
             packed.extend(full[a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False))
             sizes.append(np.diff(ends))
@@ -140,12 +149,12 @@ def tokenised(docs: DataFrame, vocabulary: Vocabulary, key: str = "doc_id", text
     return docs.select(F.col(f"`{key}`").alias("key"), encoded(F.col(f"`{text}`")).alias("_t")).select("key", "_t.n", "_t.ids")
 
 
-def frequencies(tokens: DataFrame) -> rans.Table:
+def frequencies(tokens: DataFrame, kind: str) -> rans.Table:
     """The table of all ids; one row per id of the vocabulary comes to the driver."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4")
+            ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), kind)
             counts = np.bincount(ids, minlength=len(total))
             counts[:len(total)] += total
             total = counts
@@ -156,7 +165,7 @@ def frequencies(tokens: DataFrame) -> rans.Table:
     return rans.table_of(found.column("id").to_numpy(), found.column("n").to_numpy())
 
 
-def _coded(table: rans.Table, key: pa.DataType):
+def _coded(table: rans.Table, key: pa.DataType, kind: str):
     """Sorted rows (part, key, n, ids) of a task to rows of blocks."""
     doc = pa.struct([("key", key), ("n", pa.int32())])
     schema = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()), ("docs", pa.list_(doc)), ("data", pa.binary())])
@@ -174,7 +183,7 @@ def _coded(table: rans.Table, key: pa.DataType):
                 return
             n = np.concatenate(sizes)
             docs = pa.StructArray.from_arrays([pa.concat_arrays(keys), pa.array(n, pa.int32())], fields=list(doc))
-            ids, ends = np.frombuffer(b"".join(held), "<u4"), np.cumsum(n)
+            ids, ends = np.frombuffer(b"".join(held), kind), np.cumsum(n)
             cuts, at = [0], 0  # places of documents at which blocks end
             while at < len(n):
                 at = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK)) + 1
@@ -222,7 +231,8 @@ def write(docs: DataFrame, path: str, vocabulary: Vocabulary, key: str = "doc_id
     """
     spark = docs.sparkSession
     tokens = stored(tokenised(docs, vocabulary, key, text), "token-ids")
-    table = frequencies(tokens)
+    kind = width_of(vocabulary)
+    table = frequencies(tokens, kind)
     spark.createDataFrame(list(zip(table.ids.tolist(), table.share.tolist(), strict=True)), "id long, share long").coalesce(1).write.parquet(f"{path}/table")
     total = tokens.agg(F.sum(F.col("n").cast("long"))).head()[0] or 0
     width = min(max(spark.sparkContext.defaultParallelism, -(-4 * total // FILE_BYTES)), FILES)
@@ -230,8 +240,8 @@ def write(docs: DataFrame, path: str, vocabulary: Vocabulary, key: str = "doc_id
     order = [F.col("key").isNull(), F.col("key"), F.xxhash64("ids"), F.col("_place")]
     placed = tokens.withColumn("_place", F.monotonically_increasing_id()).repartitionByRange(width, *order).sortWithinPartitions(*order)
     placed = placed.select(F.spark_partition_id().alias("part"), "key", "n", "ids")
-    kind = tokens.schema["key"].dataType
-    coded = placed.mapInArrow(_coded(table, to_arrow_type(kind)), f"part int, block int, before long, n_ids long, docs array<struct<key:{kind.simpleString()},n:int>>, data binary")
+    key_type = tokens.schema["key"].dataType
+    coded = placed.mapInArrow(_coded(table, to_arrow_type(key_type), kind), f"part int, block int, before long, n_ids long, docs array<struct<key:{key_type.simpleString()},n:int>>, data binary")
     coded.write.parquet(f"{path}/blocks")
 
 
