@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from listingflow.llm.shared import BLANK, WORD, settled, words_of
+from listingflow.llm.shared import BLANK, WORD, free_name, settled, words_of
 
 # The signs that count as symbols, and the limits of the document rules.
 SYMBOLS = r"[#*$%&|<>]"
@@ -69,6 +69,10 @@ def with_repeated_words(df: DataFrame, words: str, out: str) -> DataFrame:
     return df.drop(*[name for name in steps if name != out])
 
 
+#: Columns that exist on the way only.
+_STEPS = ("_lines", "_hashes", "_windows", "_again", "_placed", "_places", "_next", "_added", "_settled")
+
+
 def clean(docs: DataFrame, text: str = "text", most_lost: float = 0.4) -> DataFrame:
     """All rows with the counts, the cleaned text and the verdict of the rules.
 
@@ -76,10 +80,18 @@ def clean(docs: DataFrame, text: str = "text", most_lost: float = 0.4) -> DataFr
     ``n_dup_lines``, ``n_repeat_words`` (long), ``base_failed``, ``line_faults``
     (fault by line, null where a line stays), ``clean_text``, ``lost`` (share of
     the non-blank characters that went) and ``kept``. Columns of these names are
-    replaced. Null and empty texts have no words and are rejected. A blank line
-    is neither kept nor lost. A line equal to an earlier one counts as a
-    duplicate but stays: only its own content judges it.
+    replaced, all others stay whatever their names. Null and empty texts have no
+    words and are rejected. A blank line is neither kept nor lost. A line equal to
+    an earlier one counts as a duplicate but stays: only its own content judges
+    it. Repeated rows are judged each. A text of any length is read whole; a task
+    holds its words and lines, about 100 bytes for each word.
     """
+    aside = {c: free_name(docs, f"{c}_kept") for c in docs.columns if c.lower() in _STEPS}
+    back = {v: k for k, v in aside.items()}
+    return _clean(docs.withColumnsRenamed(aside), aside.get(text, text), most_lost).withColumnsRenamed(back)
+
+
+def _clean(docs: DataFrame, text: str, most_lost: float) -> DataFrame:
     added = ("words", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "line_faults",
              "clean_text", "lost", "kept")
     docs = docs.drop(*added)

@@ -31,9 +31,14 @@ def tokens_of(text: Column) -> Column:
 
 
 def source_totals(docs: DataFrame, source: str = "source", tokens: str = "tokens") -> DataFrame:
-    """(source, rows, tokens) of the sources that have tokens; rows without a source form one of their own (null)."""
-    totals = docs.groupBy(F.col(f"`{source}`").alias("source")).agg(F.count(F.lit(1)).alias("rows"), F.sum(tokens).alias("tokens"))
-    return stored(totals.where("tokens > 0"), "source-totals")
+    """(source, rows, tokens) of all sources, some without tokens; rows without a source form one of their own (null)."""
+    tokens = F.coalesce(F.sum(tokens), F.lit(0)).alias("tokens")
+    return stored(docs.groupBy(F.col(f"`{source}`").alias("source")).agg(F.count(F.lit(1)).alias("rows"), tokens), "source-totals")
+
+
+def blank_budgets(totals: DataFrame) -> DataFrame:
+    """The sources without tokens, which no weight can reach: a budget of -1 stands for one whole epoch."""
+    return totals.where("tokens = 0").select("source", "rows", "tokens", F.lit(0.0).alias("weight"), F.lit(-1).cast("long").alias("budget"))
 
 
 def _sum(totals: DataFrame) -> int:
@@ -100,6 +105,10 @@ def _hash(seed: int, *parts: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(p.cast("string"), F.lit("-")) for p in parts]).cast("binary"))
 
 
+def _hashable(df: DataFrame) -> list[str]:
+    return [f"row.`{f.name}`" for f in df.schema.fields if "map" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+
+
 def _named(source: Column) -> Column:
     """A key that is never null."""
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("-"))
@@ -121,11 +130,12 @@ def realise(docs: DataFrame, plan: DataFrame, key: str, source: str = "source",
     # one row per source: Spark broadcasts by size, else adaptive execution splits a hot source
     row = row.join(sizes, "_s")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("_rows") / block_rows))
-    whole = F.expr("_budget div _all")
-    hashed = F.conv(F.substring(_hash(seed, F.col("_key")), 1, 8), 16, 10).cast("long")
+    whole = F.when(F.col("_all") > 0, F.expr("try_divide(_budget - pmod(_budget, nullif(_all, 0)), _all)")).otherwise(F.abs("_budget"))
+    # of all columns, so that null or equal keys don't share a block
+    hashed = F.conv(F.substring(_hash(seed, F.col("_key"), F.xxhash64("_s", *_hashable(docs))), 1, 8), 16, 10).cast("long")
     row = row.withColumns({"_block": F.pmod(hashed, blocks).cast("int"), "_epochs": whole.cast("int")})
     # whole epochs, and one more that the budget cuts
-    epochs = F.col("_epochs") + F.when(F.col("_budget") > F.col("_epochs") * F.col("_all"), 1).otherwise(0)
+    epochs = F.col("_epochs") + F.when((F.col("_all") > 0) & (F.col("_budget") > F.col("_epochs") * F.col("_all")), 1).otherwise(0)
     spread = row.where(epochs > 0).withColumn("_epoch", F.explode(F.sequence(F.lit(0), epochs - 1)))
     counts = spread.groupBy("_s", "_epoch", "_block").agg(F.sum("_tokens").alias("_n"))
     before = Window.partitionBy("_s", "_epoch").orderBy(_hash(seed + 1, F.col("_epoch"), F.col("_block")), "_block")
@@ -148,15 +158,20 @@ def mix(docs: DataFrame, key: str = "doc_id", tokens: str = "tokens", source: st
     ``epochs`` times the sum of the column ``tokens`` (null counts as 0); None takes the smallest at which every
     source is used whole.
     Rows without a source are one source. A source without tokens can't be
-    weighed: its rows are left out of a mix. Repeated rows are rows of their own
-    and keep their order by key and tokens. No rows give no rows.
+    weighed: without a budget (``epochs`` None) it is used whole, once; a budget
+    has nothing to spend on it and leaves its rows out. Repeated rows are rows of
+    their own and keep their order by key and tokens; blocks are cut by a hash of
+    the whole row, so only rows equal in all columns share one for sure. A text
+    of any length is a row like others. No rows give no rows.
     """
-    totals = source_totals(docs, source, tokens)
+    every = source_totals(docs, source, tokens)
+    totals = every.where("tokens > 0")
     total = totals.agg(F.sum("tokens")).head()[0] or 0
     budget = None if epochs is None else int(total * epochs)
     if entropy is not None:
         exponent = exponent_for_entropy(totals, entropy)
     else:
         exponent = exponent_for_repeats(totals, repeats if repeats is not None else 1.0, budget)
-    plan = stored(budgets(totals, exponent, budget), "budgets")
+    plan = budgets(totals, exponent, budget)
+    plan = stored(plan.unionByName(blank_budgets(every)) if budget is None else plan, "budgets")
     return realise(docs, plan, key, source, tokens, seed, block_rows)

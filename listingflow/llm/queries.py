@@ -150,19 +150,22 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
                       F.round("lost", 6).alias("lost"))
 
 
-def _shingle_sql(table: str, key: str) -> str:
-    """Distinct (id, shingle) rows of a table."""
-    return f"""SELECT DISTINCT {key}, unnest(CASE WHEN len(w) = 0 THEN [] ELSE list_transform(
-            range(0, greatest(len(w) - 5, 0) + 1), lambda i: array_to_string(w[i + 1:i + 5], ' ')) END) AS s
-        FROM (SELECT {key}, regexp_extract_all(lower(coalesce(text, '')), '{decontam.TOKEN}') AS w FROM {table})"""
+def _words_sql(table: str, key: str) -> str:
+    return f"SELECT {key}, regexp_extract_all(lower(coalesce(text, '')), '{decontam.TOKEN}') AS w FROM {table}"
 
 
+# An item's shingles have five words, or all its words if it has fewer; a document's have the item's length.
 @_query("op7_benchmark_decontamination", f"""
-    WITH d AS ({_shingle_sql("documents", "doc_id")}), b AS ({_shingle_sql("benchmark", "item_id")}),
-    q AS (SELECT item_id, count(*) AS n FROM b GROUP BY item_id)
-    SELECT doc_id, item_id, round(count(*) / CAST(any_value(n) AS DOUBLE), 6) AS containment, count(*) AS shared,
-        CAST(any_value(n) AS BIGINT) AS item_shingles
-    FROM d JOIN b USING (s) JOIN q USING (item_id) GROUP BY doc_id, item_id HAVING count(*) >= ceil(any_value(n) * 0.8 - 1e-9)""")
+    WITH d AS ({_words_sql("documents", "doc_id")}), b AS (SELECT item_id, w, least(len(w), 5) AS n
+        FROM (SELECT DISTINCT item_id, w FROM ({_words_sql("benchmark", "item_id")})) WHERE len(w) > 0 AND item_id IS NOT NULL),
+    ds AS (SELECT DISTINCT doc_id, n, unnest(list_transform(range(0, greatest(len(w) - n + 1, 0)), lambda i: array_to_string(w[i + 1:i + n], ' '))) AS s
+        FROM d, (SELECT DISTINCT n FROM b)),
+    bs AS (SELECT DISTINCT item_id, w, n, unnest(list_transform(range(0, len(w) - n + 1), lambda i: array_to_string(w[i + 1:i + n], ' '))) AS s FROM b),
+    q AS (SELECT item_id, w, count(*) AS size FROM bs GROUP BY item_id, w),
+    found AS (SELECT doc_id, item_id, w, count(*) AS shared, any_value(size) AS size FROM ds JOIN bs USING (n, s) JOIN q USING (item_id, w)
+        GROUP BY doc_id, item_id, w HAVING count(*) >= ceil(any_value(size) * 0.8 - 1e-9))
+    SELECT doc_id, item_id, round(shared / CAST(size AS DOUBLE), 6) AS containment, shared, CAST(size AS BIGINT) AS item_shingles FROM found
+    QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY containment DESC, shared DESC, size DESC) = 1""")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     """Documents and the benchmark items they contain."""
     return decontam.find(_table(spark, folder, "documents").select("doc_id", "text"), _table(spark, folder, "benchmark"))

@@ -9,12 +9,15 @@ findings back to all versions.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from listingflow.operators.skew import lookup_join
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -41,7 +44,13 @@ MORE = (
     Rule("prefixed", r"\b(ghp|gho|ghs|xoxb|xoxp|glpat|sk_live)[_-][A-Za-z0-9_-]{16,}", 0, 0,
          ("ghp", "gho", "ghs", "xox", "glpat", "sk_live")),
 )
-RULES, VERSION = BASE + MORE, "2"
+RULES = BASE + MORE
+
+
+def version_of(rules: tuple[Rule, ...]) -> str:
+    """Other rules, or rules in another order, are another version."""
+    return hashlib.sha256(repr([(r.kind, r.pattern, r.part, r.least) for r in rules]).encode()).hexdigest()[:16]
+
 
 SPAN = "struct<start:int,place:int,kind:string,end:int>"
 
@@ -101,10 +110,11 @@ class Ledger:
         return f"{self.path}/rules={version}"
 
     def read(self, version: str) -> DataFrame | None:
-        """One row per blob scanned under a rule version; None if there is none yet."""
+        """One row per blob scanned under a rule version, however many runs added it; None if there is none yet."""
         schema = f"blob string, spans array<{SPAN}>"
         try:
-            return self.spark.read.schema(schema).parquet(self._folder(version))
+            # runs at the same time may have scanned the same blob; they found the same
+            return self.spark.read.schema(schema).parquet(self._folder(version)).groupBy("blob").agg(F.first("spans").alias("spans"))
         except AnalysisException as err:
             if err.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -115,13 +125,17 @@ class Ledger:
 
 
 def scan_versions(
-    versions: DataFrame, ledger: Ledger, content: str = "content", rules: tuple[Rule, ...] = RULES, version: str = VERSION,
+    versions: DataFrame, ledger: Ledger, content: str = "content", rules: tuple[Rule, ...] = RULES,
 ) -> DataFrame:
     """All rows with ``blob`` (SHA-256 of the content) and ``spans``; columns of these names are replaced.
 
     Null content counts as empty. Equal contents are one blob and are scanned
-    once; rows are never merged. A second run over the same rows scans nothing.
+    once; rows are never merged. A second run over the same rows scans nothing;
+    other rules are another version and scan all. Extra columns may have any
+    other name. A text of any length is scanned whole; a task holds its pieces,
+    some 10 bytes for each character.
     """
+    version = version_of(rules)
     text = F.coalesce(F.col(content), F.lit(""))
     blob = F.sha2(text.cast("binary"), 256)
     texts = versions.select(blob.alias("blob"), text.alias("content"))
@@ -130,7 +144,8 @@ def scan_versions(
         texts = texts.join(seen.select("blob"), "blob", "left_anti")
     unseen = texts.dropDuplicates(["blob"])  # copies go before the exchange
     ledger.add(scan(unseen, rules), version)
-    return versions.drop("blob", "spans").withColumn("blob", blob).join(ledger.read(version), "blob")
+    # copies of one text may be a third of all rows
+    return lookup_join(versions.drop("blob", "spans").withColumn("blob", blob), ledger.read(version), ["blob"], "inner")
 
 
 def listed(spans: Column) -> Column:

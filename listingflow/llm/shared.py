@@ -52,6 +52,14 @@ def sized(df: DataFrame, name: str, most: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores more as keep it from clashing with a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def settled(df: DataFrame, *names: str) -> DataFrame:
     """The same rows; later filters on the named columns no longer move below their computation.
 

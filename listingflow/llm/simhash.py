@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from listingflow.llm.components import components
 from listingflow.llm.shared import importable, sized, stored
+from listingflow.operators.skew import lookup_join
 
 #: The seed of the shingle hash and the bits of a fingerprint.
 SEED, BITS = 42, 64
@@ -261,7 +262,9 @@ def near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFra
     named = heads.join(groups.select(F.col("node").alias("fp"), "component"), "fp", "left")
     named = named.withColumn("component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("head").alias("component_id"))
-    return prints.join(named.join(least, "component").select("fp", "component_id"), "fp")
+    # a component can hold a third of all fingerprints, a fingerprint a third of all rows
+    found = lookup_join(named, least, ["component"], "inner").select("fp", "component", "component_id")
+    return prints.join(found, "fp").select("doc_id", "fp", "component_id", "component")
 
 
 def hexadecimal(fp: Column) -> Column:
@@ -270,12 +273,32 @@ def hexadecimal(fp: Column) -> Column:
 
 
 def one_of_each(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
-    """The rows of the document with the smallest id of each group of near-duplicates, all columns kept.
+    """One row of each group of near-duplicates, all columns kept: the one with the smallest id, then the smallest row hash.
 
-    Rows without an id can't be told apart by it and all stay.
+    Null ids come last. Of rows equal in all columns one stays. Texts without
+    words are one group. Extra columns may have any name; a text of any length is
+    read whole, in blocks of shingles.
     """
-    found = stored(near_duplicates(docs, words, radius).select("doc_id", "component_id"), "near-duplicates")
-    heads = found.where("doc_id = component_id").select("doc_id")
-    # an id that heads a group stays, even if another row of that id belongs elsewhere
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct().join(heads, "doc_id", "left_anti")
-    return docs.join(sized(gone, "copies", BROADCAST_ROWS), "doc_id", "left_anti")
+    names = docs.columns
+    plain = [f"`{f.name}`" for f in docs.schema.fields if "map" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    # a row is known by its values: the same in both reads, whatever tasks are repeated
+    keyed = docs.select(F.struct(*[f"`{c}`" for c in names]).alias("row"), F.xxhash64(*plain).alias("h"), F.xxhash64(F.lit(17), *plain).alias("g"))
+    prints = stored(fingerprints(keyed.select("h", "g", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")), words)
+                    .select("h", "g", "doc_id", "fp"), "fingerprints")
+    heads = stored(prints.groupBy("fp").agg(F.min(_place("doc_id")).alias("head")), "distinct-fingerprints")
+    groups = components(near_links(heads.select("fp"), radius))
+    named = heads.join(groups.select(F.col("node").alias("fp"), "component"), "fp", "left")
+    first = named.groupBy(F.coalesce("component", "fp").alias("component")).agg(F.min("head").alias("head"))
+    chosen = sized(first.select("head.h", "head.g").distinct(), "kept-rows", BROADCAST_ROWS)
+    kept = keyed.join(chosen, ["h", "g"], "left_semi")
+    # rows equal in all columns are rare; only they are moved
+    twice = stored(prints.groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).where("n > 1").join(chosen, ["h", "g"], "left_semi").select("h", "g"), "repeated-rows")
+    if not twice.isEmpty():
+        again = sized(twice, "repeated-rows", BROADCAST_ROWS)
+        kept = kept.join(again, ["h", "g"], "left_anti").unionByName(kept.join(again, ["h", "g"], "left_semi").dropDuplicates(["h", "g"]))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in names])
+
+
+def _place(key: str) -> Column:
+    """Orders rows by id, null ids last, then by hash."""
+    return F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), "h", "g")

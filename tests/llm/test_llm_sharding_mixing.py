@@ -118,3 +118,20 @@ def test_mix_of_nothing_and_of_texts_without_words(spark):
     odd = spark.createDataFrame([(1, "a", 0), (2, "a", None), (3, "a", 5), (None, "a", 5)], "doc_id long, source string, tokens long")
     assert len(mixing.mix(odd, repeats=1.0).collect()) == 4
     assert spark.range(1).select(mixing.tokens_of(F.lit(" a\tb")), mixing.tokens_of(F.lit(None))).head()[:] == (2, 0)
+
+
+def test_sources_without_tokens_stay_in_a_mix_without_a_budget(spark):
+    rows = [(1, "a", 5), (2, "a", 5), (3, "b", 0), (4, "b", None), (5, None, 0), (6, "c", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, tokens long")
+    got = Counter(r.doc_id for r in mixing.mix(docs, repeats=2.0).collect())
+    assert set(got) == {1, 2, 3, 4, 5, 6} and got[3] == got[4] == got[5] == 1 and max(got.values()) <= 2
+    # a budget has nothing to spend on them
+    assert {r.doc_id for r in mixing.mix(docs, repeats=9.0, epochs=1.0).collect()} == {1, 2, 6}
+    blank = docs.where("doc_id IN (3, 4, 5)")
+    assert sorted(r.doc_id for r in mixing.mix(blank, repeats=2.0).collect()) == [3, 4, 5]
+
+
+def test_null_keys_do_not_share_a_block(spark):
+    docs = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("s").alias("source"), F.lit(1).alias("tokens"), F.col("id").alias("x"))
+    sizes = Counter(r.block for r in mixing.mix(docs, repeats=2.0).collect())
+    assert sum(sizes.values()) == 20_000 and len(sizes) == 40 and max(sizes.values()) < 700

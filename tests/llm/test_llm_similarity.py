@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from listingflow.llm import decontam, simhash
 from listingflow.llm.components import components
@@ -95,7 +96,8 @@ def test_documents_with_nulls_copies_and_no_words(spark):
     assert len(got) == len(rows)
     assert {r.doc_id: r.component_id for r in got} == {5: 3, 3: 3, 9: 7, 7: 7, 8: 7, None: 3, 2: 2}
     assert {r.fp for r in got if r.doc_id in (7, 8, 9)} == {0}
-    assert sorted(str(r.doc_id) for r in simhash.one_of_each(docs).collect()) == ["2", "2", "3", "7", "None"]
+    assert sorted(str(r.doc_id) for r in simhash.one_of_each(docs).collect()) == ["2", "3", "7"]
+    assert sorted(str(r.doc_id) for r in simhash.one_of_each(docs.where("doc_id IS NULL OR doc_id = 2")).collect()) == ["2", "None"]
     assert simhash.near_duplicates(docs.limit(0)).collect() == []
 
 
@@ -106,10 +108,9 @@ def test_components_of_chains_and_loops(spark):
 
 
 def _slow_containment(doc, item):
-    def shingles(t):
-        w = re.findall(r"[^\W_]+", (t or "").lower())
-        return {" ".join(w[i:i + 5]) for i in range(max(len(w) - 4, 1))} if w else set()
-
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    n = min(5, len(words(item)))
+    shingles = lambda t: {" ".join(words(t)[i:i + n]) for i in range(len(words(t)) - n + 1)} if n else set()
     a, b = shingles(doc), shingles(item)
     return len(a & b) / len(b) if b else 0
 
@@ -140,3 +141,27 @@ def test_contained_items_are_found(spark):
 
 def test_hits_asked_for_are_almost_never_missed():
     assert 1 <= decontam.needed_hits() < 0.8 * decontam.PERMUTATIONS
+
+
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    near = "one two three four five six seven eight nine ten"
+    rows = [(None, near, 1), (None, near, 2), (None, near, 1), (4, near, 9), (4, "other text that stands alone", 1), (4, near, 8), (6, "a third", 1)]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, h int, row string")
+    got = simhash.one_of_each(docs)
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == sorted([(4, near), (4, "other text that stands alone"), (6, "a third")])
+    assert simhash.one_of_each(docs.limit(0)).collect() == []
+
+
+def test_short_items_and_every_text_of_an_id_are_found(spark):
+    docs = spark.createDataFrame([
+        (1, "here alpha beta gamma stands inside it"), (2, "Alpha, beta gamma"), (3, "alpha gamma beta and more words"), (4, "beta"), (5, None), (6, ""),
+        (7, "x the second passage of this very item y"), (8, "x y the first passage of the very item")], "doc_id long, text string")
+    items = spark.createDataFrame([
+        (10, "alpha beta gamma"), (11, "the first passage of the very item"), (11, "the second passage of this very item"), (12, "beta"), (13, ""), (14, None),
+        (None, "stands inside it")], "item_id long, text string")
+    got = sorted((r.doc_id, r.item_id, r.containment, r.shared, r.item_shingles) for r in decontam.find(docs, items).collect())
+    assert got == [(1, 10, 1.0, 1, 1), (1, 12, 1.0, 1, 1), (2, 10, 1.0, 1, 1), (2, 12, 1.0, 1, 1), (3, 12, 1.0, 1, 1), (4, 12, 1.0, 1, 1),
+                   (7, 11, 1.0, 3, 3), (8, 11, 1.0, 3, 3)]
+    clean = decontam.clean(docs.withColumn("text_key", F.lit("mine")), items.where("item_id <> 12"))
+    assert sorted(r.doc_id for r in clean.collect()) == [3, 4, 5, 6] and clean.columns == ["doc_id", "text", "text_key"]

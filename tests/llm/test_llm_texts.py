@@ -65,12 +65,12 @@ def test_secrets_and_ledger(spark):
     ledger = secrets.Ledger(spark, shared_path(spark, "test-ledger"))
     rows = secrets.scan_versions(docs, ledger).select("doc_id", secrets.listed(F.col("spans")).alias("s")).collect()
     assert {r.doc_id: r.s for r in rows} == {i: _slow_spans(t or "") for i, t in enumerate([*texts, texts[3]])}
-    first = ledger.read(secrets.VERSION).count()
+    first = ledger.read(secrets.version_of(secrets.RULES)).count()
     assert first == len({t or "" for t in texts})
     more = docs.unionByName(spark.createDataFrame([(900, "token=abcdefghijkl", "")], docs.schema))
     assert secrets.scan_versions(more, ledger).count() == len(texts) + 2
-    assert ledger.read(secrets.VERSION).count() == first + 1
-    assert secrets.scan_versions(docs, ledger, version="other").count() == len(texts) + 1
+    assert ledger.read(secrets.version_of(secrets.RULES)).count() == first + 1
+    assert secrets.scan_versions(docs, ledger, rules=secrets.BASE).count() == len(texts) + 1
     assert secrets.scan_versions(docs.limit(0), ledger).collect() == []
 
 
@@ -301,3 +301,21 @@ def test_scores_and_base_of_documents(spark):
     untaught = scoring.score(docs, F.lit(False)).collect()
     assert {round(r.bits_per_byte, 4) for r in untaught} == {8.0}
     assert scoring.score(docs.limit(0), F.lit(True)).collect() == []
+
+
+def test_a_blob_that_two_runs_added_is_one_row_and_other_rules_scan_again(spark):
+    docs = spark.createDataFrame([(1, "token = abcdefghijkl9"), (2, "none")], "doc_id long, text string")
+    ledger = secrets.Ledger(spark, shared_path(spark, "test-ledger"))
+    first = secrets.scan_versions(docs, ledger, "text").collect()
+    version = secrets.version_of(secrets.RULES)
+    ledger.add(ledger.read(version), version)  # as a run does that started at the same time
+    assert sorted(map(str, secrets.scan_versions(docs, ledger, "text").collect())) == sorted(map(str, first))
+    longer = (secrets.Rule("assign", secrets.BASE[0].pattern, 2, 99),)
+    assert [r.spans for r in secrets.scan_versions(docs, ledger, "text", longer).collect()] == [[], []]
+
+
+def test_line_rules_keep_columns_of_their_own_names(spark):
+    docs = spark.createDataFrame([(1, "A line that stands here, whole.", 5, "x", 7)], "doc_id int, text string, _next int, _Hashes string, _lines int")
+    row = line_rules.clean(docs).collect()[0].asDict()
+    assert (row["_next"], row["_Hashes"], row["_lines"], row["n_words"]) == (5, "x", 7, 6)
+    assert line_rules.clean(docs.select("doc_id", F.col("text").alias("_next")), "_next").collect()[0].n_words == 6
