@@ -1,7 +1,10 @@
 """A corpus pipeline: each stage calls one operator on all that the stage before it kept.
 
-A stage takes (spark, docs, sf_dir) and returns documents, all columns kept; the
-last one returns whole rows with their shard and place.
+A stage takes (spark, docs, sf_dir) and returns documents, all columns kept,
+whatever their names; the last one returns whole rows with their shard and place
+(columns of these two names are replaced). Null texts count as empty, texts of
+any length are read whole, null and repeated ids are rows like others, and no
+documents give none.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ from pyspark.sql import functions as F
 
 from listingflow.llm import decontam, mixing, quality, sharding, simhash
 from listingflow.llm.queries import KEEP_QUALITY
-from listingflow.llm.shared import fold, stored
+from listingflow.llm.shared import fold, free_name, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,26 +25,28 @@ REPEATS = 2.0
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject; without labels none is."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(fold(F.col("doc_id"), 5) != 0)
     model = quality.fit(docs, labels.select("doc_id", F.col("quality").alias("label")))
-    return quality.score(docs, model, out="_score").where(F.col("_score") >= KEEP_QUALITY).drop("_score")
+    score = free_name(docs, "_score")
+    return quality.score(docs, model, out=score).where(F.col(score) >= KEEP_QUALITY).drop(score)
 
 
 def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: four-word shingles, four bits."""
+    """One row of each group of near-duplicates, the smallest id's: four-word shingles, four bits. Texts without words are one group."""
     return simhash.one_of_each(docs, words=4, radius=4)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item, short ones included; null and empty texts contain none."""
     return decontam.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document once or more: sources as flat as a limit of REPEATS lets them be, none left unused in part."""
-    counted = docs.withColumn("_tokens", mixing.tokens_of(F.col("text")))
-    return mixing.mix(counted, tokens="_tokens", repeats=REPEATS).select(*docs.columns)
+    """Every document once or more: sources as flat as a limit of REPEATS lets them be, none left unused in part, blank ones used once."""
+    tokens = free_name(docs, "_tokens")
+    counted = docs.withColumn(tokens, mixing.tokens_of(F.col("text")))
+    return mixing.mix(counted, tokens=tokens, repeats=REPEATS).select(*[f"`{c}`" for c in docs.columns])
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
