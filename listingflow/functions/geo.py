@@ -60,32 +60,43 @@ def first_word(text: Column, words: list[str]) -> Column:
     return F.nullif(F.regexp_extract(text.cast("string"), words_pattern(words), 0), F.lit(""))
 
 
+#: Characters of a word that a place in a text is looked up by, if the shortest word has as many.
+PREFIX = 3
+
+
 def first_word_by_join(
     df: DataFrame, text_col: str, out_col: str, words: DataFrame, word_col: str
 ) -> DataFrame:
-    """`first_word` for a dictionary of any size: pieces of each distinct text join the words."""
+    """`first_word` for a dictionary of any size, by a keyed prefix index.
+
+    Each place in a distinct text is one row with its next characters, as many
+    as the longest word has. It meets the words that begin with the same few
+    characters, and the whole word is then compared.
+    """
     words = words.select(F.col(word_col).alias("_word")).where("_word <> ''").distinct()
-    # one number per word length, so bounded by the longest word
-    lengths = [r[0] for r in words.select(F.length("_word")).distinct().collect()]
-    if not lengths:
+    edge = words.agg(F.min(F.length("_word")).alias("least"), F.max(F.length("_word")).alias("most")).head()
+    if edge["least"] is None:
         return df.withColumn(out_col, F.lit(None).cast("string"))
-    texts = df.select(F.col(text_col).cast("string").alias("_text")).where("_text <> ''").distinct()
-    pieces = texts.select(
-        "_text",
-        F.posexplode(F.sequence(F.lit(1), F.length("_text"))).alias("_i", "_at"),
-    ).select(
-        "_text", "_at", F.explode(F.array(*[F.lit(n) for n in sorted(lengths)])).alias("_len")
-    ).where(F.col("_at") + F.col("_len") - 1 <= F.length("_text"))
-    pieces = pieces.withColumn("_word", F.substring("_text", F.col("_at"), F.col("_len")))
+    width = min(PREFIX, edge["least"])
+    # a digest stands for the text, so that no row at a place carries the whole
+    texts = df.select(F.col(text_col).cast("string").alias("_text")).where(F.length("_text") >= width).distinct()
+    places = texts.select(_digest("_text").alias("_id"), "_text", F.explode(F.sequence(F.lit(1), F.length("_text") - width + 1)).alias("_at"))
+    places = places.select("_id", "_at", F.substring("_text", F.col("_at"), F.lit(edge["most"])).alias("_rest"))
     hits = (
-        pieces.join(words, "_word")
-        .groupBy("_text")
-        .agg(F.min(F.struct("_at", (-F.col("_len")).alias("_len"), "_word")).alias("_hit"))
-        .select("_text", F.col("_hit._word").alias(out_col))
+        places.withColumn("_key", F.substring("_rest", 1, width))
+        .join(words.withColumn("_key", F.substring("_word", 1, width)), "_key")
+        .where(F.startswith("_rest", "_word"))
+        .groupBy("_id")
+        .agg(F.min(F.struct("_at", (-F.length("_word")).alias("_len"), "_word")).alias("_hit"))
+        .select("_id", F.col("_hit._word").alias(out_col))
     )
     keep = [c for c in df.columns if c != out_col]
-    keyed = df.select(*keep, F.col(text_col).cast("string").alias("_text"))
-    return lookup_join(keyed, hits, ["_text"]).drop("_text")
+    keyed = df.select(*keep, _digest(text_col).alias("_id"))
+    return lookup_join(keyed, hits, ["_id"]).drop("_id")
+
+
+def _digest(text_col: str) -> Column:
+    return F.md5(F.col(text_col).cast("string").cast("binary"))
 
 
 def district_dim(district: DataFrame, region: DataFrame) -> DataFrame:

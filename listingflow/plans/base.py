@@ -202,12 +202,20 @@ Step = Callable[[Catalog], Change]
 def plan_steps(
     catalog: Catalog, steps: Sequence[Step], schemas: Mapping[str, T.StructType] | None = None
 ) -> list[Change]:
-    """All changes without writing any: each step sees the planned output of the ones before."""
+    """All changes without writing any to its table: each step sees the planned output of the ones before.
+
+    A change's rows and the table as it would be are written once to the shared
+    folder, and later steps read these copies: no step is computed again by the
+    steps after it.
+    """
     changes = []
     for number, step in enumerate(steps):
-        changes.append(step(catalog))
+        change = step(catalog)
         if number + 1 < len(steps):
-            catalog = planned(catalog, changes[-1:], schemas)
+            change = change.with_rows(staged(change.rows, "planned-rows")[0])
+            after = staged(change.apply(_target(catalog, change, schemas or {})), "planned-table")[0]
+            catalog = catalog.overlay(**{change.table: after})
+        changes.append(change)
     return changes
 
 

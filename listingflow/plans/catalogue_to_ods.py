@@ -22,21 +22,29 @@ from listingflow.streaming.incremental import since_instant
 WINDOW_DAYS = 7
 
 
-def in_scope(df: DataFrame, key: str, time: str, run_date: str | None, ids: DataFrame | None) -> DataFrame:
-    """Rows of the weekly window, or the rows of the given ids (column ``id``)."""
-    if ids is None:
-        return df.where(since_instant(F.col(time), run_date, WINDOW_DAYS, inclusive=True))
-    return df.join(ids.select(F.col("id").alias(key)), key, "left_semi")
+#: Source tables that have a row per model, and its id there.
+SOURCE_IDS = {"src_model_ev": "model_id", "src_model_detail": "autohome_id", "src_model_master": "model_id"}
+
+
+def chosen(cat: Catalog, ids: DataFrame | None) -> Catalog:
+    """Model tables narrowed to the given ids (column ``id``), at the source where it takes conditions."""
+    return cat if ids is None else cat.restricted(ids, SOURCE_IDS)
+
+
+def in_scope(df: DataFrame, time: str, run_date: str | None, ids: DataFrame | None) -> DataFrame:
+    """Rows of the weekly window; a table of chosen ids is in scope whole."""
+    return df if ids is not None else df.where(since_instant(F.col(time), run_date, WINDOW_DAYS, inclusive=True))
 
 
 def ev_rows(cat: Catalog, run_date: str | None = None, ids: DataFrame | None = None) -> DataFrame:
-    src = in_scope(cat.read("src_model_ev"), "model_id", "add_time", run_date, ids)
+    src = in_scope(chosen(cat, ids).read("src_model_ev"), "add_time", run_date, ids)
     src = src.select("model_id", *V.EV_TEXT_COLUMNS, "add_time", F.col("add_time").alias("update_time"))
     return vehicle.ev_block(text.blank_to_dash(src, {"model_id", "add_time", "update_time"}))
 
 
 def detail_rows(cat: Catalog, run_date: str | None = None, ids: DataFrame | None = None) -> DataFrame:
-    detail = in_scope(cat.read("src_model_detail"), "autohome_id", "update_time", run_date, ids)
+    cat = chosen(cat, ids)
+    detail = in_scope(cat.read("src_model_detail"), "update_time", run_date, ids)
     detail = detail.where(quality.eligible(level=F.col("level"))).select(*V.DETAIL_COLUMNS)
     # a model is one master row, so the inner join is a semi join
     master = cat.read("src_model_master").where(quality.eligible(model_year=F.col("model_year")))
@@ -71,7 +79,8 @@ def new_series(cat: Catalog) -> DataFrame:
 
 
 def master_rows(cat: Catalog, run_date: str | None = None, ids: DataFrame | None = None) -> DataFrame:
-    a = in_scope(cat.read("src_model_master"), "model_id", "add_time", run_date, ids).where(
+    cat = chosen(cat, ids)
+    a = in_scope(cat.read("src_model_master"), "add_time", run_date, ids).where(
         quality.eligible(F.col("status"), F.col("model_year"), F.col("model_price"))
     )
     b = cat.read("src_model_detail").where(quality.eligible(level=F.col("level"))).select(

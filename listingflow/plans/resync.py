@@ -37,6 +37,7 @@ SCHEMAS = {**catalogue_to_ods.SCHEMAS, **ods_to_production.SCHEMAS}
 
 def unusable_ids(cat: Catalog, ids: DataFrame) -> DataFrame:
     """Requested ids that cannot be synced, with the first reason."""
+    cat = catalogue_to_ods.chosen(cat, ids)
     master = cat.read("src_model_master").select(
         F.col("model_id").alias("id"), "status", "model_year", "model_price", F.lit(True).alias("_master"))
     detail = cat.read("src_model_detail").select(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import datetime as dt
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +18,7 @@ from listingflow.operators.skew import lookup_join
 from listingflow.queries.base import cases, query
 from listingflow.sources.align import align, empty_like, project, rename_positional
 from listingflow.sources.catalog import Catalog
+from listingflow.sources.predicates import half_open, quantile_bounds
 from listingflow.sources.id_list import parse_lines
 from listingflow.streaming import incremental
 
@@ -77,6 +81,40 @@ def id_list_filter(t):
     return relational.semi_filter(t.orders, wanted, ["o_orderkey"]).select("o_orderkey", "o_totalprice")
 
 
+def _by_conditions(t, spelled: int):
+    """Orders through a source that takes conditions: one scan for each, as a partitioned database read has."""
+    cat = Catalog(t.spark).bind_conditional("orders", lambda conditions: reduce(DataFrame.unionByName, [t.orders.where(c) for c in conditions]))
+    wanted = t.customer.select(F.explode(F.array("c_custkey", F.col("c_custkey") * 3 + 100)).alias("id"))
+    return cat.restricted(wanted, {"orders": "o_orderkey"}, most=spelled).read("orders").select("o_orderkey", "o_totalprice")
+
+
+_BY_IDS = """SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey IN (SELECT c_custkey FROM customer)
+    OR o_orderkey IN (SELECT c_custkey * 3 + 100 FROM customer)"""
+
+
+@query("id_list_spelled", _BY_IDS)
+def id_list_spelled(t):
+    return _by_conditions(t, 10**6)
+
+
+@query("id_list_ranges", _BY_IDS)
+def id_list_ranges(t):
+    return _by_conditions(t, 10)
+
+
+@query("scan_split_quantiles", """
+    SELECT CAST(o_custkey AS BIGINT) AS k, CAST(o_orderdate AS DATE) AS d, count(*) AS n FROM (
+        SELECT CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_custkey * o_custkey END AS o_custkey, o_orderdate FROM orders) GROUP BY 1, 2""")
+def scan_split_quantiles(t):
+    """A table of uneven keys, some of them unknown, read in parts cut at quantiles and each again at months."""
+    orders = t.orders.select(F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey") * F.col("o_custkey")).cast("long").alias("k"),
+                             F.col("o_orderdate").cast("date").alias("d"))
+    by_key = half_open("k", quantile_bounds(orders, "k", 4))
+    by_day = half_open("d", quantile_bounds(orders, "d", 3))
+    parts = [orders.where(a).where(b) for a in by_key for b in by_day]
+    return reduce(DataFrame.unionByName, parts).groupBy("k", "d").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- filters ---------------------------------------------------------------
 
 @query("incremental_since", """

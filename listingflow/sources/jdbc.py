@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from listingflow.operators.merge import one_source_row
 from listingflow.session import SOURCE_ZONE
 
 
@@ -75,8 +75,13 @@ def split_options(
 def read_jdbc_table(
     spark: SparkSession, source: JdbcSource, table: str, split_on: str | None = None,
     partitions: int | None = None, bounds: tuple | None = None, fetch_size: int = 10_000,
+    predicates: Sequence[str] | None = None,
 ) -> DataFrame:
+    """A table; with ``predicates`` one partition for each of these conditions, which the database applies."""
     relation = _quote(table)
+    if predicates is not None:
+        options = jdbc_options(source, fetchsize=fetch_size)
+        return spark.read.jdbc(options.pop("url"), relation, predicates=list(predicates), properties=options)
     split = split_options(spark, source, relation, split_on, partitions, bounds)
     options = jdbc_options(source, dbtable=relation, fetchsize=fetch_size, **split)
     return spark.read.format("jdbc").options(**options).load()
@@ -92,17 +97,42 @@ def read_jdbc_query(
     return spark.read.format("jdbc").options(**options).load()
 
 
-def merge_statement(table: str, staging: str, columns: Sequence[str], mode: str) -> str:
-    """One statement that merges a staging table: 'upsert', 'replace' or 'insert_ignore'."""
+#: The database's own names: replaced rows and inserted ones, by merge mode.
+MODES = ("upsert", "replace", "insert_ignore", "insert_numbered", "keep_id", "update", "delete", "truncate")
+
+
+def merge_statements(
+    table: str, staging: str, columns: Sequence[str], mode: str, keys: Sequence[str] = (), set_columns: Sequence[str] = (),
+    surrogate: str = "id",
+) -> list[str]:
+    """Statements that merge a staging table into a table whose unique key is ``keys``.
+
+    ``keep_id`` and ``insert_numbered`` leave the surrogate to the table's own
+    counter; ``truncate`` swaps the two tables in one step.
+    """
+    target, source = _quote(table), _quote(staging)
+    if mode in ("keep_id", "insert_numbered"):
+        columns = [c for c in columns if c != surrogate]
     names = ", ".join(_quote(c) for c in columns)
-    body = f"INTO {_quote(table)} ({names}) SELECT {names} FROM {_quote(staging)}"
-    if mode == "upsert":
-        updates = ", ".join(f"{_quote(c)}=VALUES({_quote(c)})" for c in columns)
-        return f"INSERT {body} ON DUPLICATE KEY UPDATE {updates}"
+    body = f"INTO {target} ({names}) SELECT {names} FROM {source}"
+    on = " AND ".join(f"t.{_quote(k)} = s.{_quote(k)}" for k in keys)
+    if mode in ("upsert", "keep_id"):
+        updates = ", ".join(f"{_quote(c)}=VALUES({_quote(c)})" for c in columns if c not in keys or mode == "upsert")
+        return [f"INSERT {body} ON DUPLICATE KEY UPDATE {updates}"]
     if mode == "replace":
-        return f"REPLACE {body}"
-    if mode == "insert_ignore":
-        return f"INSERT IGNORE {body}"
+        return [f"REPLACE {body}"]
+    if mode in ("insert_ignore", "insert_numbered"):
+        return [f"INSERT IGNORE {body}"]
+    if mode in ("update", "delete") and not keys:
+        raise ValueError(f"{mode} needs keys")
+    if mode == "update":
+        sets = ", ".join(f"t.{_quote(c)} = s.{_quote(c)}" for c in set_columns)
+        return [f"UPDATE {target} t JOIN {source} s ON {on} SET {sets}"]
+    if mode == "delete":
+        return [f"DELETE t FROM {target} t JOIN {source} s ON {on}"]
+    if mode == "truncate":
+        old = _quote(f"{staging}_old")
+        return [f"RENAME TABLE {target} TO {old}, {source} TO {target}", f"DROP TABLE {old}"]
     raise ValueError(f"mode: {mode!r}")
 
 
@@ -119,14 +149,51 @@ def _execute(spark: SparkSession, source: JdbcSource, *statements: str) -> None:
         connection.close()
 
 
-def merge_into_jdbc(df: DataFrame, source: JdbcSource, table: str, mode: str, batch: int = 2_000) -> None:
-    """Append the rows to a staging table in parallel, then merge it with one statement."""
-    spark = df.sparkSession
-    staging = f"_stage_{table}_{uuid.uuid4().hex[:8]}"
-    _execute(spark, source, f"CREATE TABLE {_quote(staging)} LIKE {_quote(table)}")
-    try:
-        options = jdbc_options(source, dbtable=_quote(staging), batchsize=batch)
-        df.write.format("jdbc").options(**options).mode("append").save()
-        _execute(spark, source, merge_statement(table, staging, df.columns, mode))
-    finally:
-        _execute(spark, source, f"DROP TABLE IF EXISTS {_quote(staging)}")
+@dataclass(frozen=True)
+class JdbcSink:
+    """A database table as the sink of planned changes: rows are staged in parallel, then merged by statements.
+
+    The staging table has the target's layout, so the database checks what the
+    rows must satisfy, and goes whatever happens. ``plan`` is what ``take`` runs.
+    """
+
+    spark: SparkSession
+    source: JdbcSource
+    table: str
+    batch: int = 2_000
+
+    def plan(self, change, staging: str) -> list[str]:
+        """All statements in order; the rows are appended after the first one."""
+        if change.when is not None:
+            raise ValueError(f"a condition on rows of {self.table} is no statement")
+        columns = list(change.rows.columns)
+        return [
+            f"CREATE TABLE {_quote(staging)} LIKE {_quote(self.table)}",
+            *merge_statements(self.table, staging, columns, change.mode, change.keys, change.columns),
+            f"DROP TABLE IF EXISTS {_quote(staging)}",
+        ]
+
+    def staged_rows(self, change) -> DataFrame:
+        """One row per key: what the database would otherwise settle by the order of arrival."""
+        how = "first" if change.mode in ("insert_ignore", "update", "truncate", "insert_numbered") else change.on_duplicate
+        rows = change.rows
+        if change.mode == "update":
+            rows = rows.select(*change.keys, *change.columns)
+        if change.mode == "delete":
+            return rows.select(*change.keys).distinct()
+        return one_source_row(rows, list(change.keys), how, list(change.order) or None)
+
+    def take(self, change, target=None) -> str:
+        staging = f"_stage_{self.table}_{uuid.uuid4().hex[:8]}"
+        create, *merge, drop = self.plan(change, staging)
+        _execute(self.spark, self.source, create)
+        try:
+            options = jdbc_options(self.source, dbtable=_quote(staging), batchsize=self.batch)
+            self.staged_rows(change).write.format("jdbc").options(**options).mode("append").save()
+            _execute(self.spark, self.source, *merge)
+        finally:
+            _execute(self.spark, self.source, drop)
+        return self.table
+
+    def read(self) -> DataFrame:
+        return read_jdbc_table(self.spark, self.source, self.table)

@@ -89,7 +89,11 @@ def test_resync_overwrites_in_place_and_refuses_hand_made_ids(spark, stored_sour
     assert [r.id for r in plan.refused.collect()] == [V.MANUAL_ID_THRESHOLD + 5]
     assert [tuple(r) for r in plan.unusable.collect()] == [(10**8, "unknown model")]
     # the dry run already shows stage two on repaired rows, and writes nothing
-    config = [c for c in plan.plan(cat) if c.table == "prod_config"]
+    changes = plan.plan(cat)
+    config = [c for c in changes if c.table == "prod_config"]
+    # the last change reads the copies of planned tables, none of the first stage's sources
+    read = {f.split("/")[-2].rsplit("-", 1)[0] for f in changes[-1].rows.inputFiles()}
+    assert read == {"planned-table"}
     folders = base.preview(config, str(tmp_path / "preview"))
     shown = spark.read.option("header", True).csv(folders[0])
     assert {r.is_selling for r in shown.collect()} == {"停售"} and shown.count() == 3

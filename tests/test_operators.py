@@ -11,7 +11,7 @@ from listingflow.operators import dedupe, ids, match, quality, relational
 from listingflow.sources.align import align, rename_positional
 from listingflow.sources.catalog import Catalog, TableMissing
 from listingflow.sources.id_list import inline_ids, read_id_list
-from listingflow.sources.jdbc import JdbcSource, jdbc_options, merge_statement
+from listingflow.sources.jdbc import JdbcSink, JdbcSource, jdbc_options, merge_statements
 
 
 def test_allocate(spark):
@@ -153,11 +153,102 @@ def test_jdbc_text():
     assert "useCursorFetch=true" in src.jdbc_url()
     assert "secret" not in repr(JdbcSource(password="secret"))
     assert jdbc_options(src, dbtable="t", numPartitions=4)["numPartitions"] == "4"
-    assert merge_statement("t", "s", ["id", "ee(%)"], "upsert") == (
+    assert merge_statements("t", "s", ["id", "ee(%)"], "upsert") == [
         "INSERT INTO `t` (`id`, `ee(%)`) SELECT `id`, `ee(%)` FROM `s` "
-        "ON DUPLICATE KEY UPDATE `id`=VALUES(`id`), `ee(%)`=VALUES(`ee(%)`)")
-    assert merge_statement("t", "s", ["id"], "insert_ignore").startswith("INSERT IGNORE INTO `t`")
-    assert merge_statement("t", "s", ["id"], "replace").startswith("REPLACE INTO `t`")
+        "ON DUPLICATE KEY UPDATE `id`=VALUES(`id`), `ee(%)`=VALUES(`ee(%)`)"]
+    assert merge_statements("t", "s", ["id"], "insert_ignore") == ["INSERT IGNORE INTO `t` (`id`) SELECT `id` FROM `s`"]
+    assert merge_statements("t", "s", ["id"], "replace") == ["REPLACE INTO `t` (`id`) SELECT `id` FROM `s`"]
+    assert merge_statements("t", "s", ["id", "name", "v"], "keep_id", ["name"]) == [
+        "INSERT INTO `t` (`name`, `v`) SELECT `name`, `v` FROM `s` ON DUPLICATE KEY UPDATE `v`=VALUES(`v`)"]
+    assert merge_statements("t", "s", ["id", "name"], "insert_numbered", ["name"]) == ["INSERT IGNORE INTO `t` (`name`) SELECT `name` FROM `s`"]
+    assert merge_statements("t", "s", ["a", "b", "v"], "update", ["a", "b"], ["v"]) == [
+        "UPDATE `t` t JOIN `s` s ON t.`a` = s.`a` AND t.`b` = s.`b` SET t.`v` = s.`v`"]
+    assert merge_statements("t", "s", ["a"], "delete", ["a"]) == ["DELETE t FROM `t` t JOIN `s` s ON t.`a` = s.`a`"]
+    assert merge_statements("t", "s", ["a"], "truncate") == ["RENAME TABLE `t` TO `s_old`, `s` TO `t`", "DROP TABLE `s_old`"]
+    for mode, keys in (("update", ()), ("delete", ()), ("other", ("a",))):
+        with pytest.raises(ValueError):
+            merge_statements("t", "s", ["a"], mode, keys)
+
+
+def test_a_database_sink_stages_one_row_per_key_for_every_mode(spark):
+    from listingflow.plans.base import Change
+
+    sink = JdbcSink(spark, JdbcSource(), "t")
+    twice = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "k int, v string")
+    for mode in ("insert_ignore", "update", "delete", "truncate"):
+        change = Change("t", twice, ("k",), mode, ("v",))
+        statements = sink.plan(change, "s")
+        assert statements[0] == "CREATE TABLE `s` LIKE `t`" and statements[-1] == "DROP TABLE IF EXISTS `s`" and len(statements) >= 3
+        rows = sorted(tuple(r) for r in sink.staged_rows(change).collect())
+        assert rows == ([(1,), (2,)] if mode == "delete" else [(1, "a"), (2, "c")])
+    with pytest.raises(Exception, match="duplicate merge key"):
+        sink.staged_rows(Change("t", twice, ("k",))).collect()
+    with pytest.raises(ValueError):
+        sink.plan(Change("t", twice, ("k",), "update", ("v",), when=F.col("v") > "a"), "s")
+
+
+def test_conditions_of_a_split_hold_every_row_once(spark):
+    import datetime as dt
+
+    from listingflow.sources import predicates as P
+
+    keys = [None, None, -5, 0, 0, 1, 1, 1, 2, 10**12, 10**12 + 1, 7]
+    df = spark.createDataFrame([(k, dt.date(2024, 1, 1) + dt.timedelta(days=abs(k or 0) % 400), f"it's {k}") for k in keys], "k long, d date, s string")
+    stamped = df.withColumn("t", F.col("d").cast("timestamp_ntz"))
+    for column in ("k", "d", "t"):
+        for parts in (1, 2, 3, 50):
+            conditions = P.half_open(column, P.quantile_bounds(stamped, column, parts))
+            assert sum(stamped.where(c).count() for c in conditions) == len(keys), (column, parts, conditions)
+    assert P.half_open("a`b", []) == ["1 = 1"] and P.half_open("k", [], nulls=False) == ["`k` IS NOT NULL"]
+    assert P.half_open("k", [3, 1]) == ["(`k` < 1 OR `k` IS NULL)", "`k` >= 1 AND `k` < 3", "`k` >= 3"]
+    months = P.month_bounds(dt.date(2023, 11, 20), dt.date(2024, 2, 1))
+    assert months == [dt.date(2023, 12, 1), dt.date(2024, 1, 1), dt.date(2024, 2, 1)]
+    assert sum(df.where(c).count() for c in P.half_open("d", months)) == len(keys)
+    assert df.where(P.in_lists("s", ["it's 7", "x"])[0]).count() == 1
+    assert P.in_lists("k", [5, 3, 3, 9], chunk=2) == ["`k` IN (3, 5)", "`k` IN (9)"] and P.literal(dt.date(2024, 1, 2)) == "'2024-01-02'"
+    for bad in (True, "back\\slash"):
+        with pytest.raises(ValueError):
+            P.literal(bad)
+
+
+def test_chosen_ids_reach_a_source_that_takes_conditions(spark):
+    from listingflow.sources import predicates as P
+    from listingflow.sources.catalog import Catalog
+
+    ids = spark.createDataFrame([(i,) for i in [5, 5, 1000, None, *range(40, 60)]], "id long")
+    assert P.id_conditions(ids, "id", "k", most=100)[0].startswith("`k` IN (5, 40, 41")
+    wide = P.id_conditions(ids, "id", "k", most=3, ranges=4)
+    rows = spark.range(2000).withColumnRenamed("id", "k")
+    assert 1 < len(wide) <= 4 and sorted(r.k for c in wide for r in rows.where(c).collect()) == list(range(5, 1001))
+    assert P.id_conditions(ids.limit(0), "id", "k") == ["1 = 0"]
+    asked = []
+
+    def read(conditions):
+        asked.append(conditions)
+        return rows.withColumnRenamed("k", "physical").where(" OR ".join(f"({c})" for c in conditions))
+
+    cat = Catalog(spark).bind_conditional("t", read, {"physical": "k"}).bind_frame("plain", rows)
+    for most in (3, 100):
+        small = cat.restricted(ids, {"t": "k", "plain": "k", "unbound": "k"}, most=most)
+        want = sorted({r.id for r in ids.collect() if r.id is not None})
+        assert sorted(r.k for r in small.read("t").collect()) == want == sorted(r.k for r in small.read("plain").collect())
+        assert all("`physical`" in c for c in asked[-1])
+    assert cat.read("t").count() == 2000 and asked[-1] == ["1 = 1"]
+
+
+def test_a_prefix_index_explodes_one_row_for_each_place(spark):
+    from listingflow.functions import geo
+
+    words = spark.createDataFrame([("北京",), ("北京市",), ("北",), ("海",), ("",), (None,)], "w string")
+    texts = spark.createDataFrame([("在北京市",), ("x海北京",), ("",), (None,), ("none",), ("x" * 3000 + "海",)], "t string")
+    found = geo.first_word_by_join(texts, "t", "hit", words, "w")
+    got = {r.t: r.hit for r in found.collect()}
+    assert got == {"在北京市": "北京市", "x海北京": "海", "": None, None: None, "none": None, "x" * 3000 + "海": "海"}
+    long = spark.createDataFrame([("abc",), ("abcd",), ("bcd",)], "w string")
+    some = spark.createDataFrame([("zabcde",), ("ab",), ("xbcd",)], "t string")
+    assert {r.t: r.hit for r in geo.first_word_by_join(some, "t", "hit", long, "w").collect()} == {"zabcde": "abcd", "ab": None, "xbcd": "bcd"}
+    plan = str(found._jdf.queryExecution().optimizedPlan().toString())
+    assert plan.count("Generate") == 1
 
 
 def test_explain_rejects_names_the_first_broken_rule(spark):
