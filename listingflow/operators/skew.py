@@ -48,15 +48,24 @@ def _adaptive(df: DataFrame) -> bool:
     )
 
 
-# A lookup is broadcast on request only after its rows were counted up to this bound.
-MAX_BROADCAST_ROWS = 100_000
+# A lookup is broadcast on request only after its rows and bytes were counted up to these bounds.
+MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES = 100_000, 64 << 20
 
 
 def broadcast_lookup_join(
     rows: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left",
-    max_rows: int = MAX_BROADCAST_ROWS,
+    max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """`lookup_join` that leaves the rows where they are when the lookup is counted to be small."""
-    if lookup.limit(max_rows + 1).count() <= max_rows:
+    """`lookup_join` that leaves the rows where they are when the lookup is counted to be small.
+
+    A row counts the bytes of its texts and 16 for each column. No more than
+    ``max_rows`` + 1 rows are counted.
+    """
+    width = F.lit(16 * len(lookup.columns)).cast("long")
+    for name, kind in lookup.dtypes:
+        if kind not in ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz"):
+            width = width + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
+    size = lookup.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")).head()
+    if size["n"] <= max_rows and size["bytes"] <= max_bytes:
         return rows.join(F.broadcast(lookup), list(keys), how)
     return lookup_join(rows, lookup, keys, how)

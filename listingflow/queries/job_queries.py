@@ -195,10 +195,12 @@ def job_master_to_ods(t):
 
 # --- operational store to production ---------------------------------------
 
-@query("job_new_brands", """SELECT * FROM j_ods_brand WHERE brandid NOT IN (SELECT brandid FROM j_prod_brand WHERE brandid > 5)""")
+@query("job_new_brands", """SELECT * FROM j_ods_brand WHERE brandid NOT IN (
+    SELECT brandid + CASE brandid % 3 WHEN 0 THEN 1000000 ELSE 0 END FROM j_prod_brand)""")
 def job_new_brands(t):
-    cat = vehicle_catalog(t)
-    return ods_to_production.new_brands(cat.overlay(prod_brand=t.j_prod_brand.where("brandid > 5")))
+    # all of production's brands, some under ids that the store does not have
+    moved = F.when(F.col("brandid") % 3 == 0, F.col("brandid") + 1000000).otherwise(F.col("brandid"))
+    return ods_to_production.new_brands(vehicle_catalog(t).overlay(prod_brand=t.j_prod_brand.withColumn("brandid", moved)))
 
 
 @query("job_new_series", """SELECT * FROM j_ods_series WHERE series_id NOT IN (SELECT series_id FROM j_prod_series)""")

@@ -15,11 +15,11 @@ from listingflow.sources.catalog import Catalog
 from listingflow.queries.base import DERIVED, query
 from listingflow.session import checkpoint_dir
 
-# the target holds the well-funded customers, the source all of two segments with new values
-DERIVED["m_target"] = """SELECT c_custkey AS k, c_name AS name, c_acctbal AS bal, c_mktsegment AS seg, c_nationkey AS nation
-    FROM customer WHERE c_acctbal > 2000 OR c_mktsegment = 'MACHINERY'"""
-DERIVED["m_source"] = """SELECT c_custkey AS k, CASE WHEN c_acctbal < 6000 THEN NULL ELSE 'new ' || c_name END AS name,
-    c_acctbal + 1 AS bal FROM customer WHERE c_mktsegment <> 'MACHINERY'"""
+# target and source hold all customers; a quarter and a third of the keys lie where the other side has none
+DERIVED["m_target"] = """SELECT c_custkey + CASE c_custkey % 4 WHEN 0 THEN 100000000 ELSE 0 END AS k, c_name AS name, c_acctbal AS bal,
+    c_mktsegment AS seg, c_nationkey AS nation FROM customer"""
+DERIVED["m_source"] = """SELECT c_custkey + CASE c_custkey % 3 WHEN 0 THEN 200000000 ELSE 0 END AS k,
+    CASE WHEN c_acctbal < 6000 THEN NULL ELSE 'new ' || c_name END AS name, c_acctbal + 1 AS bal FROM customer"""
 DERIVED["m_batch"] = """SELECT o_custkey AS k, o_orderpriority AS name, o_totalprice AS bal FROM orders"""
 
 _BOTH = "FROM m_target t FULL JOIN m_source s ON t.k = s.k"
@@ -110,14 +110,14 @@ def fresh_folder(spark) -> str:
 
 
 @query("merge_snapshot_roundtrip", """
-    WITH s AS (SELECT k, name, bal FROM m_source WHERE bal > 5000)
+    WITH s AS (SELECT k, name, bal FROM m_source)
     SELECT coalesce(t.k, s.k) AS k, CASE WHEN s.k IS NOT NULL THEN s.name ELSE t.name END AS name,
         CASE WHEN s.k IS NOT NULL THEN s.bal ELSE t.bal END AS bal, t.seg, t.nation
     FROM m_target t FULL JOIN s ON t.k = s.k""")
 def merge_snapshot_roundtrip(t):
     store = SnapshotTable(t.spark, f"{fresh_folder(t.spark)}/table")
     store.commit(t.m_target)
-    store.commit(merge.upsert(store.read(), t.m_source.where("bal > 5000"), ["k"]))
+    store.commit(merge.upsert(store.read(), t.m_source, ["k"]))
     return store.read()
 
 
@@ -213,9 +213,10 @@ def dry_run_preview(t):
     return t.spark.read.schema("k string, kind string").option("header", True).csv(folder)
 
 
-DERIVED["a_new"] = "SELECT p_partkey, p_type, p_name FROM part WHERE p_size > 25"
-DERIVED["a_known"] = """SELECT p_type, p_type || 'S' || CAST(p_size AS STRING) AS code FROM part
-    WHERE p_size <= 25 AND p_type <> 'PROMO'"""
+# every part is new; a type has the codes of all its parts, but for one type that has none yet
+DERIVED["a_new"] = "SELECT p_partkey, p_type, p_name FROM part"
+DERIVED["a_known"] = """SELECT CASE p_type WHEN 'PROMO' THEN 'OTHER' ELSE p_type END AS p_type,
+    p_type || 'S' || CAST(p_size AS STRING) AS code FROM part"""
 
 
 @query("allocate_ids", """

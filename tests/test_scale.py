@@ -76,7 +76,8 @@ def test_salted_and_broadcast_lookups_agree(spark, how):
     rows, lookup = skewed(spark)
     want = rows.join(lookup, "k", how).agg(F.count("*"), F.count("name"), F.sum("id")).first()
     for got in (lookup_join(rows, lookup, ["k"], how, salts=8), lookup_join(rows, lookup, ["k"], how),
-                broadcast_lookup_join(rows, lookup, ["k"], how), broadcast_lookup_join(rows, lookup, ["k"], how, max_rows=10)):
+                broadcast_lookup_join(rows, lookup, ["k"], how), broadcast_lookup_join(rows, lookup, ["k"], how, max_rows=10),
+                    broadcast_lookup_join(rows, lookup, ["k"], how, max_bytes=10)):
         assert got.agg(F.count("*"), F.count("name"), F.sum("id")).first() == want
     with settings(spark, **{"spark.sql.adaptive.enabled": "false"}):
         assert "explode" in plan_of(lookup_join(rows, lookup, ["k"], how))
