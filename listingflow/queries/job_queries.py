@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from listingflow import fixed_values as V
 from listingflow.operators import quality
-from listingflow.plans import catalogue_ids, catalogue_to_ods, ods_to_production, platform_match, resync, side_data
+from listingflow.operators.store import BucketTable
+from listingflow.plans import base, catalogue_ids, catalogue_to_ods, ods_to_production, platform_match, resync, side_data
 from listingflow.plans.base import planned
-from listingflow.queries.base import DERIVED, cases, duck, duck_fold, query
+from listingflow.queries.base import DERIVED, QUERIES, Query, cases, duck, duck_fold, query
 from listingflow.queries.match_queries import _rounds_sql
+from listingflow.queries.merge_queries import fresh_folder
 from listingflow.queries.rule_queries import gearbox_sql, leftmost, pick
+from listingflow.session import cut_lineage
 from listingflow.sources.catalog import Catalog
 
 CATALOGUE_RUN = "2024-01-29"
@@ -656,3 +659,33 @@ def match_catalog(t, platforms=V.MATCH_PLATFORMS) -> Catalog:
 def job_platform_match(t):
     """All seven platforms in one run."""
     return platform_match.result_rows(match_catalog(t))
+
+
+# --- jobs with their merges ------------------------------------------------
+
+# Jobs whose rows are read back from the table they are merged into, and its key. (The driver's line items repeat ids, so the
+# jobs fed from them would be refused by the merge.)
+MERGED = {
+    "job_ev_to_ods": ("model_id",), "job_detail_to_ods": ("autohome_id",), "job_series_to_ods": ("series_id",),
+    "job_master_to_ods": ("model_id",), "job_owner_complaints": ("complain_id",), "job_reviews": ("id",),
+}
+_FAR = 100_000_000
+
+
+def _merged(name: str, keys: tuple[str, ...]):
+    """The job's rows merged into a table that holds older forms of half of them, and as many rows of other keys."""
+    def run(spark, folder):
+        rows = cut_lineage(QUERIES[name].run(spark, folder))
+        other = rows.withColumn(keys[0], (F.col(keys[0]) + _FAR).cast(rows.schema[keys[0]].dataType))
+        older = rows.where(F.pmod(F.xxhash64(*keys), F.lit(2)) == 0).withColumns({
+            c: F.lit("older") for c, kind in rows.dtypes if kind == "string" and c not in keys})
+        table = BucketTable.of(spark, f"{fresh_folder(spark)}/table", rows.schema, keys, buckets=8)
+        table.load(older.unionByName(other))
+        base.commit(Catalog(spark), [base.Change("t", rows, keys)], {"t": table})
+        return table.read()
+
+    own = QUERIES[name].sql
+    return Query(run, f"SELECT * FROM ({own}) UNION ALL SELECT * REPLACE ({keys[0]} + {_FAR} AS {keys[0]}) FROM ({own})")
+
+
+QUERIES.update({f"{name}_merged": _merged(name, keys) for name, keys in MERGED.items()})
