@@ -7,6 +7,7 @@ touches, from a staged copy.
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -26,7 +27,7 @@ class SnapshotTable:
 
     The current one is the highest number whose write finished; Spark's own
     success marker, written last, is the switch. Older ones stay for readers
-    that started before it.
+    that started before it, until ``expire`` deletes them.
     """
 
     spark: SparkSession
@@ -64,6 +65,24 @@ class SnapshotTable:
         writer.parquet(path)
         return path
 
+    def expire(self, grace_ms: int, now_ms: int | None = None) -> list[str]:
+        """Delete snapshots that were replaced, or writes that were given up, longer than the grace period ago.
+
+        A reader may have started on a snapshot until the next finished one came;
+        the current one always stays.
+        """
+        now = int(time.time() * 1000) if now_ms is None else now_ms
+        fs, _ = filesystem(self.spark, self.root)
+        markers = {n: filesystem(self.spark, f"{self._path(n)}/_SUCCESS")[1] for n in self._numbers()}
+        finished = {n: fs.getFileStatus(m).getModificationTime() for n, m in markers.items() if fs.exists(m)}
+        gone = []
+        for number in markers:
+            replaced = [t for n, t in finished.items() if n > number]
+            if replaced and min(replaced) < now - grace_ms:
+                fs.delete(filesystem(self.spark, self._path(number))[1], True)
+                gone.append(self._path(number))
+        return gone
+
 
 def touched_partitions(
     target: DataFrame, changes: DataFrame, keys: Sequence[str], partition_by: Sequence[str]

@@ -1,5 +1,7 @@
 """Merge semantics and properties."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,3 +93,14 @@ def test_partition_overwrite_moves_rows_and_drops_empty_partitions(spark, tmp_pa
     overwrite_partitions(spark, path, merge.upsert(inside, changes, ["k"]), touched, ["part"])
     assert rows(spark.read.parquet(path), "k", "v", "part") == [(1, "A", "q"), (2, "b", "q"), (3, "c", "r"), (4, "d", "s")]
     assert not (tmp_path / "wide" / "part=p").exists()
+
+
+def test_replaced_and_abandoned_snapshots_expire(spark, tmp_path):
+    store = SnapshotTable(spark, str(tmp_path / "t"))
+    for n in range(3):
+        store.commit(spark.range(n + 1))
+    (tmp_path / "t" / "snapshot-00000002" / "_SUCCESS").unlink()  # a write that was given up
+    assert store.expire(grace_ms=3_600_000) == [] and store.read().count() == 3
+    later = int(time.time() * 1000) + 60_000
+    assert [p[-1] for p in store.expire(0, later)] == ["1", "2"]
+    assert store.read().count() == 3 and store.expire(0, later) == []
