@@ -12,11 +12,11 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,8 +61,6 @@ def staged(df: DataFrame, name: str, *metrics: Column) -> tuple[DataFrame, dict]
 
     ``n`` is always among the metrics: the number of rows.
     """
-    from pyspark.sql import Observation
-
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     seen = Observation()
@@ -145,9 +143,12 @@ class ManifestTable:
 
     # -- writing
 
-    def replace(self, rows: DataFrame, touched: Iterable[Cell] | None, old: Manifest | None, marks: Mapping[str, int] | None = None) -> Manifest:
+    def replace(self, rows: DataFrame, touched: Iterable[Cell] | None, old: Manifest | None,
+                marks: Mapping[str, int] | Callable[[], Mapping[str, int]] | None = None) -> Manifest:
         """A new version in which the touched cells (None: all) hold exactly ``rows`` and the others are carried over.
 
+        Marks that only the written rows can tell are given as a function.
+
         ``rows`` has the schema's columns and the cell columns. Rows meet by cell
         before they are written, so a cell is no more files than its
         size asks for.
@@ -163,7 +164,7 @@ class ManifestTable:
         new = Manifest(
             (old.version if old else 0) + 1, keep | {c: f"{write}/{sub}" for c, sub in written.items()},
             {c: n for c, n in (old.rows if old else {}).items() if c in keep} | counted,
-            dict(old.marks if old else {}) | dict(marks or {}), int(time.time() * 1000))
+            dict(old.marks if old else {}) | dict(marks() if callable(marks) else marks or {}), int(time.time() * 1000))
         self.publish(new)
         return new
 
@@ -299,17 +300,14 @@ class BucketTable(ManifestTable):
         by_key = tuple(change.keys) == self.keys
         touched = self.touched(change.rows) if by_key else list(old.folders) if old else []
         target = self.rows_of(old, touched)
-        marks = {}
         if self.surrogate is not None and change.mode in ("keep_id", "insert_numbered"):
             # numbers go on from the largest of the whole table, which the manifest knows
             change = change.with_start(old.marks.get(self.surrogate, 0) if old else 0)
         after = self._fitted(change.apply(target))
-        after, seen = staged(after.withColumn(BUCKET, self.bucket(after)), "merged", *self._observed())
+        after, marks = after.withColumn(BUCKET, self.bucket(after)), None
         if self.surrogate is not None:
-            marks = {self.surrogate: max(seen.get("top") or 0, old.marks.get(self.surrogate, 0) if old else 0)}
-        done = self.replace(after, touched if by_key else None, old, marks)
-        drop_staged(after)
-        return done
-
-    def _observed(self) -> list[Column]:
-        return [] if self.surrogate is None else [F.max(F.col(self.surrogate).cast("long")).alias("top")]
+            # seen on the rows as they are written
+            seen, known = Observation(), old.marks.get(self.surrogate, 0) if old else 0
+            after = after.observe(seen, F.max(F.col(self.surrogate).cast("long")).alias("top"))
+            marks = lambda: {self.surrogate: max(seen.get["top"] or 0, known)}
+        return self.replace(after, touched if by_key else None, old, marks)
