@@ -49,6 +49,62 @@ CASES = {
 }
 
 
+# Every rule of the ordered lists by a text that only it changes: an altered pattern fails here, whatever the SQL says.
+EACH_RULE = {
+    "gearbox": (vehicle.gearbox, [
+        *[(x, "自动") for x in (
+            "CVT无级变速", "无级变速", "自动8挡CVT", "CVT8挡自动", "-CVT", "CVT", "双离合7挡手自动一体", "手自一体型", "手自动一体型", "手自动一体", "手自一体",
+            "tiptronic", "6速 AT x", "-6AT", "AT 豪华", "AT-x", "AT", "AMT智能手动版", "AMT智能手动", "AMT", "EMT", "IMT")],
+        *[(x, "自动双离合") for x in ("DSG双离合", "双离合器", "双离合", "G-DCT", "DCT", "DSG")],
+        *[(x, "手动") for x in ("MT", "5MT", "MT-x", "x MT豪华", "manual 5", "Manual", "MANUAL", "手动")],
+        *[(x, "-") for x in ("ATX", "xMTx", "单速", "", "aManual")]]),
+    "emission": (lambda n, r: vehicle.emission_standard(n, r), [
+        *[(None, "国" + x, "国三") for x in ("3", "III", "Ⅲ", "三", "3化油器", "3+OBD", "3带OBD", "3)")],
+        *[(None, "国" + x, "国二") for x in ("2", "Ⅱ", "II")], *[(None, "欧" + x, "欧四") for x in ("4", "IV", "Ⅳ")],
+        *[(None, "京" + x, "京六") for x in ("6", "VI", "Ⅵ")], *[(None, "国" + x, "国五") for x in ("5", "V", "Ⅴ")],
+        *[(None, "国" + x, "国一") for x in ("1", "I", "Ⅰ")], (None, "国4(京5)", "国四/京五"),
+        ("某 京五 x", "无", "京五"), ("某 欧Ⅳ型 x", "", "欧四型"), ("某 国2 x", "-", "国二"), ("某 国Ⅵ", "-", "国六"), ("国", "-", None)]),
+    "emission production": (vehicle.emission_standard_production, [
+        *[("国" + x, "国三") for x in ("3", "III", "Ⅲ", "3+OBD", "3)")], *[("国" + x, "国二") for x in ("2", "Ⅱ", "II")],
+        *[("国" + x, "国四") for x in ("4", "IV", "Ⅳ")], *[("国" + x, "国六") for x in ("6", "VI", "Ⅵ")], *[("国" + x, "国五") for x in ("5", "V")],
+        ("国4(国5)", "国四/国五"), ("未知", "-"), ("国I", "国I")]),
+    "color": (listing.color, [
+        ("――", ""), ("白-", "白"), ("无数据", ""), ("null", ""), ("红09", "红"), ("其他", "其它"), ("红色", "红"), ("浅灰", "灰"), ("深蓝", "蓝"),
+        ("象牙", ""), ("冰川", ""), ("其他色", "其它")]),
+    "color catalogue": (vehicle.catalogue_color, [("无", ""), ("黑;白;;", "黑;白"), ("a;b", "a;b")]),
+    "gearbox match": (vehicle.gearbox_for_match, [
+        ("CVT无级变速", "自动"), ("无级变速", "自动"), ("CVT", "自动"), ("双离合", "自动双离合"), ("手自一体", "自动"), ("Auto 6", "自动"), ("automatic", "自动"),
+        ("Manual 5", "手动"), ("manual", "手动"), (None, "")]),
+    "drive": (vehicle.drive, [*[(x, "四驱") for x in ("四驱", "AWD", "4WD", "4X4", "4x4")], *[(x, "两驱") for x in ("两驱", "FWD", "RWD", "2WD")]]),
+}
+
+
+@pytest.mark.parametrize("name", EACH_RULE)
+def test_each_rule_of_an_ordered_list(spark, name):
+    make, table = EACH_RULE[name]
+    check(spark, make, table)
+
+
+def test_each_rule_of_the_electric_block_and_the_flags(spark):
+    def block(column, table):
+        df = spark.createDataFrame([(raw, i) for i, (raw, _) in enumerate(table)], f"{column} string, n int")
+        got = {r.n: r[column] for r in vehicle.ev_block(df).collect()}
+        assert got == {i: want for i, (_, want) in enumerate(table)}
+
+    block("ee_type", [("a / b", "ab"), ("前x后y", "前x/后y")])
+    for time in ("ee_fast_charging_time", "ee_slow_charging_time"):
+        block(time, [("标配", "-"), ("选配", "-"), ("待查", "-"), ("0.5", "0.5")])
+    kinds = ("三元镍钴锰酸锂", "磷酸铁锂", "三元锂", "锂离子", "钴酸锂", "锰酸锂", "镍钴锰", "高压锂", "镍氢")
+    block("ee_battery_type", [*[(f"x{k}y", f"{k}电池") for k in kinds], ("铅", "-"), (None, "-")])
+    block("ee_pure_electric_range", [("标配", "-"), ("选配", "-"), ("500km", "500"), ("500公里", "500")])
+    block("ee_battery_quality_assurance", [
+        ("三年", "3年"), ("四年", "4年"), ("五年", "5年"), ("六年", "6年"), ("八年", "8年"), ("十年", "10年"), ("待查", "-"), ("3年 或 5年", "3年5年")])
+    flags = [("前标配", "Y"), ("后标配", "Y"), ("主标配", "Y"), ("副标配", "Y"), ("标配", "Y"), ("前选配", "N"), ("后选配", "N"), ("主选配", "N"), ("副选配", "N"),
+             ("选配", "N"), ("前无", "N"), ("后无", "N"), ("主无", "N"), ("副无", "N"), ("无", "N"), ("前-", "N"), ("后-", "N"), ("主-", "N"), ("副-", "N"), ("-", "N")]
+    df = spark.createDataFrame([(raw, i) for i, (raw, _) in enumerate(flags)], "abs string, n int")
+    assert {r.n: r.abs for r in vehicle.equipment_flags(df).collect()} == {i: want for i, (_, want) in enumerate(flags)}
+
+
 @pytest.mark.parametrize("name", CASES)
 def test_column_rule(spark, name):
     make, table = CASES[name]
