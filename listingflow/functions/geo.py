@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from listingflow import fixed_values as V
 from listingflow.functions.text import fold_rules
-from listingflow.operators.skew import lookup_join
+from listingflow.operators.skew import broadcast_lookup_join, lookup_join
 
 # Words above this count are matched by a join; the driver never holds more.
 MAX_PATTERN_WORDS = 5_000
@@ -70,29 +70,33 @@ def first_word_by_join(
     """`first_word` for a dictionary of any size, by a keyed prefix index.
 
     Each place in a distinct text is one row with its next characters, as many
-    as the longest word has. It meets the words that begin with the same few
-    characters, and the whole word is then compared.
+    as the longest word has. Its first few characters tell how long the words
+    that begin so are, and the text of each such length is looked up as a whole
+    word: a place costs as many rows as there are lengths, however many words
+    begin alike.
     """
-    words = words.select(F.col(word_col).alias("_word")).where("_word <> ''").distinct()
+    words = words.select(F.col(word_col).cast("string").alias("_word")).where("_word <> ''").distinct()
     edge = words.agg(F.min(F.length("_word")).alias("least"), F.max(F.length("_word")).alias("most")).head()
     if edge["least"] is None:
         return df.withColumn(out_col, F.lit(None).cast("string"))
-    width = min(PREFIX, edge["least"])
+    width, most = min(PREFIX, edge["least"]), edge["most"]
+    sizes = words.select(F.substring("_word", 1, width).alias("_key"), F.length("_word").alias("_size")).distinct()
     # a digest stands for the text, so that no row at a place carries the whole
     texts = df.select(F.col(text_col).cast("string").alias("_text")).where(F.length("_text") >= width).distinct()
     places = texts.select(_digest("_text").alias("_id"), "_text", F.explode(F.sequence(F.lit(1), F.length("_text") - width + 1)).alias("_at"))
-    places = places.select("_id", "_at", F.substring("_text", F.col("_at"), F.lit(edge["most"])).alias("_rest"))
-    hits = (
-        places.withColumn("_key", F.substring("_rest", 1, width))
-        .join(words.withColumn("_key", F.substring("_word", 1, width)), "_key")
-        .where(F.startswith("_rest", "_word"))
-        .groupBy("_id")
-        .agg(F.min(F.struct("_at", (-F.length("_word")).alias("_len"), "_word")).alias("_hit"))
-        .select("_id", F.col("_hit._word").alias(out_col))
-    )
+    places = places.select("_id", "_at", F.substring("_text", F.col("_at"), F.lit(most)).alias("_rest"))
+    places = broadcast_lookup_join(places.withColumn("_key", F.substring("_rest", 1, width)), sizes, ["_key"], "inner")
+    # leftmost, then longest, as one number
+    rank = F.col("_at") * F.lit(most + 1).cast("long") - F.col("_size")
+    tried = places.where(F.length("_rest") >= F.col("_size")).select(
+        "_id", rank.alias("_rank"), F.substring("_rest", F.lit(1), F.col("_size")).alias("_word"))
+    hits = lookup_join(tried, words, ["_word"], "inner").groupBy("_id").agg(F.min("_rank").alias("_first"))
     keep = [c for c in df.columns if c != out_col]
-    keyed = df.select(*keep, _digest(text_col).alias("_id"))
-    return lookup_join(keyed, hits, ["_id"]).drop("_id")
+    keyed = df.select(*keep, F.col(text_col).cast("string").alias("_text"), _digest(text_col).alias("_id"))
+    found = lookup_join(keyed, hits, ["_id"])
+    start = F.ceil(F.col("_first") / F.lit(most + 1)).cast("int")
+    word = F.substring("_text", start, (start * F.lit(most + 1).cast("long") - F.col("_first")).cast("int"))
+    return found.select(*keep, word.alias(out_col))
 
 
 def _digest(text_col: str) -> Column:

@@ -251,6 +251,26 @@ def test_a_prefix_index_explodes_one_row_for_each_place(spark):
     assert plan.count("Generate") == 1
 
 
+def test_words_that_begin_alike_do_not_all_meet_a_place(spark):
+    from listingflow.functions import geo
+
+    # one beginning, several lengths, words within words
+    names = [f"Supplier#{i}" for i in range(2000)] + ["Supplier", "Sup"]
+    texts = [f"near Supplier#{i}x" for i in range(0, 4000, 7)] + ["Suppl", "xSupplier#", "Su", "SuSup", None, ""]
+    words = spark.createDataFrame([(n,) for n in names], "w string")
+    found = geo.first_word_by_join(spark.createDataFrame([(t, 1) for t in texts], "t string, other int"), "t", "hit", words, "w")
+
+    def brute(text):
+        hits = [(text.find(n), -len(n), n) for n in names if n in text]
+        return min(hits)[2] if hits else None
+
+    assert found.columns == ["t", "other", "hit"]
+    assert {r.t: r.hit for r in found.collect()} == {t: brute(t) if t else None for t in texts}
+    # whole words meet by equality: no join has a comparison beside its keys
+    plan = str(found._jdf.queryExecution().optimizedPlan().toString())
+    assert "StartsWith" not in plan and "startswith" not in plan
+
+
 def test_explain_rejects_names_the_first_broken_rule(spark):
     df = spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "k int, v string")
     got = quality.explain_rejects(df, {"no value": F.col("v").isNotNull(), "is y": F.col("v") != "y"})
