@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from listingflow import fixed_values as V
 from listingflow.functions import vehicle
-from listingflow.operators.skew import lookup_join
+from listingflow.operators.skew import lookup_join, row_salt
 
 # Key sets beside the six rounds that separate several candidates of one round.
 _PRICED = (*V.MATCH_FIELDS[:4], "car_price")
@@ -69,6 +69,22 @@ def _probes(sets: Sequence[Sequence[str]]) -> Column:
     return F.explode(F.array(*[key(i, s) for i, s in enumerate(sets)]))
 
 
+# Tasks that the standard models of one year, brand and series are dealt to, and tasks for each core.
+GROUP_TASKS, CORE_TASKS = 32, 4
+
+
+def _dealt(standard: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The standard models dealt evenly over more tasks than there are cores, before each becomes a row for each key set.
+
+    A scan task may hold the whole list, and counting sorts its rows. What all
+    key sets share leads, so that equal keys are counted before they are
+    shuffled; a width that is named is not narrowed again at run time.
+    """
+    columns = [*by, "car_id", *V.MATCH_FIELDS]
+    width = CORE_TASKS * standard.sparkSession.sparkContext.defaultParallelism
+    return standard.select(*columns).repartition(width, *by, *V.MATCH_ROUNDS[-1], row_salt(columns, GROUP_TASKS))
+
+
 def cascade(
     platform: DataFrame, standard: DataFrame, use_drive: bool = False, salts: int | None = None, by: Sequence[str] = ()
 ) -> DataFrame:
@@ -85,14 +101,15 @@ def cascade(
     number = {s: i for i, s in enumerate(sets)}
     by = list(by)
     lookup = (
-        standard.select(*by, "car_id", "car_price", _probes(sets).alias("p"))
+        _dealt(standard, by).select(*by, "car_id", "car_price", _probes(sets).alias("p"))
         .groupBy(*by, "p.set", "p.key")
         .agg(F.count(F.lit(1)).alias("n"), F.min("car_id").alias("id"), F.min("car_price").alias("price"))
     )
     probes = platform.select(*by, "car_id", "car_price", _probes(sets).alias("p")).select(
         *by, "car_id", "car_price", "p.set", "p.key"
     )
-    hits = lookup_join(probes, lookup, [*by, "set", "key"], "inner", salts)
+    # the size of a file does not tell that of its probes: they are never the side that is broadcast
+    hits = lookup_join(probes.hint("merge"), lookup, [*by, "set", "key"], "inner", salts)
     found = hits.groupBy(*by, "car_id", "car_price").agg(
         *[
             F.max(F.when(F.col("set") == i, F.struct("n", "id", "price"))).alias(f"s{i}")

@@ -5,7 +5,7 @@ import contextlib
 import pytest
 from pyspark.sql import functions as F
 
-from listingflow.operators import dedupe, merge
+from listingflow.operators import dedupe, match, merge
 from listingflow.operators.skew import broadcast_lookup_join, lookup_join
 from listingflow.queries import registry
 from conftest import SF
@@ -96,6 +96,21 @@ def test_upsert_shuffles_each_side_once(spark, tables):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+def test_a_cascade_deals_the_standard_list_and_broadcasts_no_probes(spark):
+    def models(n, name):
+        return match.features(spark.range(0, n, 1, 1).select(
+            F.col("id").alias("car_id"), F.concat(F.lit(name), F.col("id") % 3).alias("brand_name"), F.lit(2020).alias("model_year")))
+
+    plat, std = models(30, "a"), models(12, "a")
+    found = match.cascade(plat, std)
+    plan = plan_of(found)
+    # one scan task becomes several before each model is a row for each key set, and small files tell nothing of their probes
+    assert "REPARTITION_BY_NUM" in plan and "BroadcastHashJoin" not in plan
+    assert {(r["round"], r.candidates, r.match_des) for r in found.collect()} == {(0, 4, "repeat")} and found.count() == 30
+    tasks = match._dealt(models(4000, "b"), []).select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(tasks) > 8 and max(r["count"] for r in tasks) < 1000
+
+
 SAMPLE = ["listing_slice", "geo_listing_county", "cascade_match", "job_listing_guazi", "job_listing_rrc", "job_config_wide",
           "job_paid_prices_b", "merge_upsert", "multi_key_join", "high_water_mark"]
 
