@@ -237,11 +237,12 @@ def superseded(cat: Catalog, platform: str) -> DataFrame:
     return lookup_join(rows.where("NOT _mapped"), cars, ["car_id"], "inner").select("id").distinct()
 
 
-def plan(cat: Catalog, platform: str, run_date: str) -> list[Change]:
+def plan(cat: Catalog, platform: str, run_date: str, old: DataFrame | None = None) -> list[Change]:
+    """The changes of one run; ``old`` has the superseded crawls, if they are known already."""
     spec = PLATFORMS[platform]
     changes = []
     if spec.drops_superseded:
-        old = superseded(cat, platform)
+        old = superseded(cat, platform) if old is None else old
         gone = old.select(F.lit(spec.name).alias("car_platform"), F.col("id").alias("id_data_input"))
         changes += [
             Change("listing_wide", gone, ("car_platform", "id_data_input"), "delete"),
@@ -334,4 +335,10 @@ def run(cat: Catalog, platform: str, run_date: str, path: str, source: SnapshotT
         cat.bind("listing_wide", table.read)
     done = resume(cat, journal, name, stores)
     quality.require_some(cat.read(spec.source), spec.source)
-    return done + commit_all(cat, plan(cat, platform, run_date), stores, journal, name, {"listing_wide": S.LISTING_WIDE})
+    # both tables lose the same crawls: these are found once
+    old = staged(superseded(cat, platform), "superseded")[0] if spec.drops_superseded else None
+    try:
+        return done + commit_all(cat, plan(cat, platform, run_date, old), stores, journal, name, {"listing_wide": S.LISTING_WIDE})
+    finally:
+        if old is not None:
+            drop_staged(old)

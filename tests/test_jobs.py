@@ -265,6 +265,21 @@ def test_che58_run_deletes_superseded_crawls_from_its_source(spark, tables, tmp_
     assert old and left == before - old
 
 
+def test_superseded_crawls_are_found_once_for_both_tables(spark, tables, tmp_path, monkeypatch):
+    cat, store = listing_catalog(tables), SnapshotTable(spark, str(tmp_path / "source"))
+    store.commit(cat.read("listing_che58"))
+    cat.bind("listing_che58", store.read)
+    plans = {}
+
+    def look(cat, changes, *rest):
+        plans.update({c.table: c.rows._jdf.queryExecution().optimizedPlan().toString() for c in changes if c.mode == "delete"})
+        return []
+
+    monkeypatch.setattr(listings, "commit_all", look)
+    listings.run(cat, "che58", RUN, str(tmp_path / "wide"), store)
+    assert set(plans) == {"listing_wide", "listing_che58"} and all("Join" not in p for p in plans.values())
+
+
 def test_an_overlong_year_is_no_year(spark):
     from listingflow.operators import match
 
