@@ -69,7 +69,7 @@ def _probes(sets: Sequence[Sequence[str]]) -> Column:
     return F.explode(F.array(*[key(i, s) for i, s in enumerate(sets)]))
 
 
-# Tasks that the standard models of one year, brand and series are dealt to, and tasks for each core.
+# Tasks that the standard models of one year, brand and series are dealt to, and the fewest tasks for each core.
 GROUP_TASKS, CORE_TASKS = 32, 4
 
 
@@ -78,10 +78,13 @@ def _dealt(standard: DataFrame, by: Sequence[str]) -> DataFrame:
 
     A scan task may hold the whole list, and counting sorts its rows. What all
     key sets share leads, so that equal keys are counted before they are
-    shuffled; a width that is named is not narrowed again at run time.
+    shuffled; a width that is named is not narrowed again at run time. It is
+    the cluster's own shuffle width where that is more: the keys of a task,
+    which it holds until they are counted, then stay few for a longer list.
     """
     columns = [*by, "car_id", *V.MATCH_FIELDS]
-    width = CORE_TASKS * standard.sparkSession.sparkContext.defaultParallelism
+    spark = standard.sparkSession
+    width = max(CORE_TASKS * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     return standard.select(*columns).repartition(width, *by, *V.MATCH_ROUNDS[-1], row_salt(columns, GROUP_TASKS))
 
 

@@ -5,6 +5,7 @@ import contextlib
 import pytest
 from pyspark.sql import functions as F
 
+from listingflow import fixed_values as V
 from listingflow.operators import dedupe, match, merge
 from listingflow.operators.skew import broadcast_lookup_join, lookup_join
 from listingflow.queries import registry
@@ -111,6 +112,18 @@ def test_a_cascade_deals_the_standard_list_and_broadcasts_no_probes(spark):
     assert len(tasks) > 8 and max(r["count"] for r in tasks) < 1000
 
 
+def test_a_wider_cluster_deals_the_standard_list_to_more_tasks(spark):
+    def tasks():
+        models = spark.range(0, 9000, 1, 1).select(
+            F.col("id").cast("string").alias("car_id"), *[(F.col("id") % 50).alias(f) for f in V.MATCH_FIELDS])
+        return match._dealt(models, []).groupBy(F.spark_partition_id()).count().count()
+
+    few = match.CORE_TASKS * spark.sparkContext.defaultParallelism
+    assert tasks() <= few  # a narrow setting does not narrow it
+    with settings(spark, **{"spark.sql.shuffle.partitions": str(4 * few)}):
+        assert tasks() > 2 * few
+
+
 SAMPLE = ["listing_slice", "geo_listing_county", "cascade_match", "job_listing_guazi", "job_listing_rrc", "job_config_wide",
           "job_paid_prices_b", "merge_upsert", "multi_key_join", "high_water_mark"]
 
