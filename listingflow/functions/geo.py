@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from listingflow import fixed_values as V
 from listingflow.functions.text import fold_rules
-from listingflow.operators.skew import broadcast_lookup_join, lookup_join
+from listingflow.operators.skew import broadcast_lookup_join, dealt_lookup_join, lookup_join
 
 # Words above this count are matched by a join; the driver never holds more.
 MAX_PATTERN_WORDS = 5_000
@@ -73,7 +73,7 @@ def first_word_by_join(
     as the longest word has. Its first few characters tell how long the words
     that begin so are, and the text of each such length is looked up as a whole
     word: a place costs as many rows as there are lengths, however many words
-    begin alike.
+    begin alike. A text that many rows share is looked up in many tasks.
     """
     words = words.select(F.col(word_col).cast("string").alias("_word")).where("_word <> ''").distinct()
     edge = words.agg(F.min(F.length("_word")).alias("least"), F.max(F.length("_word")).alias("most")).head()
@@ -82,8 +82,11 @@ def first_word_by_join(
     width, most = min(PREFIX, edge["least"]), edge["most"]
     sizes = words.select(F.substring("_word", 1, width).alias("_key"), F.length("_word").alias("_size")).distinct()
     # a digest stands for the text, so that no row at a place carries the whole
-    texts = df.select(F.col(text_col).cast("string").alias("_text")).where(F.length("_text") >= width).distinct()
-    places = texts.select(_digest("_text").alias("_id"), "_text", F.explode(F.sequence(F.lit(1), F.length("_text") - width + 1)).alias("_at"))
+    counted = df.select(F.col(text_col).cast("string").alias("_text")).where(F.length("_text") >= width).groupBy("_text").agg(
+        F.count(F.lit(1)).alias("_n"))
+    # no text is NULL here: with that said, with the count kept and an outer explode, the texts and their counts stay one shuffle
+    texts, text_id = counted.where("_n > 0"), F.coalesce(_digest("_text"), F.lit("")).alias("_id")
+    places = texts.select(text_id, "_text", F.explode_outer(F.sequence(F.lit(1), F.length("_text") - width + 1)).alias("_at"))
     places = places.select("_id", "_at", F.substring("_text", F.col("_at"), F.lit(most)).alias("_rest"))
     places = broadcast_lookup_join(places.withColumn("_key", F.substring("_rest", 1, width)), sizes, ["_key"], "inner")
     # leftmost, then longest, as one number
@@ -92,8 +95,10 @@ def first_word_by_join(
         "_id", rank.alias("_rank"), F.substring("_rest", F.lit(1), F.col("_size")).alias("_word"))
     hits = lookup_join(tried, words, ["_word"], "inner").groupBy("_id").agg(F.min("_rank").alias("_first"))
     keep = [c for c in df.columns if c != out_col]
-    keyed = df.select(*keep, F.col(text_col).cast("string").alias("_text"), _digest(text_col).alias("_id"))
-    found = lookup_join(keyed, hits, ["_id"])
+    # a text shorter than every word has no place, like a NULL
+    keyed = df.select(*keep, F.col(text_col).cast("string").alias("_text")).withColumn(
+        "_id", F.when(F.length("_text") >= width, _digest("_text")))
+    found = dealt_lookup_join(keyed, hits, ["_id"], counted.select(text_id, "_n"))
     start = F.ceil(F.col("_first") / F.lit(most + 1)).cast("int")
     word = F.substring("_text", start, (start * F.lit(most + 1).cast("long") - F.col("_first")).cast("int"))
     return found.select(*keep, word.alias(out_col))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +50,36 @@ def _adaptive(df: DataFrame) -> bool:
     )
 
 
+# Frequent keys that are dealt out, and the shares that the rows of each are dealt into.
+HOT_KEYS, HOT_SHARES = 1_000, 256
+
+
+def dealt_lookup_join(rows: DataFrame, lookup: DataFrame, keys: Sequence[str], counted: DataFrame) -> DataFrame:
+    """Left `lookup_join` whose most frequent keys, and NULL ones, do not end in one task however small their rows are.
+
+    Spark splits a partition by its bytes, and many equal rows take few.
+    ``counted`` has the keys of the rows and their number ``_n``. The rows of
+    the HOT_KEYS most frequent keys are dealt over HOT_SHARES from their own
+    values and the lookup rows of these keys are repeated; a row with a NULL key
+    meets no lookup row and is dealt likewise. With adaptive execution off, all
+    rows are salted as in `lookup_join`.
+    """
+    keys = list(keys)
+    if not _adaptive(rows):
+        return lookup_join(rows, lookup, keys)
+    most = counted.orderBy(F.desc("_n"), *keys).limit(HOT_KEYS).select(*keys, F.lit(True).alias("_hot"))
+    hot = F.coalesce(F.col("_hot"), F.lit(False))
+    own = [c for c, kind in rows.dtypes if "map<" not in kind]
+    stray = reduce(or_, [F.col(f"`{k}`").isNull() for k in keys])
+    dealt = rows.join(F.broadcast(most), keys, "left").withColumn(
+        "_share", F.when(hot | stray, row_salt(own, HOT_SHARES)).otherwise(0)).drop("_hot")
+    # one row for a usual key, one row of each share for a frequent one
+    shares = lookup.sparkSession.range(HOT_SHARES + 1).select(
+        (F.col("id") > 0).alias("_hot"), F.greatest(F.col("id") - 1, F.lit(0)).cast("int").alias("_share"))
+    repeated = lookup.join(F.broadcast(most), keys, "left").withColumn("_hot", hot).join(F.broadcast(shares), "_hot").drop("_hot")
+    return dealt.join(repeated, ["_share", *keys], "left").drop("_share")
+
+
 # A lookup is broadcast on request only after its rows and bytes were counted up to these bounds.
 MAX_BROADCAST_ROWS, MAX_BROADCAST_BYTES = 100_000, 64 << 20
 

@@ -133,3 +133,20 @@ def test_no_cross_join_and_no_python_in_the_plan(spark, name):
     plan = plan_of(registry()[name].run(spark, SF))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "SinglePartition, REPARTITION"):
         assert bad not in plan
+
+
+def test_a_text_that_many_rows_share_is_not_looked_up_in_one_task(spark):
+    from listingflow.functions import geo
+
+    # few bytes for each row: run-time splitting by size does not see them
+    text = F.when(F.col("id") % 4 == 0, "nowhere").when(F.col("id") % 4 == 1, None).when(F.col("id") % 4 == 2, "in Aa").otherwise(
+        F.concat(F.lit("t"), F.col("id") % 300, F.lit(" Bbb")))
+    rows = spark.range(0, 40_000, 1, 4).select("id", text.alias("t"))
+    words = spark.createDataFrame([("Aa",), ("Bbb",)], "w string")
+    with settings(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+                            "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        found = geo.first_word_by_join(rows, "t", "hit", words, "w").withColumn("task", F.spark_partition_id())
+        tasks = [r["count"] for r in found.groupBy("task").count().collect()]
+        got = {(r.t[-3:] if r.t else None, r.hit): r["count"] for r in found.groupBy("hit", F.substring("t", -3, 3).alias("t")).count().collect()}
+    assert sum(tasks) == 40_000 and max(tasks) < 5_000
+    assert got == {("ere", None): 10_000, (None, None): 10_000, (" Aa", "Aa"): 10_000, ("Bbb", "Bbb"): 10_000}
