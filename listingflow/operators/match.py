@@ -73,19 +73,26 @@ def _probes(sets: Sequence[Sequence[str]]) -> Column:
 GROUP_TASKS, CORE_TASKS = 32, 4
 
 
-def _dealt(standard: DataFrame, by: Sequence[str]) -> DataFrame:
-    """The standard models dealt evenly over more tasks than there are cores, before each becomes a row for each key set.
+def _dealt(models: DataFrame, by: Sequence[str], together: Sequence[str] = V.MATCH_ROUNDS[-1]) -> DataFrame:
+    """The models dealt evenly over more tasks than there are cores, before each becomes a row for each key set.
 
-    A scan task may hold the whole list, and counting sorts its rows. What all
-    key sets share leads, so that equal keys are counted before they are
+    A scan task may hold the whole list: counting sorts its rows, and a shuffle
+    to many partitions keeps what it writes in memory. For standard models what
+    all key sets share leads, so that equal keys are counted before they are
     shuffled; a width that is named is not narrowed again at run time. It is
     the cluster's own shuffle width where that is more: the keys of a task,
     which it holds until they are counted, then stay few for a longer list.
     """
     columns = [*by, "car_id", *V.MATCH_FIELDS]
-    spark = standard.sparkSession
+    spark = models.sparkSession
     width = max(CORE_TASKS * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return standard.select(*columns).repartition(width, *by, *V.MATCH_ROUNDS[-1], row_salt(columns, GROUP_TASKS))
+    return models.select(*columns).repartition(width, *by, *together, row_salt(columns, GROUP_TASKS))
+
+
+def _platform_probes(platform: DataFrame, sets: Sequence[Sequence[str]], by: Sequence[str]) -> DataFrame:
+    """A row for each key set of each platform model; the models are dealt by all their values, as nothing of theirs is counted."""
+    dealt = _dealt(platform, by, ["car_id", *V.MATCH_FIELDS])
+    return dealt.select(*by, "car_id", "car_price", _probes(sets).alias("p")).select(*by, "car_id", "car_price", "p.set", "p.key")
 
 
 def cascade(
@@ -108,11 +115,8 @@ def cascade(
         .groupBy(*by, "p.set", "p.key")
         .agg(F.count(F.lit(1)).alias("n"), F.min("car_id").alias("id"), F.min("car_price").alias("price"))
     )
-    probes = platform.select(*by, "car_id", "car_price", _probes(sets).alias("p")).select(
-        *by, "car_id", "car_price", "p.set", "p.key"
-    )
     # the size of a file does not tell that of its probes: they are never the side that is broadcast
-    hits = lookup_join(probes.hint("merge"), lookup, [*by, "set", "key"], "inner", salts)
+    hits = lookup_join(_platform_probes(platform, sets, by).hint("merge"), lookup, [*by, "set", "key"], "inner", salts)
     found = hits.groupBy(*by, "car_id", "car_price").agg(
         *[
             F.max(F.when(F.col("set") == i, F.struct("n", "id", "price"))).alias(f"s{i}")

@@ -124,6 +124,21 @@ def test_a_wider_cluster_deals_the_standard_list_to_more_tasks(spark):
         assert tasks() > 2 * few
 
 
+def test_a_platform_list_is_dealt_before_each_model_is_a_row_for_each_key_set(spark):
+    def models(n, name):
+        return match.features(spark.range(0, n, 1, 1).select(
+            F.col("id").alias("car_id"), F.lit(name).alias("brand_name"), F.lit("s").alias("series_name"), F.lit(2020).alias("model_year")))
+
+    # one scan task and one brand and series: what is exploded still comes from many tasks
+    sets = match._key_sets(False)
+    probes = match._platform_probes(models(4000, "a"), sets, [])
+    tasks = [r["count"] for r in probes.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == 4000 * len(sets) and max(tasks) < sum(tasks) / 8
+    found = match.cascade(models(4000, "a"), models(3, "a"))
+    assert plan_of(found).count("REPARTITION_BY_NUM") == 2
+    assert found.groupBy("round", "candidates", "match_des").count().collect() == [(0, 3, "repeat", 4000)]
+
+
 SAMPLE = ["listing_slice", "geo_listing_county", "cascade_match", "job_listing_guazi", "job_listing_rrc", "job_config_wide",
           "job_paid_prices_b", "merge_upsert", "multi_key_join", "high_water_mark"]
 
