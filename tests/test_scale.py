@@ -139,6 +139,14 @@ def test_a_platform_list_is_dealt_before_each_model_is_a_row_for_each_key_set(sp
     assert found.groupBy("round", "candidates", "match_des").count().collect() == [(0, 3, "repeat", 4000)]
 
 
+CASCADES = ["cascade_post_filter"]
+
+
+@pytest.mark.parametrize("name", CASCADES)
+def test_both_lists_of_a_cascade_are_dealt(spark, name):
+    assert plan_of(registry()[name].run(spark, SF)).count("REPARTITION_BY_NUM") == 2
+
+
 SAMPLE = ["listing_slice", "geo_listing_county", "cascade_match", "job_listing_guazi", "job_listing_rrc", "job_config_wide",
           "job_paid_prices_b", "merge_upsert", "multi_key_join", "high_water_mark"]
 
