@@ -139,7 +139,7 @@ def test_a_platform_list_is_dealt_before_each_model_is_a_row_for_each_key_set(sp
     assert found.groupBy("round", "candidates", "match_des").count().collect() == [(0, 3, "repeat", 4000)]
 
 
-CASCADES = ["cascade_post_filter", "cascade_resolve"]
+CASCADES = ["cascade_post_filter", "cascade_resolve", "fold_platforms"]
 
 
 @pytest.mark.parametrize("name", CASCADES)
